@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from rowjudge.queries import judging  # noqa: F401
+from rowjudge.queries.registry import QUERIES
+
+__all__ = ["QUERIES"]
