@@ -71,11 +71,15 @@ def literal_set(chosen: QuestionSet, model: str) -> Column:
 
 
 def _compiler(model: str):
-    def one(text: str) -> dict:
+    nothing = dict.fromkeys(SET_TYPE.names)
+
+    def one(text: str | None) -> dict:
+        if text is None:
+            return nothing
         try:
             return describe(parse_questions(text), model)
         except QuestionError as error:
-            return {**dict.fromkeys(SET_TYPE.names), "error": str(error)}
+            return {**nothing, "error": str(error)}
 
     @F.pandas_udf(SET_TYPE)
     def compile_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -34,7 +34,7 @@ from rowjudge.questions import QuestionSet
 from rowjudge.sources import files
 from rowjudge.sources.answer_store import SCHEMA as STORE_SCHEMA
 from rowjudge.sources.answer_store import AnswerStore
-from rowjudge.sources.ledger import RUNS, Ledger
+from rowjudge.sources.ledger import RUNS, Ledger, columns as columns_of
 
 ANSWERS = "answers"
 
@@ -277,7 +277,7 @@ def _keep_books(run: _Run, reports: list[dict]) -> None:
     if run.ledger is None or not reports:
         return
     session, seq = run.spark.sparkContext.applicationId, run.ledger.next_seq()
-    rows = [tuple({**r, "session_id": session, "seq": seq}[name] for name in RUNS.names) for r in reports]
+    rows = [tuple({**r, "session_id": session, "seq": seq}[name] for name in columns_of(RUNS)) for r in reports]
     run.ledger.append("runs", run.spark.createDataFrame(rows, RUNS), run.run_id)
 
 

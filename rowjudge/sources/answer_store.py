@@ -14,12 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowjudge.sources import files
 
-SCHEMA = T.StructType.fromDDL(
-    "model string, scope string, set_key string, entry_key string, answers array<string>, seq bigint, age bigint")
+SCHEMA = ("model string, scope string, set_key string, entry_key string, answers array<string>, seq bigint, "
+          "age bigint")
+COLUMNS = [column.split()[0] for column in SCHEMA.split(", ")]
 _IDENTITY = ("model", "scope", "set_key", "entry_key")
 
 
@@ -99,7 +99,7 @@ class AnswerStore:
     def _write(self, entries: DataFrame, folder: str, rows: int) -> None:
         pieces = max(1, -(-rows // self.rows_per_file))
         order = ("model", "scope", "entry_key")
-        (entries.select(*SCHEMA.names).repartitionByRange(pieces, *order).sortWithinPartitions(*order)
+        (entries.select(*COLUMNS).repartitionByRange(pieces, *order).sortWithinPartitions(*order)
          .write.mode("errorifexists").parquet(folder))
 
     def append(self, answers: DataFrame, rows: int) -> int:

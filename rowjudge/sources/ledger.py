@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from rowjudge.sources import files
 
-RUNS = T.StructType.fromDDL(
-    "run_id string, session_id string, seq bigint, query_id string, scope string, model string, rows_in bigint, "
-    "rows_null bigint, rows_deduped bigint, cache_hits bigint, shared_in_flight bigint, rows_sent bigint, "
-    "reclaimed bigint")
-BATCHES = T.StructType.fromDDL(
-    "run_id string, batch_id string, attempt int, scope string, model string, set_key string, n_items int, "
-    "status string, retryable boolean, error string, input_tokens bigint, output_tokens bigint, api_ms double")
-DEAD_LETTERS = T.StructType.fromDDL(
-    "run_id string, scope string, model string, set_key string, entry_key string, payload string, error string")
+RUNS = ("run_id string, session_id string, seq bigint, query_id string, scope string, model string, rows_in bigint, "
+        "rows_null bigint, rows_deduped bigint, cache_hits bigint, shared_in_flight bigint, rows_sent bigint, "
+        "reclaimed bigint")
+BATCHES = ("run_id string, batch_id string, attempt int, scope string, model string, set_key string, n_items int, "
+           "status string, retryable boolean, error string, input_tokens bigint, output_tokens bigint, api_ms double")
+DEAD_LETTERS = ("run_id string, scope string, model string, set_key string, entry_key string, payload string, "
+                "error string")
 _SCHEMAS = {"runs": RUNS, "batches": BATCHES, "dead_letters": DEAD_LETTERS}
 
 
+def columns(schema: str) -> list[str]:
+    return [column.split()[0] for column in schema.split(", ")]
+
+
 class Ledger:
     """Plain Parquet folders, one sub-folder per append, so a re-run of an append replaces its
     own rows and no others."""
@@ -27,7 +28,7 @@ class Ledger:
         self.spark, self.path = spark, path.rstrip("/")
 
     def append(self, kind: str, rows: DataFrame, name: str) -> None:
-        rows.select(*_SCHEMAS[kind].names).write.mode("overwrite").parquet(f"{self.path}/{kind}/{name}")
+        rows.select(*columns(_SCHEMAS[kind])).write.mode("overwrite").parquet(f"{self.path}/{kind}/{name}")
 
     def _read(self, kind: str) -> DataFrame:
         folder = f"{self.path}/{kind}"
