@@ -155,12 +155,23 @@ def intent_of_payload(payload: Column, *, judge: RuleJudge = RULES) -> Column:
     )
 
 
+def _prompt_payload(df: DataFrame, prompt: str, cfg: JudgeConfig) -> Column:
+    kind = df.schema[prompt].dataType
+    if not isinstance(kind, (T.StringType, T.VarcharType, T.CharType, T.NullType)):
+        raise TypeError(f"prompt_intent takes a text column, not {kind.simpleString()}")
+    return text_payload(F.col(f"`{prompt}`").cast("string"), max_value_chars=cfg.max_value_chars)
+
+
 def prompt_intent(df: DataFrame, prompt: str, *, cfg: JudgeConfig = JudgeConfig(),
                   judge: RuleJudge = RULES) -> Column:
     """Intent and malicious probability of a text column. The questions are fixed, and only
     text is accepted, so no other column of the row can be sent along."""
-    kind = df.schema[prompt].dataType
-    if not isinstance(kind, (T.StringType, T.VarcharType, T.CharType, T.NullType)):
-        raise TypeError(f"prompt_intent takes a text column, not {kind.simpleString()}")
-    text = F.col(f"`{prompt}`").cast("string")
-    return intent_of_payload(text_payload(text, max_value_chars=cfg.max_value_chars), judge=judge)
+    return intent_of_payload(_prompt_payload(df, prompt, cfg), judge=judge)
+
+
+def with_prompt_intent(df: DataFrame, prompt: str, *, into: str = "r", cfg: JudgeConfig = JudgeConfig(),
+                       judge: RuleJudge = RULES) -> DataFrame:
+    """:func:`prompt_intent` as a column of ``df``. The payload gets a projection of its own, so
+    that both questions read it without writing it twice."""
+    ready = df.withColumn("_payload", _prompt_payload(df, prompt, cfg))
+    return ready.withColumn(into, intent_of_payload(F.col("_payload"), judge=judge)).drop("_payload")

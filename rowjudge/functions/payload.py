@@ -60,9 +60,10 @@ def row_payload(df: DataFrame, columns: Sequence[str] | None = None, *, max_valu
 
 
 def _bare(value: Column) -> Column:
-    # to_json takes no scalars: write {"v":<value>} and keep what is between the braces.
+    # to_json takes no scalars: write {"v":<value>} and keep what is between the braces. No
+    # bare value ends in a brace, so trimming is safe, and it reads the text only once.
     wrapped = F.to_json(F.struct(value.alias("v")), _KEEP_NULLS)
-    return F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
+    return F.rtrim(F.substring(wrapped, 6, 2**31 - 1), F.lit("}"))
 
 
 def value_payload(df: DataFrame, column: str, *, max_value_chars: int = 2_000) -> Column:

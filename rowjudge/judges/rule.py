@@ -29,8 +29,8 @@ def last_word_of(query: Column) -> Column:
 
 
 def _one_hot(keys: Column, at: Column) -> Column:
-    flags = F.transform(keys, lambda _, i: F.when(i == at, F.lit(1.0)).otherwise(F.lit(0.0)))
-    return F.map_from_arrays(keys, flags)
+    zeros = F.array_repeat(F.lit(0.0), F.size(keys) - 1)
+    return F.map_from_arrays(keys, F.array_insert(zeros, at + 1, F.lit(1.0)))
 
 
 class RuleJudge:

@@ -26,11 +26,11 @@ def with_entry_key(requests: DataFrame, model: str, set_key: Column, *, scope: s
 
 def split_fates(requests: DataFrame, known: DataFrame) -> DataFrame:
     """Add ``answers`` and ``fate``: ``null`` (nothing to ask), ``hit`` (``known`` holds the
-    answer) or ``miss``. Both sides are unique per key, so the join cannot skew."""
-    found = known.select("entry_key", "answers")
+    answer) or ``miss``. Both sides are unique per key; requests without a key probe with a text
+    of their scope, which no key equals, so that they do not meet in one partition."""
+    found = known.select(F.col("entry_key").alias("_known"), "answers")
+    probe = F.coalesce("entry_key", F.concat(F.lit("none:"), F.col("scope")))
     fate = (F.when(F.col("entry_key").isNull(), "null")
-            .when(F.col("answers").isNotNull(), "hit").otherwise("miss"))
-    asked = requests.where(F.col("entry_key").isNotNull()).join(found, "entry_key", "left")
-    empty = requests.where(F.col("entry_key").isNull()).withColumn(
-        "answers", F.lit(None).cast(known.schema["answers"].dataType))
-    return asked.unionByName(empty).withColumn("fate", fate)
+            .when(F.col("_known").isNotNull(), "hit").otherwise("miss"))
+    joined = requests.withColumn("_probe", probe).join(found, F.col("_probe") == F.col("_known"), "left")
+    return joined.withColumn("fate", fate).drop("_probe", "_known")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds at least this share of the rows, so there are at most
@@ -11,19 +11,21 @@ HOT_SHARE = 0.001
 SALTS = 64
 
 
-def hot_keys(counts: DataFrame, key: str, total_rows: int) -> DataFrame:
+def hot_keys(counts: DataFrame, key: str) -> DataFrame:
     """Keys of ``counts`` (``key``, ``n_rows``) with a share of at least HOT_SHARE."""
-    floor = max(total_rows * HOT_SHARE, 1_000.0)
+    total = counts.agg(F.sum("n_rows")).scalar()
+    floor = F.greatest(total * HOT_SHARE, F.lit(1_000.0))
     return counts.where((F.col("n_rows") >= floor) & F.col(key).isNotNull()).select(key)
 
 
-def attach(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def attach(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, salt: Column | None = None) -> DataFrame:
     """``rows`` left join ``lookup`` (unique per ``key``) with hot keys salted: rows of a hot
-    key spread over SALTS partitions by the map task they come from, and its single lookup row
-    is repeated for each. Rows without a key never match, so they are salted too. Whether the
-    join is a broadcast is left to Spark, which knows the sizes at run time."""
+    key spread over SALTS partitions, and its single lookup row is repeated for each. ``salt``
+    is a number that differs among the rows of a key; without one, the map task a row comes from
+    serves. Rows without a key never match, so they are salted too. Whether the join is a
+    broadcast is left to Spark, which knows the sizes at run time."""
     marked = F.broadcast(hot.select(F.col(key).alias("_hot")))
-    by_task = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    by_task = F.pmod(F.spark_partition_id() if salt is None else salt, F.lit(SALTS)).cast("int")
     left = (rows.join(marked, F.col(key) == F.col("_hot"), "left")
             .withColumn("_salt", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), by_task).otherwise(F.lit(0)))
             .drop("_hot"))

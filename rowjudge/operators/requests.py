@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rowjudge.functions.payload import text_payload
 from rowjudge.questions import ITEM_SLOT, QuestionSet, compact_json
 
 
@@ -43,9 +44,7 @@ def request_column(model: Column, qset: Column, payloads: Column) -> Column:
         lambda _, i: F.array_join(
             F.transform(qset["templates"], lambda t: F.replace(t, F.lit(ITEM_SLOT), (i + 1).cast("string"))), ","),
     )
-    quoted = F.substring(F.to_json(F.struct(model.alias("m"))), F.lit(6),
-                         F.length(F.to_json(F.struct(model.alias("m")))) - 6)
     return F.concat(
-        F.lit('{"model":'), quoted, F.lit(',"state":{"rubric":'), qset["rubric"], F.lit(',"items":{'),
+        F.lit('{"model":'), text_payload(model, max_value_chars=0), F.lit(',"state":{"rubric":'), qset["rubric"], F.lit(',"items":{'),
         F.array_join(items, ","), F.lit('}},"questions":{'), F.array_join(asked, ","), F.lit("}}"),
     )

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowjudge.functions.judging import RULES, prompt_intent
+from rowjudge.functions.judging import RULES, with_prompt_intent
 from rowjudge.functions.payload import estimate_tokens
 from rowjudge.judges.rule import RuleJudge
+from rowjudge.operators.lookup import attach, hot_keys
 
 # The malicious threshold and the normal quantile of a 95 % interval.
 MALICIOUS_AT = 0.5
@@ -26,16 +27,10 @@ def leading_label(intent: Column, malicious: Column, threshold: float = MALICIOU
     return F.when(malicious >= threshold, F.lit("malicious")).otherwise(intent)
 
 
-def _judged_distinct(df: DataFrame, prompt: str, keys: Sequence[str], judge: RuleJudge, **counts: Column) -> DataFrame:
-    """Distinct (keys, prompt), counted, each judged once."""
-    distinct = df.where(F.col(prompt).isNotNull()).groupBy(*keys, prompt)
-    distinct = distinct.agg(F.count(F.lit(1)).alias("n_rows"))
-    return distinct.withColumn("r", prompt_intent(distinct, prompt, judge=judge))
-
-
 def prompt_breakdown(df: DataFrame, prompt: str, *, by: Sequence[str] = (), judge: RuleJudge = RULES) -> DataFrame:
     """Distinct prompts per intent, and how many of them are malicious."""
-    judged = _judged_distinct(df, prompt, by, judge)
+    distinct = df.where(F.col(prompt).isNotNull()).select(*by, prompt).distinct()
+    judged = with_prompt_intent(distinct, prompt, judge=judge)
     return judged.groupBy(*by, F.col("r.intent").alias("intent")).agg(
         F.count(F.lit(1)).alias("prompts"),
         F.count_if(F.col("r.malicious_probability") >= MALICIOUS_AT).alias("malicious"),
@@ -44,13 +39,15 @@ def prompt_breakdown(df: DataFrame, prompt: str, *, by: Sequence[str] = (), judg
 
 def breakdown_of_rows(df: DataFrame, prompt: str, *, by: Sequence[str] = (), judge: RuleJudge = RULES) -> DataFrame:
     """Classify distinct prompts, join back, count all rows. Rows are first counted per
-    (``by``, prompt), so a prompt that fills a third of the table joins as one row per group."""
+    (``by``, prompt), so a prompt that fills a third of the table joins as one row per group; a
+    prompt that many groups share is salted by group."""
     counted = df.where(F.col(prompt).isNotNull()).groupBy(*by, prompt).agg(F.count(F.lit(1)).alias("n_rows"))
-    distinct = counted.select(prompt).distinct()
-    judged = distinct.withColumn("r", prompt_intent(distinct, prompt, judge=judge))
-    joined = counted.join(judged, prompt)
+    distinct = counted.groupBy(prompt).agg(F.count(F.lit(1)).alias("n_rows"))
     label = leading_label(F.col("r.intent"), F.col("r.malicious_probability"))
-    return joined.groupBy(*by, label.alias("label")).agg(F.sum("n_rows").alias("n_rows"),
+    judged = with_prompt_intent(distinct, prompt, judge=judge).select(prompt, label.alias("label"))
+    groups = F.xxhash64(*by) if by else F.lit(0)
+    joined = attach(counted, judged, prompt, hot_keys(distinct, prompt), salt=groups)
+    return joined.groupBy(*by, "label").agg(F.sum("n_rows").alias("n_rows"),
                                                          F.count(F.lit(1)).alias("prompts"))
 
 
@@ -60,7 +57,7 @@ def sample_estimate(df: DataFrame, prompt: str, n: int, *, judge: RuleJudge = RU
     draws the same sample."""
     distinct = df.where(F.col(prompt).isNotNull()).select(prompt).distinct()
     sample = distinct.orderBy(F.md5(F.col(prompt)), prompt).limit(n)
-    judged = sample.withColumn("r", prompt_intent(sample, prompt, judge=judge))
+    judged = with_prompt_intent(sample, prompt, judge=judge)
     label = leading_label(F.col("r.intent"), F.col("r.malicious_probability"))
     shares = judged.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("sampled"))
     population = distinct.agg(F.count(F.lit(1))).scalar()

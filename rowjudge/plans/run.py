@@ -145,7 +145,10 @@ class _Run:
 
     def send(self, batches: DataFrame, name: str, attempt: int) -> DataFrame:
         """Judge the batches, commit the replies, then the paid answers and the ledger rows."""
-        replies = self.write(self.judge.reply(batches).withColumn("attempt", F.lit(attempt)), f"replies/{name}")
+        replies = self.judge.reply(batches).withColumn("attempt", F.lit(attempt))
+        for column in ("payloads", "questions", "request"):  # needed again only after a failure
+            replies = replies.withColumn(column, F.when(F.col("status") != "ok", F.col(column)))
+        replies = self.write(replies, f"replies/{name}")
         self.passes.append(name)
         if self.ledger is not None:
             self.ledger.append("batches", replies, f"{self.run_id}-{name}")
@@ -302,12 +305,11 @@ def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, reports: list[d
             sent.join(_answers(run.replies()).select("entry_key", ANSWERS), "entry_key").select("row_key", ANSWERS))
     if len(reports) > 1:
         resolved = resolved.dropDuplicates(["row_key"])
-    total = sum(r["rows_in"] for r in reports)
     counts = requests.groupBy("row_key").agg(F.sum("n_rows").alias("n_rows"))
     _, scope, asked = columns
     question = run.questions if run.per_row else None
     keyed = df.withColumn("row_key", run.row_key(scope, asked, question))
-    return attach(keyed, resolved, "row_key", hot_keys(counts, "row_key", total)).drop("row_key")
+    return attach(keyed, resolved, "row_key", hot_keys(counts, "row_key")).drop("row_key")
 
 
 def judge_queries(queries: Mapping[str, tuple[DataFrame, Column]], questions: QuestionSet, judge=None,

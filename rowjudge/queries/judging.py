@@ -65,7 +65,7 @@ SELECT conv_id, turn, intent, 1.0::DOUBLE AS intent_confidence,
   p AS malicious_probability FROM i""")
 def prompt_intent_flat(spark: SparkSession, sf: str) -> DataFrame:
     user = table(spark, sf, "conversations").where(F.col("role") == "user")
-    judged = user.select("conv_id", "turn", J.prompt_intent(user, "text", judge=ON_AT).alias("r"))
+    judged = J.with_prompt_intent(user, "text", judge=ON_AT)
     share = F.col("r.intent_probabilities")
     return judged.select(
         "conv_id", "turn", "r.intent", "r.intent_confidence",
@@ -89,7 +89,7 @@ SELECT doc_id, CASE WHEN hidden THEN NULL ELSE {intent_sql("payload")} END AS in
 def prompt_intent_nulls(spark: SparkSession, sf: str) -> DataFrame:
     shown = patterns.suppress(table(spark, sf, "documents").select("doc_id", "lang", "text"), "text",
                               F.col("lang") == "de")
-    judged = shown.select("doc_id", J.prompt_intent(shown, "text", judge=ON_AT).alias("r"))
+    judged = J.with_prompt_intent(shown, "text", judge=ON_AT)
     return judged.select("doc_id", "r.intent", "r.malicious_probability", F.col("r").isNull().alias("is_null"))
 
 

@@ -12,7 +12,7 @@ that first wrote its key: replacing an answer does not make it younger.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowjudge.sources import files
@@ -36,29 +36,31 @@ def latest(log: DataFrame) -> DataFrame:
 def keep_youngest(entries: DataFrame, limit: int, *, age: str = "age", key: str = "entry_key") -> DataFrame:
     """First in, first out: keep the ``limit`` entries of highest age number, ties by key.
 
-    There is no global sort. Counts per age (one row per append) find the age at the border;
-    counts per key prefix inside it find the border prefix; only that prefix, a 4,096th of one
-    append, is ranked row by row. Zero keeps everything.
+    There is no global sort and no join. Counts per age (one row per append) give the age at
+    the border; counts per key prefix inside it give the border prefix; only that prefix, a
+    65,536th of one append, is ranked row by row. Zero keeps everything.
     """
     if limit <= 0:
         return entries
-    prefix = F.substring(key, 1, 3)
-    descending = Window.orderBy(F.col(age).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ages = (entries.groupBy(age).agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_upto", F.sum("_n").over(descending))
-            .withColumn("_before", F.col("_upto") - F.col("_n"))
-            .where(F.col("_before") < limit))
-    whole = entries.join(ages.where(F.col("_upto") <= limit).select(age), age, "left_semi")
-    border = (entries.join(ages.where(F.col("_upto") > limit).select(age, "_before"), age)
-              .withColumn("_prefix", prefix))
-    ascending = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prefixes = (border.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_m"), F.first("_before").alias("_base"))
-                .withColumn("_offset", F.col("_base") + F.sum("_m").over(ascending) - F.col("_m"))
-                .where(F.col("_offset") < limit).select("_prefix", "_offset"))
-    ranked = (border.join(prefixes, "_prefix")
-              .withColumn("_rank", F.col("_offset") + F.row_number().over(Window.partitionBy("_prefix").orderBy(key)))
-              .where(F.col("_rank") <= limit))
-    return whole.select(*entries.columns).unionByName(ranked.select(*entries.columns))
+    prefix = F.substring(key, 1, 4)
+    ages = _border(entries.groupBy(F.col(age).alias("at")).agg(F.count(F.lit(1)).alias("n")), F.col("at").desc(),
+                   F.lit(0), limit)
+    at_border = F.col(age) == ages["at"]
+    counts = entries.where(at_border).groupBy(prefix.alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    prefixes = _border(counts, F.col("at").asc(), ages["before"], limit)
+    fits = ages.isNull() | (F.col(age) > ages["at"]) | (at_border & (prefix < prefixes["at"]))
+    rank = prefixes["before"] + F.row_number().over(Window.orderBy(key))
+    edge = entries.where(at_border & (prefix == prefixes["at"])).withColumn("_rank", rank).where(F.col("_rank") <= limit)
+    return entries.where(fits).unionByName(edge.drop("_rank"))
+
+
+def _border(counts: DataFrame, order: Column, base: Column, limit: int) -> Column:
+    """Of (at, n) in ``order``: the ``at`` in which the running total from ``base`` reaches
+    ``limit``, and the total ``before`` it; NULL when it never does. A scalar subquery."""
+    window = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counts.withColumn("upto", base + F.sum("n").over(window)).withColumn("before", F.col("upto") - F.col("n"))
+    here = running.where((F.col("before") < limit) & (F.col("upto") >= limit))
+    return here.select(F.struct("at", "before")).scalar()
 
 
 class AnswerStore:
