@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowjudge.operators.requests import request_size
-from rowjudge.questions import QuestionError, QuestionSet, parse_questions
+from rowjudge.questions import QuestionError, QuestionSet, compact_json, parse_questions
 
 _TEXTS = T.ArrayType(T.StringType())
 _QUESTION_TYPE = (
@@ -46,28 +46,8 @@ def describe(chosen: QuestionSet, model: str) -> dict:
 
 
 def literal_set(chosen: QuestionSet, model: str) -> Column:
-    told = describe(chosen, model)
-
-    def text(value: str | None) -> Column:
-        return F.lit(value).cast("string")
-
-    def texts(values: list[str]) -> Column:
-        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-
-    questions = [
-        F.struct(text(q["name"]).alias("name"), text(q["kind"]).alias("kind"), text(q["query"]).alias("query"),
-                 texts(q["options"]).alias("options"), text(q["needle"]).alias("needle"))
-        for q in told["questions"]
-    ]
-    return F.struct(
-        text(told["set_key"]).alias("set_key"),
-        text(told["rubric"]).alias("rubric"),
-        texts(told["templates"]).alias("templates"),
-        F.array(*questions).alias("questions"),
-        F.lit(told["fixed_tokens"]).cast("bigint").alias("fixed_tokens"),
-        F.lit(told["row_tokens"]).cast("bigint").alias("row_tokens"),
-        text(None).alias("error"),
-    )
+    """One constant, folded by the optimizer."""
+    return F.from_json(F.lit(compact_json(describe(chosen, model))), SET_TYPE)
 
 
 def _compiler(model: str):

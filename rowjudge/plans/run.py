@@ -16,14 +16,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rowjudge.config import JudgeConfig
 from rowjudge.functions.payload import estimate_tokens
 from rowjudge.judges.rule import RuleJudge
 from rowjudge.operators.dedupe import distinct_requests, split_fates, with_entry_key
-from rowjudge.operators.guards import check_caps
+from rowjudge.operators.guards import USD_PER_MILLION_TOKENS, check_caps
 from rowjudge.operators.keys import entry_key
 from rowjudge.operators.lookup import attach, hot_keys
 from rowjudge.operators.packing import pack
@@ -69,6 +69,7 @@ class _Run:
     store: AnswerStore | None
     ledger: Ledger | None
     passes: list[str] = field(default_factory=list)
+    tallies: list[Row] = field(default_factory=list)
 
     @property
     def per_row(self) -> bool:
@@ -106,10 +107,13 @@ class _Run:
         kept = F.when(F.col("fate") == "miss", F.col("payload"))
         return self.write(fates.withColumn("payload", kept), "requests", "fate")
 
-    def misses(self, requests: DataFrame) -> DataFrame:
+    def misses(self, requests: DataFrame, once: bool) -> DataFrame:
         columns = ["scope", "set_key", "entry_key", "payload"] + (["qset"] if self.per_row else [])
         found = requests.where(F.col("fate") == "miss").select(*columns)
-        return found.dropDuplicates(["entry_key"])
+        return found if once else found.dropDuplicates(["entry_key"])
+
+    def unanswered(self, misses: DataFrame) -> DataFrame:
+        return misses.join(_answers(self.replies()), "entry_key", "left_anti")
 
     # -- batches -------------------------------------------------------------------------
 
@@ -143,41 +147,55 @@ class _Run:
 
     # -- sending -------------------------------------------------------------------------
 
-    def send(self, batches: DataFrame, name: str, attempt: int) -> DataFrame:
-        """Judge the batches, commit the replies, then the paid answers and the ledger rows."""
+    def send(self, batches: DataFrame, name: str, attempt: int) -> list[Row]:
+        """Judge the batches, commit the replies, then the paid answers and the ledger rows.
+        Returns the tally of the replies: one row per status and retryability."""
         replies = self.judge.reply(batches).withColumn("attempt", F.lit(attempt))
         for column in ("payloads", "questions", "request"):  # needed again only after a failure
             replies = replies.withColumn(column, F.when(F.col("status") != "ok", F.col(column)))
         replies = self.write(replies, f"replies/{name}")
         self.passes.append(name)
+        tally = replies.groupBy("status", "retryable").agg(
+            F.count(F.lit(1)).alias("requests"), F.sum("n_items").alias("rows"),
+            F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens")).collect()
+        self.tallies += tally
         if self.ledger is not None:
             self.ledger.append("batches", replies, f"{self.run_id}-{name}")
-        if self.store is not None:
-            answers = _answers(replies)
-            paid = answers.count()
-            if paid:
-                self.store.append(answers, paid)
-        return replies
-
-    def dispatch(self, misses: DataFrame, rows: int, name: str) -> None:
-        """All batches of one packing, in waves that bound what a lost task can send again;
-        then further attempts for the failures that are worth one."""
+        paid = sum(t["rows"] for t in tally if t["status"] == "ok")
+        if self.store is not None and paid:
+            self.store.append(_answers(replies), paid)
+        return tally
+
+    def dispatch(self, misses: DataFrame, rows: int, name: str) -> int:
+        """All batches of one packing, in waves that bound what a lost task can send again, and
+        further attempts for the failures that are worth one. Returns the rows left without an
+        answer."""
+        before = self.answered
         batches = self.batches(misses)
         if isinstance(self.judge, RuleJudge):
             self.send(batches, name, 1)
-            return
+            return rows - (self.answered - before)
         waves = self.waves(rows)
-        wave = F.pmod(F.xxhash64("batch_id"), F.lit(waves)).cast("int")
-        planned = self.write(batches.withColumn("wave", wave), f"batches/{name}", "wave")
+        if waves > 1:
+            wave = F.pmod(F.xxhash64("batch_id"), F.lit(waves)).cast("int")
+            batches = self.write(batches.withColumn("wave", wave), f"batches/{name}", "wave")
         for number in range(waves):
-            one = planned.where(F.col("wave") == number).drop("wave").repartition(self.cfg.concurrency, "batch_id")
-            replies = self.send(one, f"{name}-{number}", 1)
+            one = batches.where(F.col("wave") == number).drop("wave") if waves > 1 else batches
+            tally = self.send(one.repartition(self.cfg.concurrency, "batch_id"), f"{name}-{number}", 1)
             for attempt in range(2, self.cfg.max_retries + 1):
-                again = replies.where((F.col("status") != "ok") & F.col("retryable"))
-                if again.isEmpty():
+                if not any(t["status"] != "ok" and t["retryable"] for t in tally):
                     break
-                again = again.select(*one.columns).repartition(self.cfg.concurrency, "batch_id")
-                replies = self.send(again, f"{name}-{number}-again{attempt}", attempt)
+                again = self.reply(-1).where((F.col("status") != "ok") & F.col("retryable")).select(*one.columns)
+                tally = self.send(again.repartition(self.cfg.concurrency, "batch_id"),
+                                  f"{name}-{number}-again{attempt}", attempt)
+        return rows - (self.answered - before)
+
+    @property
+    def answered(self) -> int:
+        return sum(t["rows"] for t in self.tallies if t["status"] == "ok")
+
+    def reply(self, at: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.work}/replies/{self.passes[at]}")
 
     def replies(self) -> DataFrame:
         return self.spark.read.parquet(*[f"{self.work}/replies/{name}" for name in self.passes])
@@ -191,7 +209,7 @@ def _answers(replies: DataFrame) -> DataFrame:
 
 
 def _reports(run: _Run, requests: DataFrame, scope: str | None, reclaimed: int) -> list[dict]:
-    """Counters per query. rows_in = null + hits + sent + shared + deduped."""
+    """Counters per query of a run that several queries or question texts share. rows_in = null + hits + sent + shared + deduped."""
     miss = requests.where(F.col("fate") == "miss")
     owned = ownership(miss.groupBy("query_id", "entry_key").agg(F.sum("n_rows").alias("n_rows")))
     mine = F.col("owner") == F.col("query_id")
@@ -203,17 +221,19 @@ def _reports(run: _Run, requests: DataFrame, scope: str | None, reclaimed: int)
         F.sum(F.when(F.col("fate") == "null", F.col("n_rows")).otherwise(0)).alias("rows_null"),
         F.sum(F.when(F.col("fate") == "hit", F.col("n_rows")).otherwise(0)).alias("cache_hits"))
     counted = seen.join(sent, "query_id", "left").na.fill(0)
-    spend = {"requests": 0, "retries": 0, "input_tokens": 0, "output_tokens": 0, "estimated_cost_usd": 0.0}
-    if run.passes:
-        # requests are the answered ones; every failed attempt counts as a retry
-        ok = F.col("status") == "ok"
-        total = run.replies().agg(
-            F.count_if(ok).alias("requests"), F.count_if(~ok).alias("retries"),
-            F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens")).first()
-        spend.update(total.asDict(), estimated_cost_usd=total["input_tokens"] * 0.042 / 1e6)
     # one row per query of the run, however large the tables are
-    return [{"run_id": run.run_id, "scope": scope, "model": run.cfg.model, **row.asDict(), "reclaimed": reclaimed, **spend}
-            for row in counted.orderBy("query_id").collect()]
+    return [_report(run, scope, row.asDict(), reclaimed) for row in counted.orderBy("query_id").collect()]
+
+
+def _report(run: _Run, scope: str | None, counted: dict, reclaimed: int) -> dict:
+    """Requests are the answered ones; every failed attempt counts as a retry."""
+    total = {name: sum(t[name] for t in run.tallies) for name in ("input_tokens", "output_tokens")}
+    return {
+        "run_id": run.run_id, "scope": scope, "model": run.cfg.model, **counted, "reclaimed": reclaimed,
+        "requests": sum(t["requests"] for t in run.tallies if t["status"] == "ok"),
+        "retries": sum(t["requests"] for t in run.tallies if t["status"] != "ok"), **total,
+        "estimated_cost_usd": total["input_tokens"] * USD_PER_MILLION_TOKENS / 1e6,
+    }
 
 
 def judge_rows(
@@ -250,27 +270,33 @@ def judge_rows(
     columns = [query.alias("query_id"), scope_column.alias("scope"), asked.alias("payload")]
     requests = run.requests(df.select(*columns, *([questions.alias("question")] if run.per_row else [])), fixed_scope)
 
-    todo = run.misses(requests)
-    if query_id is None and not run.per_row:
-        todo = requests.where(F.col("fate") == "miss").select("scope", "set_key", "entry_key", "payload")
-    size = todo.agg(F.count(F.lit(1)).alias("rows"),
-                    F.coalesce(F.sum(F.octet_length("payload").cast("bigint")), F.lit(0)).alias("bytes")).first()
+    # a key is met once, unless several queries or several texts of one set may meet it
+    once = query_id is None and not run.per_row
+    todo = run.misses(requests, once)
+    fates = {r["fate"]: r for r in requests.groupBy("fate").agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("n_rows").alias("n_rows"),
+        F.sum(F.octet_length("payload").cast("bigint")).alias("bytes")).collect()}
+    rows, size = (fates["miss"]["keys"], fates["miss"]["bytes"]) if "miss" in fates else (0, 0)
+    if rows and not once:
+        rows, size = todo.agg(F.count(F.lit(1)), F.sum(F.octet_length("payload").cast("bigint"))).first()
     dead, reclaimed = 0, 0
-    if size["rows"]:
+    if rows:
         run.judge.require_ready()
-        check_caps(cfg, size["rows"], size["bytes"])
-        run.dispatch(todo, size["rows"], "first")
-        left = todo.join(_answers(run.replies()), "entry_key", "left_anti")
-        dead = 0 if isinstance(run.judge, RuleJudge) else left.count()
+        check_caps(cfg, rows, size)
+        dead = run.dispatch(todo, rows, "first")
         if dead and resend_failed:
             reclaimed = dead
-            run.dispatch(run.write(left, "left"), dead, "second")
-            left = todo.join(_answers(run.replies()), "entry_key", "left_anti")
-            dead = left.count()
-    reports = _reports(run, requests, fixed_scope, reclaimed)
+            dead = run.dispatch(run.write(run.unanswered(todo), "left"), dead, "second")
+    if once:
+        n = {fate: fates[fate]["n_rows"] if fate in fates else 0 for fate in ("null", "hit", "miss")}
+        counted = {"query_id": "0", "rows_in": sum(n.values()), "rows_null": n["null"], "cache_hits": n["hit"],
+                   "rows_sent": rows, "shared_in_flight": 0, "rows_deduped": n["miss"] - rows}
+        reports = [_report(run, fixed_scope, counted, reclaimed)]
+    else:
+        reports = _reports(run, requests, fixed_scope, reclaimed)
     _keep_books(run, reports)
     if dead:
-        first_error = _bury(run, left)
+        first_error = _bury(run, run.unanswered(todo))
         if on_failure == "raise":
             raise JudgingFailed(f"{dead} rows got no answer: {first_error}")
     return JudgedRun(run_id, _with_answers(run, df, requests, reports, columns), reports)

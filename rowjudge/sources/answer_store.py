@@ -118,7 +118,7 @@ class AnswerStore:
         _, parts = self._parts()
         generation = self._generation() + 1
         folder = f"{self.path}/gen={generation:06d}"
-        number = max(parts, default=0) + 1
+        number = max(parts, default=1)
         kept = keep_youngest(self.latest(), max_entries)
         rows = kept.count()
         self._write(kept, f"{folder}/part={number:09d}", rows)
@@ -133,7 +133,7 @@ class AnswerStore:
         files.make_dir(self.spark, folder)
         if scope is not None:
             kept = self.log().where(F.col("scope") != scope)
-            self._write(kept, f"{folder}/part={max(parts, default=0) + 1:09d}", kept.count())
+            self._write(kept, f"{folder}/part={max(parts, default=1):09d}", kept.count())
         files.touch(self.spark, f"{folder}/_SUCCESS")
         return True
 

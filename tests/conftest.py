@@ -7,7 +7,9 @@ from tests.oracle import duck, session
 
 @pytest.fixture(scope="session")
 def spark():
-    return session()
+    spark = session()
+    spark.conf.set("rowjudge.concurrency", "2")
+    return spark
 
 
 @pytest.fixture(scope="session")

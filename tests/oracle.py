@@ -46,7 +46,8 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str
 
 def session() -> SparkSession:
     spark = (SparkSession.builder.master("local[8]").appName("rowjudge")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
