@@ -18,22 +18,39 @@ from rowjudge.operators.keys import key_bucket
 
 # Payload bytes one shard may hold on average, where payloads are large.
 SHARD_BYTES = 32 << 20
-# One group may hold all the requests, so its rows meet the group's shard count in SALTS parts.
-SALTS = 32
+# Up to this many groups beyond one shard, their counts (a short row each) are broadcast.
+BROADCAST_GROUPS = 100_000
+# Beyond that a group, which may hold a third of the requests, meets its count in SALTS parts.
+SALTS = 256
 
 
-def assign_shards(misses: DataFrame, group: Sequence[str], cfg: JudgeConfig) -> DataFrame:
-    """Add ``shard``. Only groups beyond one shard need their count looked up."""
+def shards_of(rows: int, payload_bytes: int, cfg: JudgeConfig) -> int:
+    """Shards of one group whose size is known."""
+    return max(1, -(-rows // cfg.rows_per_shard), -(-payload_bytes // SHARD_BYTES))
+
+
+def large_groups(misses: DataFrame, group: Sequence[str], cfg: JudgeConfig) -> DataFrame:
+    """Groups that need more than one shard, with their number of shards."""
     by_rows = F.ceil(F.count(F.lit(1)) / cfg.rows_per_shard)
     by_bytes = F.ceil(F.sum(F.octet_length("payload").cast("bigint")) / SHARD_BYTES)
     counts = misses.groupBy(*group).agg(F.greatest(by_rows, by_bytes).cast("bigint").alias("_shards"))
-    large = (counts.where(F.col("_shards") > 1)
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    salted = misses.withColumn("_salt", key_bucket(F.substring("entry_key", 9, 8), SALTS))
-    shards = F.coalesce(F.col("_shards"), F.lit(1))
-    return (salted.join(large, [*group, "_salt"], "left")
-            .withColumn("shard", key_bucket(F.col("entry_key"), shards))
-            .drop("_salt", "_shards"))
+    return counts.where(F.col("_shards") > 1)
+
+
+def assign_shards(misses: DataFrame, group: Sequence[str], cfg: JudgeConfig, *, shards: int | None = None,
+                  few: DataFrame | None = None) -> DataFrame:
+    """Add ``shard``. ``shards`` is the number for a single group of known size; ``few`` are the
+    large groups where they have been counted and are no more than BROADCAST_GROUPS."""
+    if shards is not None:
+        return misses.withColumn("shard", key_bucket(F.col("entry_key"), shards))
+    if few is not None:
+        joined = misses.join(F.broadcast(few), list(group), "left")
+    else:
+        large = large_groups(misses, group, cfg).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = misses.withColumn("_salt", key_bucket(F.substring("entry_key", 9, 8), SALTS))
+        joined = salted.join(large, [*group, "_salt"], "left").drop("_salt")
+    number = F.coalesce(F.col("_shards"), F.lit(1))
+    return joined.withColumn("shard", key_bucket(F.col("entry_key"), number)).drop("_shards")
 
 
 def _batch_starts(entries: Column, fixed: Column, row: Column, cfg: JudgeConfig) -> Column:
@@ -58,16 +75,18 @@ def _batch_starts(entries: Column, fixed: Column, row: Column, cfg: JudgeConfig)
 
 
 def pack(misses: DataFrame, cfg: JudgeConfig, *, group: Sequence[str] = ("scope", "set_key"),
-         carry: Sequence[Column] = (), fixed: Column | int = 0, row: Column | int = 0) -> DataFrame:
+         carry: Sequence[Column] = (), fixed: Column | int = 0, row: Column | int = 0, shards: int | None = None,
+         few: DataFrame | None = None) -> DataFrame:
     """``misses`` (the group, entry_key, payload, tokens) to one row per batch: the group, shard,
-    batch_no, and ``items`` of (entry_key, tokens, payload). ``carry`` are aggregates to keep."""
+    batch_no, and ``items`` of (entry_key, tokens, payload). ``carry`` are aggregates to keep;
+    ``shards`` and ``few`` as in :func:`assign_shards`."""
     fixed = fixed if isinstance(fixed, Column) else F.lit(fixed).cast("bigint")
     row = row if isinstance(row, Column) else F.lit(row).cast("bigint")
     entry = F.struct("entry_key", "tokens", "payload")
-    shards = (assign_shards(misses, group, cfg)
-              .groupBy(*group, "shard")
-              .agg(F.sort_array(F.collect_list(entry)).alias("_entries"), *carry))
-    cut = shards.withColumn("_starts", _batch_starts(F.col("_entries"), fixed, row, cfg))
+    sharded = (assign_shards(misses, group, cfg, shards=shards, few=few)
+               .groupBy(*group, "shard")
+               .agg(F.sort_array(F.collect_list(entry)).alias("_entries"), *carry))
+    cut = sharded.withColumn("_starts", _batch_starts(F.col("_entries"), fixed, row, cfg))
     stops = F.concat(F.slice("_starts", F.lit(2), F.size("_starts")), F.array(F.size("_entries")))
     slices = F.zip_with(F.col("_starts"), stops, lambda a, b: F.slice(F.col("_entries"), a + 1, b - a))
     return (cut.select("*", F.posexplode(slices).alias("batch_no", "items"))

@@ -26,7 +26,7 @@ from rowjudge.operators.dedupe import distinct_requests, split_fates, with_entry
 from rowjudge.operators.guards import USD_PER_MILLION_TOKENS, check_caps
 from rowjudge.operators.keys import entry_key
 from rowjudge.operators.lookup import attach, hot_keys
-from rowjudge.operators.packing import pack
+from rowjudge.operators.packing import BROADCAST_GROUPS, large_groups, pack, shards_of
 from rowjudge.operators.question_sets import compile_question_column, literal_set
 from rowjudge.operators.requests import request_column, request_size
 from rowjudge.operators.single_flight import ownership
@@ -37,6 +37,7 @@ from rowjudge.sources.answer_store import AnswerStore
 from rowjudge.sources.ledger import RUNS, Ledger, columns as columns_of
 
 ANSWERS = "answers"
+ROW_KEY = "_rowjudge_key"
 
 
 class JudgingFailed(RuntimeError):
@@ -68,6 +69,7 @@ class _Run:
     run_id: str
     store: AnswerStore | None
     ledger: Ledger | None
+    one_group: bool
     passes: list[str] = field(default_factory=list)
     tallies: list[Row] = field(default_factory=list)
 
@@ -117,14 +119,21 @@ class _Run:
 
     # -- batches -------------------------------------------------------------------------
 
-    def batches(self, misses: DataFrame) -> DataFrame:
+    def sharding(self, misses: DataFrame, rows: int, size: int) -> dict:
+        if self.one_group:
+            return {"shards": shards_of(rows, size, self.cfg)}
+        large = large_groups(misses, ["scope", "set_key"], self.cfg)
+        return {"few": large} if large.count() <= BROADCAST_GROUPS else {}
+
+    def batches(self, misses: DataFrame, rows: int, size: int) -> DataFrame:
         sized = misses.withColumn("tokens", estimate_tokens("payload"))
+        sharding = self.sharding(misses, rows, size)
         if self.per_row:
             packed = pack(sized, self.cfg, carry=[F.first("qset").alias("qset")],
-                          fixed=F.col("qset.fixed_tokens"), row=F.col("qset.row_tokens"))
+                          fixed=F.col("qset.fixed_tokens"), row=F.col("qset.row_tokens"), **sharding)
         else:
             fixed, row = request_size(self.cfg.model, self.questions)
-            packed = pack(sized, self.cfg, fixed=fixed, row=row)
+            packed = pack(sized, self.cfg, fixed=fixed, row=row, **sharding)
             packed = packed.withColumn("qset", literal_set(self.questions, self.cfg.model))
         model = F.lit(self.cfg.model)
         payloads = F.transform("items", lambda item: item["payload"])
@@ -166,12 +175,12 @@ class _Run:
             self.store.append(_answers(replies), paid)
         return tally
 
-    def dispatch(self, misses: DataFrame, rows: int, name: str) -> int:
+    def dispatch(self, misses: DataFrame, rows: int, size: int, name: str) -> int:
         """All batches of one packing, in waves that bound what a lost task can send again, and
         further attempts for the failures that are worth one. Returns the rows left without an
         answer."""
         before = self.answered
-        batches = self.batches(misses)
+        batches = self.batches(misses, rows, size)
         if isinstance(self.judge, RuleJudge):
             self.send(batches, name, 1)
             return rows - (self.answered - before)
@@ -261,7 +270,9 @@ def judge_rows(
     cfg = cfg or JudgeConfig.from_conf(spark)
     run_id = uuid.uuid4().hex
     run = _Run(spark, cfg, judge or RuleJudge(), questions, f"{files.scratch_dir(spark)}/run-{run_id}", run_id,
-               store, ledger)
+               store, ledger, isinstance(scope, str) and isinstance(questions, QuestionSet))
+    if ANSWERS in df.columns:
+        raise ValueError(f"the input has a column {ANSWERS} already")
 
     fixed_scope = scope if isinstance(scope, str) else None
     scope_column = F.coalesce(scope.cast("string"), F.lit("")) if isinstance(scope, Column) else F.lit(scope)
@@ -283,10 +294,10 @@ def judge_rows(
     if rows:
         run.judge.require_ready()
         check_caps(cfg, rows, size)
-        dead = run.dispatch(todo, rows, "first")
+        dead = run.dispatch(todo, rows, size, "first")
         if dead and resend_failed:
             reclaimed = dead
-            dead = run.dispatch(run.write(run.unanswered(todo), "left"), dead, "second")
+            dead = run.dispatch(run.write(run.unanswered(todo), "left"), dead, size, "second")
     if once:
         n = {fate: fates[fate]["n_rows"] if fate in fates else 0 for fate in ("null", "hit", "miss")}
         counted = {"query_id": "0", "rows_in": sum(n.values()), "rows_null": n["null"], "cache_hits": n["hit"],
@@ -334,8 +345,9 @@ def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, reports: list[d
     counts = requests.groupBy("row_key").agg(F.sum("n_rows").alias("n_rows"))
     _, scope, asked = columns
     question = run.questions if run.per_row else None
-    keyed = df.withColumn("row_key", run.row_key(scope, asked, question))
-    return attach(keyed, resolved, "row_key", hot_keys(counts, "row_key")).drop("row_key")
+    keyed = df.withColumn(ROW_KEY, run.row_key(scope, asked, question))
+    hot = hot_keys(counts, "row_key").withColumnRenamed("row_key", ROW_KEY)
+    return attach(keyed, resolved.withColumnRenamed("row_key", ROW_KEY), ROW_KEY, hot).drop(ROW_KEY)
 
 
 def judge_queries(queries: Mapping[str, tuple[DataFrame, Column]], questions: QuestionSet, judge=None,

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowjudge.functions import answers as A
+from rowjudge.functions.judging import with_prompt_intent
 from rowjudge.functions.payload import estimate_tokens, row_payload, value_payload
 from rowjudge.judges.callable import CallableJudge, JudgeError
 from rowjudge.operators.dedupe import distinct_requests, with_entry_key
@@ -20,6 +22,9 @@ from rowjudge.queries.judging import ON_AT, ON_ERROR, TEXT_PAYLOAD, documents, p
 from rowjudge.queries.registry import PROMPT_SQL, intent_sql, noul_sql, payload_sql, query
 from rowjudge.queries.requests import CFG, FIXED, ROW, key_sql
 from rowjudge.questions import ITEM_SLOT, PROMPT_INTENT
+from rowjudge.sources import files
+from rowjudge.sources.answer_store import AnswerStore
+from rowjudge.sources.ledger import Ledger
 from rowjudge.sources.tables import table
 
 # -- the books: one run a week over the prompts of ``events`` --------------------------------
@@ -231,3 +236,37 @@ def retry_pass(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     run = judge_rows(docs, F.col("payload"), PROMPT_INTENT, CallableJudge(rule_reply), cfg=FLAKY, on_failure="keep")
     return _intent_columns(run.rows, "doc_id").select("doc_id", "intent", "malicious_probability")
+
+
+USER_PAYLOADS_SQL = f"SELECT DISTINCT {TEXT_PAYLOAD} AS payload FROM conversations WHERE role = 'user'"
+
+
+@query(f"""
+WITH n AS (SELECT count(*) AS sent FROM ({USER_PAYLOADS_SQL})), a AS (SELECT count(*) AS rows_in FROM conversations WHERE role = 'user')
+SELECT phase::BIGINT AS phase, scope, CASE WHEN fresh THEN sent ELSE 0 END AS rows_sent,
+  CASE WHEN fresh THEN 0 ELSE rows_in END AS cache_hits, CASE WHEN fresh THEN rows_in - sent ELSE 0 END AS rows_deduped
+FROM n, a, (VALUES (1, '101', true), (2, '101', false), (3, '202', true)) t(phase, scope, fresh)""")
+def scope_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """One parameterised run for customer 101, the same again, then for customer 202: answers are
+    kept, and kept apart. The result is read from the ledger."""
+    turns = table(spark, sf, "conversations").where(F.col("role") == "user")
+    folder = f"{files.scratch_dir(spark)}/rerun-{uuid.uuid4().hex}"
+    store, ledger = AnswerStore(spark, f"{folder}/store"), Ledger(spark, f"{folder}/ledger")
+    for scope in ("101", "101", "202"):
+        judge_rows(turns, value_payload(turns, "text"), PROMPT_INTENT, ON_AT, scope=scope, store=store, ledger=ledger, cfg=CFG)
+    return ledger.runs().select(F.col("seq").alias("phase"), "scope", "rows_sent", "cache_hits", "rows_deduped")
+
+
+@query(f"""
+SELECT intent, count(*) AS n_turns, count(DISTINCT conv_id) AS n_conversations,
+  bool_and(p BETWEEN 0 AND 1) AS probabilities_valid, max(p) AS highest
+FROM (SELECT conv_id, {intent_sql(TEXT_PAYLOAD)} AS intent, {noul_sql(TEXT_PAYLOAD, "@")} AS p FROM conversations) GROUP BY intent""")
+def stored_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Judge once, keep the table, ask the table."""
+    turns = table(spark, sf, "conversations")
+    path = f"{files.scratch_dir(spark)}/labelled-{uuid.uuid4().hex}"
+    with_prompt_intent(turns, "text", judge=ON_AT).select("conv_id", "r").write.parquet(path)
+    p = F.col("r.malicious_probability")
+    return spark.read.parquet(path).groupBy(F.col("r.intent").alias("intent")).agg(
+        F.count(F.lit(1)).alias("n_turns"), F.count_distinct("conv_id").alias("n_conversations"),
+        F.every(p.between(0, 1)).alias("probabilities_valid"), F.max(p).alias("highest"))
