@@ -43,7 +43,7 @@ class JudgeConfig:
     max_retries: int = 6
     max_rows_per_run: int = 0
     max_payload_bytes_per_run: int = 0
-    store_max_entries: int = 200_000
+    store_max_entries: int = 0
     max_value_chars: int = 2_000
     max_batch_tokens: int = 24_000
     requests_per_minute: int = 1_000

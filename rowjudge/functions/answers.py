@@ -11,7 +11,7 @@ _NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
 
 def parsed(answer: Column) -> Column:
     broken = answer.isNotNull() & F.try_parse_json(answer).isNull()
-    complaint = F.raise_error(F.concat(F.lit("could not parse the answer for a row: "), answer))
+    complaint = F.raise_error(F.concat(F.lit("an answer is no JSON: "), answer))
     return F.when(broken, complaint.cast("variant")).otherwise(F.try_parse_json(answer))
 
 

@@ -9,16 +9,18 @@ work with any judge that can answer in native expressions, and therefore in ``se
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowjudge.config import JudgeConfig
+from rowjudge.functions.answers import answer_object
 from rowjudge.functions.payload import text_payload
 from rowjudge.judges.rule import RuleJudge
-from rowjudge.questions import (CHOICE, NOUL, PROMPT_INTENT, SCORE, Question, QuestionError, QuestionSet,
+from rowjudge.operators.question_sets import compile_question_column
+from rowjudge.questions import (CHOICE, KINDS, NOUL, PROMPT_INTENT, SCORE, Question, QuestionError, QuestionSet,
                                 make_question, parse_questions, resolve_kind)
 
 RULES = RuleJudge()
@@ -31,7 +33,7 @@ def _array(options: Sequence[str]) -> Column:
 
 def _column_options(options: Column, kind: str) -> Column:
     ok = F.when(F.exists(options, lambda o: o.isNull()),
-                F.raise_error(f"the options of a '{kind}' question cannot contain NULL").cast("array<string>"))
+                F.raise_error(f"a '{kind}' question has a NULL among its options").cast("array<string>"))
     ok = ok.when(F.size(options) == 0,
                  F.raise_error(f"a '{kind}' question needs at least one option").cast("array<string>"))
     return ok.otherwise(options)
@@ -100,17 +102,30 @@ def choice(payload: Column, question: str | Column | None, options: Options, *,
     return _field(payload, question, CHOICE, options, "choice", "string", judge)
 
 
-def confidence(payload: Column, question: str | Column | None, kind: str | None, options: Options, *,
+def _by_kind(kind: Column, answer: Callable[[str], Column], type_: str) -> Column:
+    lowered = F.lower(kind)
+    unknown = F.raise_error(F.concat(F.lit("unknown question kind "), kind)).cast(type_)
+    result = F.when(kind.isNull(), F.lit(None).cast(type_))
+    for known in KINDS:
+        result = result.when(lowered == known, answer(known))
+    return result.otherwise(unknown)
+
+
+def confidence(payload: Column, question: str | Column | None, kind: str | Column | None, options: Options, *,
                judge: RuleJudge = RULES) -> Column:
     """Confidence of the score or choice answer; a yes/no answer has none."""
+    if isinstance(kind, Column):
+        return _by_kind(kind, lambda k: confidence(payload, question, k, options, judge=judge), "double")
     if kind is None or resolve_kind(kind) == NOUL:
         return F.lit(None).cast("double")
     return _field(payload, question, resolve_kind(kind), options, "confidence", "double", judge)
 
 
-def evaluate(payload: Column, question: str | Column | None, kind: str | None = NOUL, options: Options = None, *,
+def evaluate(payload: Column, question: str | Column | None, kind: str | Column | None = NOUL, options: Options = None, *,
              judge: RuleJudge = RULES, needle: str | None = None) -> Column:
-    """The full answer as JSON text."""
+    """The full answer as JSON text. The kind may come from a column."""
+    if isinstance(kind, Column):
+        return _by_kind(kind, lambda k: evaluate(payload, question, k, options, judge=judge, needle=needle), "string")
     if question is None or kind is None:
         return F.lit(None).cast("string")
     kind = resolve_kind(kind)
@@ -142,6 +157,18 @@ def ask_json(payload: Column, questions: str | dict | QuestionSet | None, *, jud
     return F.to_json(ask(payload, questions, judge=judge))
 
 
+def with_asked(df: DataFrame, payload: Column, questions: Column, *, into: str = "answers",
+               cfg: JudgeConfig = JudgeConfig(), judge: RuleJudge = RULES) -> DataFrame:
+    """:func:`ask_json` with a question-set text per row: validated in Arrow batches, once per
+    distinct text of a batch, and answered in native expressions."""
+    ready = df.withColumn("_payload", payload).withColumn("_asked", questions)
+    compiled = compile_question_column(ready, "_asked", cfg.model, into="_qset")
+    asked = F.col("_qset.questions")
+    answers = F.transform(asked, lambda q: judge.answer_json(F.col("_payload"), q))
+    whole = answer_object(F.transform(asked, lambda q: q["name"]), answers)
+    return compiled.withColumn(into, F.when(F.col("_payload").isNotNull(), whole)).drop("_payload", "_asked", "_qset")
+
+
 def intent_of_payload(payload: Column, *, judge: RuleJudge = RULES) -> Column:
     intent, malicious = (_set_answer(payload, q, judge) for q in PROMPT_INTENT.questions)
     return F.when(

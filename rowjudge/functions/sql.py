@@ -60,7 +60,7 @@ def _asked(question: Question) -> str:
 
 _WORD = r"lower(element_at(split(trim(question), '\\s+'), -1))"
 _OPTIONS = """(CASE WHEN size(options) = 0 THEN raise_error('a question needs at least one option')
-    WHEN exists(options, o -> o IS NULL) THEN raise_error('the options of a question cannot contain NULL')
+    WHEN exists(options, o -> o IS NULL) THEN raise_error('a question has a NULL among its options')
     ELSE array_distinct(options) END)"""
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowjudge.config import JudgeConfig
+
 # Statuses below 500 that are worth another attempt.
 RETRYABLE = (408, 429, 529)
 
@@ -51,21 +53,19 @@ class NotReady(RuntimeError):
 
 
 class CallableJudge:
-    """``call(request, timeout_seconds) -> reply``. ``ready`` may raise :class:`NotReady`; it is
-    asked only when there is something to send."""
+    """``call(request, timeout_seconds) -> reply``, the timeout being the run's setting. ``ready``
+    may raise :class:`NotReady`; it is asked only when there is something to send."""
 
-    def __init__(self, call: Callable[[str, float], str], *, timeout_seconds: float = 30.0,
-                 ready: Callable[[], None] | None = None):
+    def __init__(self, call: Callable[[str, float], str], *, ready: Callable[[], None] | None = None):
         self.call = call
-        self.timeout_seconds = timeout_seconds
         self.ready = ready
 
     def require_ready(self) -> None:
         if self.ready is not None:
             self.ready()
 
-    def _sender(self):
-        call, timeout = self.call, self.timeout_seconds
+    def _sender(self, timeout: float):
+        call = self.call
 
         def one(request: str) -> tuple:
             began = time.perf_counter()
@@ -87,9 +87,9 @@ class CallableJudge:
 
         return send
 
-    def reply(self, batches: DataFrame) -> DataFrame:
+    def reply(self, batches: DataFrame, cfg: JudgeConfig = JudgeConfig()) -> DataFrame:
         schema = T.StructType([*batches.schema.fields, *_CALL_FIELDS.fields])
-        called = batches.mapInArrow(self._sender(), schema).withColumn("_reply", F.from_json("response", _REPLY))
+        called = batches.mapInArrow(self._sender(cfg.timeout_seconds), schema).withColumn("_reply", F.from_json("response", _REPLY))
         found = F.col("_reply.answers")
         answers = F.transform("payloads", lambda _, i: F.transform(
             "questions",
@@ -99,8 +99,8 @@ class CallableJudge:
         answered = F.size(F.filter(F.flatten("answers"), lambda a: a.isNotNull()))
         error = (F.when(F.col("call_error").isNotNull(), F.col("call_error"))
                  .when(found.isNull(), F.lit("the reply holds no answers object"))
-                 .when(answered < expected, F.concat(F.lit("answered "), answered.cast("string"), F.lit(" of "),
-                                                     expected.cast("string"), F.lit(" questions"))))
+                 .when(answered < expected, F.concat(answered.cast("string"), F.lit(" of "), expected.cast("string"),
+                                                     F.lit(" questions were answered"))))
         zero = F.lit(0).cast("bigint")
         return (called.withColumn("answers", answers)
                 .withColumn("error", error)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowjudge.config import JudgeConfig
 from rowjudge.questions import NOUL
 
 
@@ -22,7 +23,7 @@ class ModelJudge:
     def require_ready(self) -> None:
         """A fitted model is ready."""
 
-    def reply(self, batches: DataFrame) -> DataFrame:
+    def reply(self, batches: DataFrame, cfg: JudgeConfig = JudgeConfig()) -> DataFrame:
         items = batches.select("batch_id", F.posexplode("payloads").alias("at", "payload"))
         answer = F.to_json(F.struct(F.lit(NOUL).alias("type"), F.col("probability").cast("double").alias("noul")))
         scored = self.transform(items).select("batch_id", "at", answer.alias("answer"))

@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowjudge.config import JudgeConfig
 from rowjudge.questions import CHOICE, NOUL, SCORE, Question
 
 # The two yes/no probabilities.
@@ -91,7 +92,7 @@ class RuleJudge:
 
     # -- batches, as the dispatch stage sees them ---------------------------------------
 
-    def _answer_json(self, payload: Column, q: Column) -> Column:
+    def answer_json(self, payload: Column, q: Column) -> Column:
         needle = F.lower(F.coalesce(q["needle"], last_word_of(q["query"])))
         for name, word in self.needles.items():
             needle = F.when(q["name"] == name, F.lit(word.lower())).otherwise(needle)
@@ -100,10 +101,10 @@ class RuleJudge:
                 .when(q["kind"] == SCORE, F.to_json(self.answer(payload, SCORE, "", q["options"])))
                 .otherwise(F.to_json(self.answer(payload, CHOICE, "", q["options"]))))
 
-    def reply(self, batches: DataFrame) -> DataFrame:
+    def reply(self, batches: DataFrame, cfg: JudgeConfig = JudgeConfig()) -> DataFrame:
         """Answer every item of every batch. Tokens in: a quarter of the request's length;
         tokens out: one per answer."""
-        answers = F.transform("payloads", lambda p: F.transform("questions", lambda q: self._answer_json(p, q)))
+        answers = F.transform("payloads", lambda p: F.transform("questions", lambda q: self.answer_json(p, q)))
         return batches.select(
             "*",
             answers.alias("answers"),

@@ -17,9 +17,9 @@ class CapExceeded(RuntimeError):
 
 def check_caps(cfg: JudgeConfig, rows: int, payload_bytes: int) -> None:
     if 0 < cfg.max_rows_per_run < rows:
-        raise CapExceeded(f"this run would send {rows} rows, above max_rows_per_run = {cfg.max_rows_per_run}")
+        raise CapExceeded(f"{rows} rows to send are more than max_rows_per_run = {cfg.max_rows_per_run}")
     if 0 < cfg.max_payload_bytes_per_run < payload_bytes:
-        raise CapExceeded(f"this run would send {payload_bytes} bytes of row data, above "
+        raise CapExceeded(f"{payload_bytes} payload bytes to send are more than "
                           f"max_payload_bytes_per_run = {cfg.max_payload_bytes_per_run}")
 
 

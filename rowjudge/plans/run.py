@@ -51,6 +51,11 @@ class JudgedRun:
     run_id: str
     rows: DataFrame
     reports: list[dict] = field(default_factory=list)
+    work: str = ""
+
+    def discard(self) -> None:
+        """Delete the run's scratch tables, once ``rows`` is not needed any more."""
+        files.delete(self.rows.sparkSession, self.work)
 
     @property
     def report(self) -> dict:
@@ -159,7 +164,7 @@ class _Run:
     def send(self, batches: DataFrame, name: str, attempt: int) -> list[Row]:
         """Judge the batches, commit the replies, then the paid answers and the ledger rows.
         Returns the tally of the replies: one row per status and retryability."""
-        replies = self.judge.reply(batches).withColumn("attempt", F.lit(attempt))
+        replies = self.judge.reply(batches, self.cfg).withColumn("attempt", F.lit(attempt))
         for column in ("payloads", "questions", "request"):  # needed again only after a failure
             replies = replies.withColumn(column, F.when(F.col("status") != "ok", F.col(column)))
         replies = self.write(replies, f"replies/{name}")
@@ -306,11 +311,13 @@ def judge_rows(
     else:
         reports = _reports(run, requests, fixed_scope, reclaimed)
     _keep_books(run, reports)
+    if store is not None and rows:
+        store.trim(cfg.store_max_entries)
     if dead:
         first_error = _bury(run, run.unanswered(todo))
         if on_failure == "raise":
             raise JudgingFailed(f"{dead} rows got no answer: {first_error}")
-    return JudgedRun(run_id, _with_answers(run, df, requests, reports, columns), reports)
+    return JudgedRun(run_id, _with_answers(run, df, requests, once, columns), reports, run.work)
 
 
 def _keep_books(run: _Run, reports: list[dict]) -> None:
@@ -332,17 +339,21 @@ def _bury(run: _Run, left: DataFrame) -> str:
     return letters.agg(F.min("error")).first()[0]
 
 
-def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, reports: list[dict], columns: list[Column]) -> DataFrame:
-    """The rows with their answers; lazy, and reading written answers only."""
+def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, once: bool, columns: list[Column]) -> DataFrame:
+    """The rows with their answers; lazy, and reading written answers only. When each key is met
+    ``once`` it is the rows' key, and a sent answer needs no way back to it."""
     hits = requests.where(F.col("fate") == "hit").select("row_key", ANSWERS)
     resolved = hits
+    counts = requests.select("row_key", "n_rows")
     if run.passes:
-        sent = requests.where(F.col("fate") == "miss").select("row_key", "entry_key")
-        resolved = hits.unionByName(
-            sent.join(_answers(run.replies()).select("entry_key", ANSWERS), "entry_key").select("row_key", ANSWERS))
-    if len(reports) > 1:
+        sent = _answers(run.replies()).select("entry_key", ANSWERS)
+        if not once:
+            keys = requests.where(F.col("fate") == "miss").select("row_key", "entry_key")
+            sent = keys.join(sent, "entry_key").drop("entry_key")
+        resolved = hits.unionByName(sent.toDF("row_key", ANSWERS))
+    if not once:
         resolved = resolved.dropDuplicates(["row_key"])
-    counts = requests.groupBy("row_key").agg(F.sum("n_rows").alias("n_rows"))
+        counts = counts.groupBy("row_key").agg(F.sum("n_rows").alias("n_rows"))
     _, scope, asked = columns
     question = run.questions if run.per_row else None
     keyed = df.withColumn(ROW_KEY, run.row_key(scope, asked, question))

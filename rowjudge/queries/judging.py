@@ -360,3 +360,32 @@ def judge_comparison(spark: SparkSession, sf: str) -> DataFrame:
     judges = {"license": J.probability(payload, "?", needle="license"),
               "mail": J.probability(payload, "?", needle="@"), "word": J.probability(payload, "?", needle="the")}
     return patterns.quality_report(patterns.judged_by_each(labelled(spark, sf), "payload", judges), by=["judge"])
+
+
+@query(f"""
+WITH q AS (SELECT o_orderkey, o_orderstatus, {ORDER_SQL} AS payload FROM orders)
+SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN concat('{{"urgent":{{"type":"noul","noul":', {noul_sql("payload", "urgent")}, '}}}}')
+  WHEN 'O' THEN concat('{{"high":{{"type":"noul","noul":', {noul_sql("payload", "high")}, '}},"low":{{"type":"noul","noul":',
+    {noul_sql("payload", "low")}, '}}}}') END AS answers FROM q""")
+def ask_per_row_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Which questions are asked depends on the row; rows without any are not judged."""
+    orders = table(spark, sf, "orders")
+    one = '{"urgent": {"type": "noul", "question": "the order is urgent"}}'
+    two = '{"high": {"type": "noul", "question": "it is high"}, "low": {"type": "noul", "question": "it is low"}}'
+    questions = F.when(F.col("o_orderstatus") == "F", one).when(F.col("o_orderstatus") == "O", two)
+    payload = row_payload(orders, ["o_orderkey", "o_orderstatus", "o_orderpriority"])
+    return J.with_asked(orders, payload, questions).select("o_orderkey", "answers")
+
+
+@query(f"""
+WITH q AS (SELECT c_custkey, c_mktsegment, {CUSTOMER_SQL} AS payload FROM customer)
+SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'noul' WHEN c_mktsegment = 'MACHINERY' THEN 'choice'
+    WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE 'score' END AS type,
+  CASE WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN NULL ELSE 1.0::DOUBLE END AS confidence FROM q""")
+def judge_eval_kind_column(spark: SparkSession, sf: str) -> DataFrame:
+    people, segment = customers(spark, sf), F.col("c_mktsegment")
+    kind = (F.when(segment == "BUILDING", "NOUL").when(segment == "MACHINERY", "Choice")
+            .when(segment != "FURNITURE", "score"))
+    payload = F.col("payload")
+    return people.select("c_custkey", F.get_json_object(J.evaluate(payload, "which?", kind, LEVELS), "$.type").alias("type"),
+                         J.confidence(payload, "which?", kind, LEVELS).alias("confidence"))

@@ -128,7 +128,7 @@ def _list_literal(text: str) -> list[str]:
     """``'[a, b]'`` is a list of two labels, as in SQL."""
     inner = text.strip()
     if not (inner.startswith("[") and inner.endswith("]")):
-        raise QuestionError("the options are a list of labels or a map of label to description")
+        raise QuestionError("a text is no list of labels, unless it reads '[a, b]'")
     return [part.strip().strip("'\"") for part in inner[1:-1].split(",") if part.strip()]
 
 
@@ -146,12 +146,11 @@ def make_question(query: str, kind: str = NOUL, options=None, *, name: str = "q"
         options = _list_literal(options)
     if isinstance(options, dict):
         if kind != CHOICE:
-            raise QuestionError(
-                f"only a 'choice' question takes label descriptions; give a '{kind}' question a list of levels")
+            raise QuestionError(f"only a 'choice' question takes label descriptions, and this is a '{kind}'")
         descriptions = tuple(options.values())
         options = list(options)
     if any(o is None for o in options):
-        raise QuestionError(f"the options of a '{kind}' question cannot contain NULL")
+        raise QuestionError(f"a '{kind}' question has a NULL among its options")
     if not options:
         raise QuestionError(f"a '{kind}' question needs at least one option")
     return Question(kind, query, tuple(str(o) for o in options), descriptions, name, pointer, needle)
@@ -166,20 +165,20 @@ def _text_field(spec: dict, field: str, name: str) -> str:
 
 def _labels(spec: dict, name: str) -> tuple[list[str], list[str | None]]:
     if "options" not in spec:
-        raise QuestionError(f"choice question '{name}' needs \"options\"")
+        raise QuestionError(f"choice question '{name}' comes without \"options\"")
     options = spec["options"]
     if isinstance(options, list):
         labels, told = options, []
     elif isinstance(options, dict):
         labels, told = list(options), list(options.values())
         if any(not isinstance(d, (str, type(None))) for d in told):
-            raise QuestionError(f"the options of '{name}' map a label to a description string or null")
+            raise QuestionError(f"'{name}' describes an option by something other than text or null")
     else:
-        raise QuestionError(f"the options of '{name}' are a list of labels or an object of label to description")
+        raise QuestionError(f"'{name}' wants its options as an array, or as an object that describes them")
     if any(not isinstance(label, str) or not label for label in labels):
-        raise QuestionError(f"the options of '{name}' must be non-empty strings")
+        raise QuestionError(f"'{name}' has an option that is empty or no text")
     if not 1 <= len(labels) <= MAX_OPTIONS:
-        raise QuestionError(f"choice question '{name}' needs 1 to {MAX_OPTIONS} options")
+        raise QuestionError(f"choice question '{name}' has {len(labels)} options, not 1 to {MAX_OPTIONS}")
     for i, label in enumerate(labels):
         if label in labels[:i]:
             raise QuestionError(f"choice question '{name}' repeats the option '{label}'")
@@ -189,9 +188,9 @@ def _labels(spec: dict, name: str) -> tuple[list[str], list[str | None]]:
 def _levels(spec: dict, name: str) -> list[str]:
     levels = spec.get("levels")
     if not isinstance(levels, list):
-        raise QuestionError(f"score question '{name}' needs \"levels\", a list")
+        raise QuestionError(f"score question '{name}' comes without a list of \"levels\"")
     if any(not isinstance(level, str) or not level for level in levels):
-        raise QuestionError(f"the levels of '{name}' must be non-empty strings")
+        raise QuestionError(f"'{name}' has a level that is empty or no text")
     if not MIN_LEVELS <= len(levels) <= MAX_LEVELS:
         raise QuestionError(f"score question '{name}' needs {MIN_LEVELS} to {MAX_LEVELS} levels")
     return levels
@@ -242,7 +241,7 @@ def parse_questions(questions: str | dict) -> QuestionSet:
     if not isinstance(questions, dict) or not questions:
         raise QuestionError("the questions must be a non-empty JSON object of name to question")
     if len(questions) > MAX_QUESTIONS:
-        raise QuestionError(f"at most {MAX_QUESTIONS} questions per call")
+        raise QuestionError(f"{len(questions)} questions are more than the {MAX_QUESTIONS} of one request")
     return QuestionSet(tuple(_named_question(name, spec) for name, spec in questions.items()))
 
 

@@ -112,6 +112,11 @@ class AnswerStore:
         self._write(answers.withColumn("seq", stamp).withColumn("age", stamp), f"{folder}/part={number:09d}", rows)
         return number
 
+    def trim(self, max_entries: int) -> None:
+        """Compact once more than ``max_entries`` answers are kept; zero never does."""
+        if 0 < max_entries < self.log().count():
+            self.compact(max_entries)
+
     def compact(self, max_entries: int = 0) -> int:
         """Rewrite to one row per key, the oldest beyond ``max_entries`` dropped; returns the
         number of answers kept."""

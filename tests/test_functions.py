@@ -77,7 +77,7 @@ def test_options_in_a_column(spark):
     assert column(df, J.choice(p, "?", F.col("o"))) == ["b", "c", None]
     assert column(df, J.score_norm(p, "?", F.col("o"))) == [1.0, 0.0, None]
     bad = spark.createDataFrame([(1, "x", ["a", None])], "id int, t string, o array<string>")
-    with pytest.raises(Exception, match="cannot contain NULL"):
+    with pytest.raises(Exception, match="NULL among its options"):
         column(bad, J.choice(value_payload(bad, "t"), "?", F.col("o")))
     empty = spark.createDataFrame([(1, "x", [])], "id int, t string, o array<string>")
     with pytest.raises(Exception, match="at least one option"):
@@ -128,5 +128,19 @@ def test_answer_fields(spark):
                                         (None, None, None)]
     assert list(rows[0][2]) == ["z", "b"]
     broken = spark.createDataFrame([("{nope",)], "a string")
-    with pytest.raises(Exception, match="could not parse the answer"):
+    with pytest.raises(Exception, match="an answer is no JSON"):
         broken.select(A.number_field(a, "noul")).collect()
+
+
+def test_kind_and_questions_per_row(people):
+    p = row_payload(people)
+    kind = F.when(F.col("id") == 1, "NOUL").when(F.col("id") == 2, "choice")
+    got = column(people, J.evaluate(p, CODER, kind, ["a", "b"]))
+    assert [g and json.loads(g)["type"] for g in got] == ["noul", "choice", None]
+    with pytest.raises(Exception, match="unknown question kind rubric"):
+        column(people, J.evaluate(p, CODER, F.lit("rubric"), ["a"]))
+    one = '{"b": {"type": "noul", "question": "is poetry"}, "a": {"type": "choice", "question": "?", "options": ["x"]}}'
+    asked = J.with_asked(people, p, F.when(F.col("id") == 3, one)).orderBy("id")
+    assert [r.answers for r in asked.collect()][:2] == [None, None]
+    answer = json.loads(asked.collect()[2].answers)
+    assert list(answer) == ["b", "a"] and answer["b"]["noul"] == 0.9 and answer["a"]["choice"] == "x"

@@ -129,7 +129,7 @@ def test_a_failed_set_keeps_what_was_paid(people, kit):
 
 @pytest.mark.parametrize("question, attempts, error", [
     ("trigger503", 2, "overloaded"), ("is dropped", 2, "connection dropped"), ("trigger422", 1, "refused"),
-    ("is silent", 1, "no answers object"), ("is partial", 1, "answered 2 of 3 questions")])
+    ("is silent", 1, "no answers object"), ("is partial", 1, "2 of 3 questions were answered")])
 def test_attempts(people, kit, question, attempts, error):
     with pytest.raises(JudgingFailed, match=error):
         judge_rows(people, row_payload(people), single(make_question(question)), STRICT, resend_failed=False,
@@ -217,3 +217,24 @@ def test_waves_bound_what_a_task_sends(prompts):
 def test_a_set_is_validated_on_the_driver():
     with pytest.raises(QuestionError):
         parse_questions("{}")
+
+
+def test_a_trimmed_store_and_a_discarded_run(spark, prompts, kit):
+    run = judge_rows(prompts, value_payload(prompts, "user_prompt"), PROMPT_INTENT, STRICT,
+                     cfg=JudgeConfig(store_max_entries=12), **kit)
+    assert kit["store"].log().count() == 12 and run.rows.where("answers IS NULL").count() == 0
+    again = judge_rows(prompts, value_payload(prompts, "user_prompt"), PROMPT_INTENT, STRICT, **kit)
+    assert counts(again, "cache_hits", "rows_sent") == (12, 18)
+    run.discard()
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        run.rows.collect()
+
+
+def test_the_timeout_reaches_the_call(people):
+    def told(request, timeout):
+        return strict(request, timeout) if timeout == 7.5 else "{}"
+
+    run = judge_rows(people, row_payload(people), CODER, CallableJudge(told), cfg=JudgeConfig(timeout_seconds=7.5))
+    assert noul(run) == [0.9, 0.1, 0.1]
+    with pytest.raises(ValueError, match="has a column answers"):
+        judge_rows(run.rows, row_payload(people), CODER)

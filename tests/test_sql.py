@@ -48,7 +48,7 @@ def test_refusals(sql):
     for call, message in [("judge_eval('1', '?', 'rubric')", "unknown question kind"),
                           ("judge_eval('1', '?', 'choice')", "needs its options"),
                           ("judge_choice('1', '?', array())", "at least one option"),
-                          ("judge_choice('1', '?', array('a', NULL))", "cannot contain NULL")]:
+                          ("judge_choice('1', '?', array('a', NULL))", "NULL among its options")]:
         with pytest.raises(Exception, match=message):
             sql(f"SELECT {call}")
     assert sql("SELECT judge_choice('1', '?', NULL)") == [None]
