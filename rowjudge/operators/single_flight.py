@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def ownership(requests: DataFrame, *, query: str = "query_id") -> DataFrame:
-    """Per (query, key): ``owner``, the lowest query id that meets the key. ``requests`` is
-    already one row per (query, key), so a key's window holds one row per query."""
-    per_key = Window.partitionBy("entry_key")
-    return requests.withColumn("owner", F.min(query).over(per_key))
-
-
 def flight_counts(requests: DataFrame, *, query: str = "query_id") -> DataFrame:
-    """Rows in, sent by this query, shared with another query's send, and deduplicated."""
-    mine = F.col("owner") == F.col(query)
-    return (ownership(requests, query=query).groupBy(query).agg(
-        F.sum("n_rows").alias("rows_in"),
-        F.count_if(mine).alias("rows_sent"),
-        F.count_if(~mine).alias("shared_in_flight"),
-        (F.sum("n_rows") - F.count(F.lit(1))).alias("rows_deduped"),
-    ))
+    """Per query: rows in, keys it sends, keys it shares with the query that sends them, and
+    deduplicated rows. ``requests`` has one row per (query, key), with ``n_rows``.
+
+    The lowest query id that meets a key sends it. Counting needs no way back from a key to its
+    queries: what a query does not send of its keys, it shares. So a key that every query asks
+    about is combined on the map side like any other, and nothing joins on keys.
+    """
+    seen = requests.groupBy(query).agg(F.sum("n_rows").alias("rows_in"), F.count(F.lit(1)).alias("_keys"))
+    owners = requests.groupBy("entry_key").agg(F.min(query).alias(query))
+    owned = owners.groupBy(query).agg(F.count(F.lit(1)).alias("_sent"))
+    sent = F.coalesce("_sent", F.lit(0).cast("bigint"))
+    return seen.join(owned, query, "left").select(
+        query, "rows_in", sent.alias("rows_sent"), (F.col("_keys") - sent).alias("shared_in_flight"),
+        (F.col("rows_in") - F.col("_keys")).alias("rows_deduped"))

@@ -29,7 +29,7 @@ from rowjudge.operators.lookup import attach, hot_keys
 from rowjudge.operators.packing import BROADCAST_GROUPS, large_groups, pack, shards_of
 from rowjudge.operators.question_sets import compile_question_column, literal_set
 from rowjudge.operators.requests import request_column, request_size
-from rowjudge.operators.single_flight import ownership
+from rowjudge.operators.single_flight import flight_counts
 from rowjudge.questions import QuestionSet
 from rowjudge.sources import files
 from rowjudge.sources.answer_store import SCHEMA as STORE_SCHEMA
@@ -225,11 +225,7 @@ def _answers(replies: DataFrame) -> DataFrame:
 def _reports(run: _Run, requests: DataFrame, scope: str | None, reclaimed: int) -> list[dict]:
     """Counters per query of a run that several queries or question texts share. rows_in = null + hits + sent + shared + deduped."""
     miss = requests.where(F.col("fate") == "miss")
-    owned = ownership(miss.groupBy("query_id", "entry_key").agg(F.sum("n_rows").alias("n_rows")))
-    mine = F.col("owner") == F.col("query_id")
-    sent = owned.groupBy("query_id").agg(
-        F.count_if(mine).alias("rows_sent"), F.count_if(~mine).alias("shared_in_flight"),
-        (F.sum("n_rows") - F.count(F.lit(1))).alias("rows_deduped"))
+    sent = flight_counts(miss.groupBy("query_id", "entry_key").agg(F.sum("n_rows").alias("n_rows"))).drop("rows_in")
     seen = requests.groupBy("query_id").agg(
         F.sum("n_rows").alias("rows_in"),
         F.sum(F.when(F.col("fate") == "null", F.col("n_rows")).otherwise(0)).alias("rows_null"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowjudge.functions import judging as J
 from rowjudge.functions.payload import row_payload, value_payload
+from rowjudge.functions.sql import register
 from rowjudge.judges.rule import RuleJudge
 from rowjudge.plans import patterns
 from rowjudge.queries.registry import PROMPT_SQL, intent_sql, noul_sql, payload_sql, pick_sql, query
@@ -389,3 +390,23 @@ def judge_eval_kind_column(spark: SparkSession, sf: str) -> DataFrame:
     payload = F.col("payload")
     return people.select("c_custkey", F.get_json_object(J.evaluate(payload, "which?", kind, LEVELS), "$.type").alias("type"),
                          J.confidence(payload, "which?", kind, LEVELS).alias("confidence"))
+
+
+@query(f"""
+WITH q AS (SELECT doc_id, lang, {TEXT_PAYLOAD} AS payload FROM documents)
+SELECT doc_id, {noul_sql("payload", "license")} AS probability, {noul_sql("payload", "license")} >= 0.5 AS holds,
+  {pick_sql("payload", TEAMS)} AS team, CAST(length(payload) % 3 AS DOUBLE) / 2 AS seniority,
+  {pick_sql("payload", ["work_related", "personal", "other"])} AS intent, 0.1::DOUBLE AS malicious_probability
+FROM q WHERE lang = 'en'""")
+def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same functions, called from SQL."""
+    register(spark, generic=True)
+    table(spark, sf, "documents").createOrReplaceTempView("rowjudge_documents")
+    return spark.sql("""
+        SELECT doc_id, judge_prob(payload, 'the text holds a license') AS probability,
+          judge(payload, 'the text holds a license') AS holds,
+          judge_choice(payload, 'which team?', array('billing', 'technical', 'sales')) AS team,
+          judge_score_norm(payload, 'how senior?', array('junior', 'mid', 'senior')) AS seniority,
+          r.intent, r.malicious_probability
+        FROM (SELECT doc_id, text_payload(text) AS payload, prompt_intent(text) AS r FROM rowjudge_documents
+              WHERE lang = 'en')""")

@@ -245,15 +245,25 @@ USER_PAYLOADS_SQL = f"SELECT DISTINCT {TEXT_PAYLOAD} AS payload FROM conversatio
 WITH n AS (SELECT count(*) AS sent FROM ({USER_PAYLOADS_SQL})), a AS (SELECT count(*) AS rows_in FROM conversations WHERE role = 'user')
 SELECT phase::BIGINT AS phase, scope, CASE WHEN fresh THEN sent ELSE 0 END AS rows_sent,
   CASE WHEN fresh THEN 0 ELSE rows_in END AS cache_hits, CASE WHEN fresh THEN rows_in - sent ELSE 0 END AS rows_deduped
-FROM n, a, (VALUES (1, '101', true), (2, '101', false), (3, '202', true)) t(phase, scope, fresh)""")
+FROM n, a, (VALUES (1, '101', true), (2, '101', false), (3, '202', true), (4, '202', true), (5, '101', false))
+  t(phase, scope, fresh)""")
 def scope_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """One parameterised run for customer 101, the same again, then for customer 202: answers are
-    kept, and kept apart. The result is read from the ledger."""
+    kept, and kept apart. Once 202's are cleared it pays again, 101 does not. The result is read
+    from the ledger."""
     turns = table(spark, sf, "conversations").where(F.col("role") == "user")
     folder = f"{files.scratch_dir(spark)}/rerun-{uuid.uuid4().hex}"
     store, ledger = AnswerStore(spark, f"{folder}/store"), Ledger(spark, f"{folder}/ledger")
+
+    def run(scope: str) -> None:
+        judge_rows(turns, value_payload(turns, "text"), PROMPT_INTENT, ON_AT, scope=scope, store=store, ledger=ledger,
+                   cfg=CFG)
+
     for scope in ("101", "101", "202"):
-        judge_rows(turns, value_payload(turns, "text"), PROMPT_INTENT, ON_AT, scope=scope, store=store, ledger=ledger, cfg=CFG)
+        run(scope)
+    store.clear(scope="202")
+    for scope in ("202", "101"):
+        run(scope)
     return ledger.runs().select(F.col("seq").alias("phase"), "scope", "rows_sent", "cache_hits", "rows_deduped")
 
 
