@@ -75,6 +75,8 @@ class CallableJudge:
                 reply = (None, error.status, str(error), error.retryable)
             except OSError as error:
                 reply = (None, None, f"{type(error).__name__}: {error}", True)
+            except Exception as error:  # a bug in the call must not cost the task its paid replies
+                reply = (None, None, f"{type(error).__name__}: {error}", False)
             return (*reply, (time.perf_counter() - began) * 1000)
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,10 +12,11 @@ HOT_SHARE = 1e-5
 HOT_ROWS = 1_000
 
 
-def hot_keys(counts: DataFrame, key: str) -> DataFrame:
+def hot_keys(counts: DataFrame, key: str, total: int | None = None) -> DataFrame:
     """Keys of ``counts`` (``key``, ``n_rows``) with a share of at least HOT_SHARE, and in how
-    many ``copies`` each is split so that no part holds more than that share."""
-    total = counts.agg(F.sum("n_rows")).scalar()
+    many ``copies`` each is split so that no part holds more than that share. ``total`` is the
+    sum of ``n_rows`` where it is known."""
+    total = counts.agg(F.sum("n_rows")).scalar() if total is None else F.lit(total)
     floor = F.greatest(total * HOT_SHARE, F.lit(float(HOT_ROWS)))
     hot = counts.where((F.col("n_rows") >= floor) & F.col(key).isNotNull())
     return hot.select(key, F.ceil(F.col("n_rows") / floor).cast("int").alias("copies"))

@@ -25,7 +25,7 @@ from rowjudge.judges.rule import RuleJudge
 from rowjudge.operators.dedupe import distinct_requests, split_fates, with_entry_key
 from rowjudge.operators.guards import USD_PER_MILLION_TOKENS, check_caps
 from rowjudge.operators.keys import entry_key
-from rowjudge.operators.lookup import attach, hot_keys
+from rowjudge.operators.lookup import HOT_ROWS, attach, hot_keys
 from rowjudge.operators.packing import BROADCAST_GROUPS, large_groups, pack, shards_of
 from rowjudge.operators.question_sets import compile_question_column, literal_set
 from rowjudge.operators.requests import request_column, request_size
@@ -313,7 +313,8 @@ def judge_rows(
         first_error = _bury(run, run.unanswered(todo))
         if on_failure == "raise":
             raise JudgingFailed(f"{dead} rows got no answer: {first_error}")
-    return JudgedRun(run_id, _with_answers(run, df, requests, once, columns), reports, run.work)
+    total = sum(fate["n_rows"] for fate in fates.values())
+    return JudgedRun(run_id, _with_answers(run, df, requests, total, once, columns), reports, run.work)
 
 
 def _keep_books(run: _Run, reports: list[dict]) -> None:
@@ -335,7 +336,8 @@ def _bury(run: _Run, left: DataFrame) -> str:
     return letters.agg(F.min("error")).first()[0]
 
 
-def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, once: bool, columns: list[Column]) -> DataFrame:
+def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, total: int, once: bool,
+                  columns: list[Column]) -> DataFrame:
     """The rows with their answers; lazy, and reading written answers only. When each key is met
     ``once`` it is the rows' key, and a sent answer needs no way back to it."""
     hits = requests.where(F.col("fate") == "hit").select("row_key", ANSWERS)
@@ -353,8 +355,11 @@ def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, once: bool, col
     _, scope, asked = columns
     question = run.questions if run.per_row else None
     keyed = df.withColumn(ROW_KEY, run.row_key(scope, asked, question))
-    hot = hot_keys(counts, "row_key").withColumnRenamed("row_key", ROW_KEY)
-    return attach(keyed, resolved.withColumnRenamed("row_key", ROW_KEY), ROW_KEY, hot).drop(ROW_KEY)
+    resolved = resolved.withColumnRenamed("row_key", ROW_KEY)
+    if total < HOT_ROWS:  # too few rows for a hot key
+        return keyed.join(resolved, ROW_KEY, "left").drop(ROW_KEY)
+    hot = hot_keys(counts, "row_key", total).withColumnRenamed("row_key", ROW_KEY)
+    return attach(keyed, resolved, ROW_KEY, hot).drop(ROW_KEY)
 
 
 def judge_queries(queries: Mapping[str, tuple[DataFrame, Column]], questions: QuestionSet, judge=None,

@@ -397,7 +397,7 @@ WITH q AS (SELECT doc_id, lang, {TEXT_PAYLOAD} AS payload FROM documents)
 SELECT doc_id, {noul_sql("payload", "license")} AS probability, {noul_sql("payload", "license")} >= 0.5 AS holds,
   {pick_sql("payload", TEAMS)} AS team, CAST(length(payload) % 3 AS DOUBLE) / 2 AS seniority,
   {pick_sql("payload", ["work_related", "personal", "other"])} AS intent, 0.1::DOUBLE AS malicious_probability
-FROM q WHERE lang = 'en'""")
+FROM q""")
 def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
     """The same functions, called from SQL."""
     register(spark, generic=True)
@@ -408,5 +408,4 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
           judge_choice(payload, 'which team?', array('billing', 'technical', 'sales')) AS team,
           judge_score_norm(payload, 'how senior?', array('junior', 'mid', 'senior')) AS seniority,
           r.intent, r.malicious_probability
-        FROM (SELECT doc_id, text_payload(text) AS payload, prompt_intent(text) AS r FROM rowjudge_documents
-              WHERE lang = 'en')""")
+        FROM (SELECT doc_id, text_payload(text) AS payload, prompt_intent(text) AS r FROM rowjudge_documents)""")

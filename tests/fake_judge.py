@@ -42,6 +42,8 @@ def strict(request: str, timeout: float) -> str:
         raise JudgeError("overloaded", 503)
     if "dropped" in asked:
         raise ConnectionError("connection dropped")
+    if "buggy" in asked:
+        raise ValueError("a bug")
     if "silent" in asked:
         return '{"model": "m"}'
     answers = {}

@@ -129,7 +129,7 @@ def test_a_failed_set_keeps_what_was_paid(people, kit):
 
 @pytest.mark.parametrize("question, attempts, error", [
     ("trigger503", 2, "overloaded"), ("is dropped", 2, "connection dropped"), ("trigger422", 1, "refused"),
-    ("is silent", 1, "no answers object"), ("is partial", 1, "2 of 3 questions were answered")])
+    ("is buggy", 1, "ValueError: a bug"), ("is silent", 1, "no answers object"), ("is partial", 1, "2 of 3 questions were answered")])
 def test_attempts(people, kit, question, attempts, error):
     with pytest.raises(JudgingFailed, match=error):
         judge_rows(people, row_payload(people), single(make_question(question)), STRICT, resend_failed=False,
