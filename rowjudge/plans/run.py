@@ -12,7 +12,7 @@ payloads, once for the result), each time with just the columns it needs.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -259,21 +259,26 @@ def judge_rows(
     query_id: Column | None = None,
     on_failure: str = "raise",
     resend_failed: bool = True,
+    fields: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> JudgedRun:
     """Judge every row of ``df``.
 
     ``questions`` is one set for all rows or a column of question-set texts. ``scope`` keeps
     answers of one customer from another; it is a value or a column, and is taken now, when the
     run happens. ``query_id`` marks several queries that share the run. With ``on_failure`` =
-    ``keep`` rows without an answer stay NULL instead of failing the run.
+    ``keep`` rows without an answer stay NULL instead of failing the run. ``fields`` names columns
+    to have instead of ``answers``, each a function of it: they are worked out once per distinct
+    request, before the join-back, which then carries them and not the raw answers.
     """
     spark = df.sparkSession
     cfg = cfg or JudgeConfig.from_conf(spark)
     run_id = uuid.uuid4().hex
     run = _Run(spark, cfg, judge or RuleJudge(), questions, f"{files.scratch_dir(spark)}/run-{run_id}", run_id,
                store, ledger, isinstance(scope, str) and isinstance(questions, QuestionSet))
-    if ANSWERS in df.columns:
-        raise ValueError(f"the input has a column {ANSWERS} already")
+    fields = dict(fields or {ANSWERS: lambda answers: answers})
+    taken = sorted(set(fields) & set(df.columns))
+    if taken:
+        raise ValueError(f"the input has a column {', '.join(taken)} already")
 
     fixed_scope = scope if isinstance(scope, str) else None
     scope_column = F.coalesce(scope.cast("string"), F.lit("")) if isinstance(scope, Column) else F.lit(scope)
@@ -314,7 +319,8 @@ def judge_rows(
         if on_failure == "raise":
             raise JudgingFailed(f"{dead} rows got no answer: {first_error}")
     total = sum(fate["n_rows"] for fate in fates.values())
-    return JudgedRun(run_id, _with_answers(run, df, requests, total, once, columns), reports, run.work)
+    return JudgedRun(run_id, _with_answers(run, df, requests, total, once, columns, fields), reports,
+                     run.work)
 
 
 def _keep_books(run: _Run, reports: list[dict]) -> None:
@@ -337,7 +343,7 @@ def _bury(run: _Run, left: DataFrame) -> str:
 
 
 def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, total: int, once: bool,
-                  columns: list[Column]) -> DataFrame:
+                  columns: list[Column], fields: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
     """The rows with their answers; lazy, and reading written answers only. When each key is met
     ``once`` it is the rows' key, and a sent answer needs no way back to it."""
     hits = requests.where(F.col("fate") == "hit").select("row_key", ANSWERS)
@@ -355,7 +361,8 @@ def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, total: int, onc
     _, scope, asked = columns
     question = run.questions if run.per_row else None
     keyed = df.withColumn(ROW_KEY, run.row_key(scope, asked, question))
-    resolved = resolved.withColumnRenamed("row_key", ROW_KEY)
+    resolved = resolved.select(F.col("row_key").alias(ROW_KEY),
+                               *[use(F.col(ANSWERS)).alias(name) for name, use in fields.items()])
     if total < HOT_ROWS:  # too few rows for a hot key
         return keyed.join(resolved, ROW_KEY, "left").drop(ROW_KEY)
     hot = hot_keys(counts, "row_key", total).withColumnRenamed("row_key", ROW_KEY)

@@ -156,10 +156,7 @@ def scope_spend_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- whole runs -----------------------------------------------------------------------------
 
-def _intent_columns(rows: DataFrame, *keep: str) -> DataFrame:
-    judged = rows.select(*keep, A.prompt_intent_of(F.col("answers")[0], F.col("answers")[1]).alias("r"))
-    return judged.select(*keep, "r.intent", "r.intent_confidence",
-                         F.col("r.intent_probabilities")["personal"].alias("p_personal"), "r.malicious_probability")
+INTENT_FIELDS = {"r": lambda answers: A.prompt_intent_of(answers[0], answers[1])}
 
 
 @query(f"""
@@ -170,8 +167,9 @@ FROM (SELECT doc_id, source, {intent_sql(TEXT_PAYLOAD)} AS intent, {noul_sql(TEX
 def judged_run(spark: SparkSession, sf: str) -> DataFrame:
     """A full run: dedupe, pack, judge, keep, join back; every source is its own scope."""
     docs = documents(spark, sf)
-    run = judge_rows(docs, F.col("payload"), PROMPT_INTENT, ON_AT, scope=F.col("source"), cfg=CFG)
-    return _intent_columns(run.rows, "doc_id", "source")
+    run = judge_rows(docs, F.col("payload"), PROMPT_INTENT, ON_AT, scope=F.col("source"), cfg=CFG, fields=INTENT_FIELDS)
+    return run.rows.select("doc_id", "source", "r.intent", "r.intent_confidence",
+                           F.col("r.intent_probabilities")["personal"].alias("p_personal"), "r.malicious_probability")
 
 
 TURN_SQL = """concat('{"role":', to_json(role), ',"text":', to_json(substring(text, 1, 2000)), '}')"""
@@ -189,10 +187,10 @@ def judged_run_per_row_questions(spark: SparkSession, sf: str) -> DataFrame:
            '"options": ["short", "long"]}}'
     one = '{"p": {"type": "noul", "question": "has the word the"}}'
     question = F.when(F.col("role") == "user", both).when(F.col("role") == "assistant", one)
-    run = judge_rows(turns, row_payload(turns, ["role", "text"]), question, cfg=CFG)
-    answers = F.col("answers")
-    return run.rows.select("conv_id", "turn", A.number_field(answers[0], "noul").alias("probability"),
-                           A.text_field(F.get(answers, F.lit(1)), "choice").alias("size"))
+    run = judge_rows(turns, row_payload(turns, ["role", "text"]), question, cfg=CFG, fields={
+        "probability": lambda answers: A.number_field(answers[0], "noul"),
+        "size": lambda answers: A.text_field(F.get(answers, F.lit(1)), "choice")})
+    return run.rows.select("conv_id", "turn", "probability", "size")
 
 
 REFUSED = "license"
@@ -234,8 +232,9 @@ def retry_pass(spark: SparkSession, sf: str) -> DataFrame:
     """A judge that refuses some batches: the paid answers stay, the rest is packed and sent once
     more, and what fails again is left without an answer."""
     docs = documents(spark, sf)
-    run = judge_rows(docs, F.col("payload"), PROMPT_INTENT, CallableJudge(rule_reply), cfg=FLAKY, on_failure="keep")
-    return _intent_columns(run.rows, "doc_id").select("doc_id", "intent", "malicious_probability")
+    run = judge_rows(docs, F.col("payload"), PROMPT_INTENT, CallableJudge(rule_reply), cfg=FLAKY, on_failure="keep",
+                     fields=INTENT_FIELDS)
+    return run.rows.select("doc_id", "r.intent", "r.malicious_probability")
 
 
 USER_PAYLOADS_SQL = f"SELECT DISTINCT {TEXT_PAYLOAD} AS payload FROM conversations WHERE role = 'user'"

@@ -238,3 +238,10 @@ def test_the_timeout_reaches_the_call(people):
     assert noul(run) == [0.9, 0.1, 0.1]
     with pytest.raises(ValueError, match="has a column answers"):
         judge_rows(run.rows, row_payload(people), CODER)
+
+
+def test_fields_instead_of_answers(people):
+    fields = {"p": lambda answers: A.number_field(answers[0], "noul"), "kind": lambda answers: A.text_field(answers[0], "type")}
+    run = judge_rows(people, row_payload(people), CODER, fields=fields)
+    assert run.rows.columns == ["id", "name", "note", "p", "kind"]
+    assert [(r.p, r.kind) for r in run.rows.orderBy("id").collect()] == [(0.9, "noul"), (0.1, "noul"), (0.1, "noul")]
