@@ -14,13 +14,18 @@ ROW = "to_json(struct(p.*), map('ignoreNullFields', 'false'))"
 def sql(spark, people, prompts):
     people.createOrReplaceTempView("people")
     prompts.createOrReplaceTempView("prompts")
-    register(spark)
-    with pytest.raises(AnalysisException):  # not there unless asked for
-        spark.sql("SELECT judge_prob('\"x\"', 'y')")
     register(spark, generic=True)
     return lambda text: [r[0] for r in spark.sql(text).collect()]
 
 
+def test_only_the_fixed_questions_exist_by_default(spark):
+    session = spark.newSession()
+    register(session)
+    assert session.sql("SELECT prompt_intent('hello').intent").first()[0] == "personal"
+    with pytest.raises(AnalysisException):
+        session.sql("SELECT judge_prob('1', 'y')")
+
+
 def test_predicate_and_probability(sql):
     assert sql(f"SELECT id FROM people p WHERE judge({ROW}, 'the person writes compilers')") == [1]
     assert sql(f"SELECT judge_prob({ROW}, 'the person writes compilers') FROM people p ORDER BY id") == [0.9, 0.1, 0.1]
