@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import pii
+from rowjudge.llm import packing, pii
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -21,3 +22,11 @@ def register(run):
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     return found.withColumn("spans", pii.spans_text("spans"))
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.PackConfig(TOKENIZER))
