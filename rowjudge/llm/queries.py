@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import packing, pii
+from rowjudge.llm import mixing, packing, pii, sharding
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -30,3 +30,15 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 @register
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.PackConfig(TOKENIZER))
+
+
+@register
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.balanced_shards(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
