@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import mixing, packing, pii, sharding
+from rowjudge.llm import language, mixing, packing, pii, quality, sharding
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -42,3 +42,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.balanced_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _fold(n: int):
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(n))
+
+
+@register
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", _fold(5) == 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).where(_fold(5) != 0)
+    cfg = quality.QualityConfig()
+    scored = quality.score(docs, quality.train(docs, labels, cfg), cfg)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= cfg.threshold).cast("int").alias("predicted"))
+
+
+@register
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = language.dictionaries(docs.where(_fold(4) != 2).select("text", "lang"))
+    return language.predict(docs.select("doc_id", (_fold(4) == 2).alias("held_out"), "text"), known)
