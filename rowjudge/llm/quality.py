@@ -33,7 +33,8 @@ SHARES = 16
 
 @dataclass(frozen=True)
 class QualityConfig:
-    """alpha, beta: learning rate; l1, l2: regularisation; train_rows: the bound of the training sample."""
+    """alpha, beta: learning rate; l1, l2: regularisation; train_rows: the bound of the training sample;
+    negative_weight: how much more a label 0 counts, as the rejected are few."""
 
     bits: int = 18
     train_rows: int = 20_000
@@ -43,6 +44,7 @@ class QualityConfig:
     l1: float = 0.0005
     l2: float = 0.0001
     threshold: float = 0.3
+    negative_weight: float = 3.0
 
 
 def features(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +79,7 @@ class Ftrl:
     def learn(self, place: np.ndarray, value: np.ndarray, label: float) -> None:
         w = self.weight(place)
         slope = (1 / (1 + np.exp(-np.clip(w @ value, -35, 35))) - label) * value
+        slope *= 1.0 if label else self.cfg.negative_weight
         n = self.n[place]
         step = (np.sqrt(n + slope * slope) - np.sqrt(n)) / self.cfg.alpha
         self.z[place] += slope - step * w
