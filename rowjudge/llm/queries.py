@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import language, mixing, packing, pii, quality, sharding
+from rowjudge.llm import language, mixing, packing, pii, quality, sharding, warc
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -62,3 +62,22 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     known = language.dictionaries(docs.where(_fold(4) != 2).select("text", "lang"))
     return language.predict(docs.select("doc_id", (_fold(4) == 2).alias("held_out"), "text"), known)
+
+
+@register
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captured = F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0))), "yyyyMMddHHmmss")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"), captured.alias("captured"))
+    return warc.archive_and_index(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op2_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(hex, CAST(5 * i // 4 + 1 AS INTEGER), 2) AS INTEGER) >> CAST(3 - 5 * i % 4 AS INTEGER)) & 31), 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM d"""
