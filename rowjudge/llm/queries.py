@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import language, mixing, packing, pii, quality, sharding, warc
+from rowjudge.llm import language, mixing, packing, pii, product_quantisation, quality, sharding, warc
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -81,3 +81,19 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
 FROM d"""
+
+
+@register
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_quantisation.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op4_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_aggregate(list_transform(CAST(embedding AS DOUBLE[]), lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END), 'sum') = 0
+    AND list_aggregate(list_transform(CAST(embedding AS DOUBLE[]), lambda x: abs(x)), 'max') > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x), n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(comp.c, e.vec_id) AS component_id, coalesce(comp.c, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN comp ON e.vec_id = comp.x LEFT JOIN n ON e.vec_id = n.x"""
