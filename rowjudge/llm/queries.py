@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import language, mixing, packing, pii, product_quantisation, quality, sharding, warc
+from rowjudge.llm import hnsw, language, mixing, packing, pii, product_quantisation, quality, sharding, warc
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -97,3 +97,8 @@ reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM reac
 comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x), n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(comp.c, e.vec_id) AS component_id, coalesce(comp.c, e.vec_id) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN comp ON e.vec_id = comp.x LEFT JOIN n ON e.vec_id = n.x"""
+
+
+@register
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
