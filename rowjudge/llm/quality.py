@@ -117,8 +117,8 @@ def train(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig
     return np.frombuffer(one.mapInArrow(fit, "weights binary").first()[0], "<f4").astype(np.float64)
 
 
-def score(docs: DataFrame, weights: np.ndarray, cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """``docs`` with ``score``: the probability of label 1."""
+def score(docs: DataFrame, weights: np.ndarray, cfg: QualityConfig = QualityConfig(), name: str = "score") -> DataFrame:
+    """``docs`` with column ``name``: the probability of label 1."""
     def run(series):
         out = []
         for text in series:
@@ -129,4 +129,4 @@ def score(docs: DataFrame, weights: np.ndarray, cfg: QualityConfig = QualityConf
 
 
     run.__annotations__ = {"series": pd.Series, "return": pd.Series}
-    return docs.withColumn("score", F.pandas_udf(run, "double")("text"))
+    return docs.withColumn(name, F.pandas_udf(run, "double")("text"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import hnsw, language, mixing, packing, pii, product_quantisation, quality, sharding, warc
+from rowjudge.llm import hnsw, jaccard_join, language, mixing, packing, pii, product_quantisation, quality, sharding, warc
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -102,3 +102,22 @@ FROM embeddings e LEFT JOIN comp ON e.vec_id = comp.x LEFT JOIN n ON e.vec_id =
 @register
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
+@register
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op3_jaccard"] = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+ids AS (SELECT doc_id, hash(s) AS s FROM shingles), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM ids a JOIN ids b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM inter JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN both_ways l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) ON x = d.doc_id"""
