@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowjudge.llm import jaccard_join, mixing, packing, pii, quality
-from rowjudge.llm.common import stored
+from rowjudge.llm.common import stored, unused
 from rowjudge.llm.queries import TOKENIZER
 from rowjudge.sources.tables import table
 
@@ -30,18 +30,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Drops the documents that the classifier, trained on ``labels``, rejects."""
     cfg = quality.QualityConfig()
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    scored = quality.score(docs, quality.train(docs, labels, cfg), cfg, "_score")
-    return scored.where(F.col("_score") >= cfg.threshold).select(*docs.columns)
+    score = unused(docs, "_score")
+    scored = quality.score(docs, quality.train(docs, labels, cfg), cfg, score)
+    return scored.where(F.col(score) >= cfg.threshold).select(*docs.columns)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each class of near duplicates the document with the smallest id. Rows that repeat an id are one document; a
     row without an id gets a large one made from its text, so it goes only where its class has another."""
     made = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2).bitwiseOR(F.lit(1 << 62))
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id"), made))
-    classes = jaccard_join.jaccard_classes(keyed.select(F.col("_id").alias("doc_id"), "text"))
-    first = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return keyed.join(first, "_id").dropDuplicates(["_id"]).select(*docs.columns)
+    key = unused(docs, "_id")
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id"), made))
+    classes = jaccard_join.jaccard_classes(keyed.select(F.col(key).alias("doc_id"), "text"))
+    first = classes.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(first, key).dropDuplicates([key]).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,9 +39,12 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """As many partitions as a shuffle has, for work that is heavy per row."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def with_offsets(df: DataFrame, group: list[str], order: list[str], size: str | None = None) -> DataFrame:
@@ -52,7 +55,7 @@ def with_offsets(df: DataFrame, group: list[str], order: list[str], size: str |
     reads of it agree.
     """
     one = F.col(size) if size else F.lit(1)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = conf_partitions(df.sparkSession)
     ranged = df.repartitionByRange(n, *group, *order).withColumn("_pid", F.spark_partition_id())
     ranged = stored(ranged, "ranged")
     before = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowjudge.llm.common import WORD, stored, text_of, with_offsets
+from rowjudge.llm.common import WORD, stored, text_of, unused, with_offsets
 
 
 @dataclass(frozen=True)
@@ -149,7 +149,7 @@ def lay_out(docs: DataFrame, cfg: MixConfig) -> tuple[DataFrame, pd.DataFrame]:
     return with_offsets(keyed, ["s"], ["doc_id", "size"], "size"), sources
 
 
-def _sized(docs: DataFrame, *more: str) -> DataFrame:
+def _sized(docs: DataFrame, *more) -> DataFrame:
     return docs.select(*more, "doc_id", F.col("source").cast("string").alias("source"),
                        F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"))
 
@@ -180,35 +180,36 @@ def mixed_documents(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     """The mix as rows with the columns of ``docs``: one for each pass that takes words of a document. A pass that takes all
     of them gives the text as it is; the last, partial pass may take some blocks only, and gives the words in those."""
     spark = docs.sparkSession
-    whole = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mixed")
-    sized = stored(_sized(whole, "_row"), "sized")
+    row, pieces_ = unused(docs, "_row"), unused(docs, "_pieces")
+    whole = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mixed")
+    sized = stored(_sized(whole, F.col(row).alias("_row")), "sized")
     placed, sources = lay_out(sized, cfg)
     times = draw_slots(spark, sources, cfg).groupBy("s", "block").agg(F.count("*").alias("times"))
     pieces = _pieces(placed, cfg).join(times, ["s", "block"])
     first = F.greatest(F.col("block") * cfg.block - F.col("pos"), F.lit(0)).cast("long")
-    chosen = pieces.groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.struct(first.alias("at"), "words", "times"))).alias("pieces"))  # at most a text's words / block
+    chosen = pieces.groupBy(F.col("_row").alias(row)).agg(  # at most a text's words / block
+        F.sort_array(F.collect_list(F.struct(first.alias("at"), "words", "times"))).alias(pieces_))
     word = re.compile(WORD)
 
     def cut(batches):
         for pdf in batches:
             rows, texts = [], []
-            for i, (text, pieces) in enumerate(zip(pdf["text"], pdf["pieces"])):
+            for i, (text, own) in enumerate(zip(pdf["text"], pdf[pieces_])):
                 ends = [m.span() for m in word.finditer(text or "")]
-                for turn in range(1, max(p["times"] for p in pieces) + 1):
-                    own = [p for p in pieces if p["times"] >= turn]
-                    if sum(p["words"] for p in own) == len(ends):
+                for turn in range(1, max(p["times"] for p in own) + 1):
+                    taken = [p for p in own if p["times"] >= turn]
+                    if sum(p["words"] for p in taken) == len(ends):
                         texts.append(text)
                     else:
                         runs = []
-                        for p in own:
+                        for p in taken:
                             if runs and runs[-1][1] == p["at"]:
                                 runs[-1][1] += p["words"]
                             else:
                                 runs.append([p["at"], p["at"] + p["words"]])
                         texts.append("\n".join(text[ends[a][0]: ends[b - 1][1]] for a, b in runs))
                     rows.append(i)
-            yield pdf.iloc[rows].assign(text=texts).drop(columns=["pieces"])
+            yield pdf.iloc[rows].assign(text=texts).drop(columns=[pieces_])
 
-    joined = whole.join(chosen, "_row").drop("_row")
+    joined = whole.join(chosen, row).select(*docs.columns, pieces_)
     return joined.mapInPandas(cut, docs.schema)
