@@ -44,7 +44,7 @@ class JudgeConfig:
     max_rows_per_run: int = 0
     max_payload_bytes_per_run: int = 0
     store_max_entries: int = 0
-    max_value_chars: int = 2_000
+    max_value_chars: int = 0
     max_batch_tokens: int = 24_000
     requests_per_minute: int = 1_000
     # Spark-side sizing: distinct payloads that one packing group holds, and the
@@ -62,6 +62,12 @@ class JudgeConfig:
     def with_(self, **changes) -> "JudgeConfig":
         return replace(self, **changes)
 
+    @classmethod
+    def active(cls) -> "JudgeConfig":
+        """The settings of the session at hand; the defaults where there is none."""
+        spark = SparkSession.getActiveSession()
+        return cls.from_conf(spark) if spark else cls()
+
     @classmethod
     def from_conf(cls, spark: SparkSession, **overrides) -> "JudgeConfig":
         """Read ``rowjudge.*`` from the session; keyword arguments win."""

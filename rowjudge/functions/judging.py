@@ -73,9 +73,9 @@ def probability(payload: Column, condition: str | Column | None, *, judge: RuleJ
 
 
 def holds(payload: Column, condition: str | Column | None, threshold: float | Column | None = None, *,
-          cfg: JudgeConfig = JudgeConfig(), judge: RuleJudge = RULES, needle: str | None = None) -> Column:
+          cfg: JudgeConfig | None = None, judge: RuleJudge = RULES, needle: str | None = None) -> Column:
     """Probability at or above the threshold; a NULL threshold means the configured one."""
-    bar = F.lit(cfg.threshold)
+    bar = F.lit((cfg or JudgeConfig.active()).threshold)
     if threshold is not None:
         given = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
         bar = F.coalesce(given, bar)
@@ -158,11 +158,11 @@ def ask_json(payload: Column, questions: str | dict | QuestionSet | None, *, jud
 
 
 def with_asked(df: DataFrame, payload: Column, questions: Column, *, into: str = "answers",
-               cfg: JudgeConfig = JudgeConfig(), judge: RuleJudge = RULES) -> DataFrame:
+               cfg: JudgeConfig | None = None, judge: RuleJudge = RULES) -> DataFrame:
     """:func:`ask_json` with a question-set text per row: validated in Arrow batches, once per
     distinct text of a batch, and answered in native expressions."""
     ready = df.withColumn("_payload", payload).withColumn("_asked", questions)
-    compiled = compile_question_column(ready, "_asked", cfg.model, into="_qset")
+    compiled = compile_question_column(ready, "_asked", (cfg or JudgeConfig.active()).model, into="_qset")
     asked = F.col("_qset.questions")
     answers = F.transform(asked, lambda q: judge.answer_json(F.col("_payload"), q))
     whole = answer_object(F.transform(asked, lambda q: q["name"]), answers)
@@ -182,21 +182,21 @@ def intent_of_payload(payload: Column, *, judge: RuleJudge = RULES) -> Column:
     )
 
 
-def _prompt_payload(df: DataFrame, prompt: str, cfg: JudgeConfig) -> Column:
+def _prompt_payload(df: DataFrame, prompt: str, cfg: JudgeConfig | None) -> Column:
     kind = df.schema[prompt].dataType
     if not isinstance(kind, (T.StringType, T.VarcharType, T.CharType, T.NullType)):
         raise TypeError(f"prompt_intent takes a text column, not {kind.simpleString()}")
-    return text_payload(F.col(f"`{prompt}`").cast("string"), max_value_chars=cfg.max_value_chars)
+    return text_payload(F.col(f"`{prompt}`").cast("string"), max_value_chars=cfg.max_value_chars if cfg else None)
 
 
-def prompt_intent(df: DataFrame, prompt: str, *, cfg: JudgeConfig = JudgeConfig(),
+def prompt_intent(df: DataFrame, prompt: str, *, cfg: JudgeConfig | None = None,
                   judge: RuleJudge = RULES) -> Column:
     """Intent and malicious probability of a text column. The questions are fixed, and only
     text is accepted, so no other column of the row can be sent along."""
     return intent_of_payload(_prompt_payload(df, prompt, cfg), judge=judge)
 
 
-def with_prompt_intent(df: DataFrame, prompt: str, *, into: str = "r", cfg: JudgeConfig = JudgeConfig(),
+def with_prompt_intent(df: DataFrame, prompt: str, *, into: str = "r", cfg: JudgeConfig | None = None,
                        judge: RuleJudge = RULES) -> DataFrame:
     """:func:`prompt_intent` as a column of ``df``. The payload gets a projection of its own, so
     that both questions read it without writing it twice."""

@@ -12,10 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowjudge.config import JudgeConfig
+
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 _AS_TEXT = (T.DateType, T.TimestampType, T.TimestampNTZType, T.DayTimeIntervalType, T.YearMonthIntervalType,
-            T.CalendarIntervalType)
+            T.CalendarIntervalType, *([T.TimeType] if hasattr(T, "TimeType") else []))
+
+
+def _limit(max_value_chars: int | None) -> int:
+    return JudgeConfig.active().max_value_chars if max_value_chars is None else max_value_chars
 
 
 def _needs_work(kind: T.DataType, limit: int) -> bool:
@@ -52,8 +58,10 @@ def prepared(value: Column, kind: T.DataType, limit: int) -> Column:
     return F.when(value.isNotNull(), F.struct(*fields))
 
 
-def row_payload(df: DataFrame, columns: Sequence[str] | None = None, *, max_value_chars: int = 2_000) -> Column:
-    """A whole row, or the named columns of it, as a JSON object with the column names."""
+def row_payload(df: DataFrame, columns: Sequence[str] | None = None, *, max_value_chars: int | None = None) -> Column:
+    """A whole row, or the named columns of it, as a JSON object with the column names. Texts stay whole unless
+    ``max_value_chars``, here or in the session's settings, says where to cut them (0: nowhere)."""
+    max_value_chars = _limit(max_value_chars)
     fields = [df.schema[c] for c in (columns or df.columns)]
     cells = [prepared(F.col(f"`{f.name}`"), f.dataType, max_value_chars).alias(f.name) for f in fields]
     return F.to_json(F.struct(*cells), _KEEP_NULLS)
@@ -66,20 +74,24 @@ def _bare(value: Column) -> Column:
     return F.rtrim(F.substring(wrapped, 6, 2**31 - 1), F.lit("}"))
 
 
-def value_payload(df: DataFrame, column: str, *, max_value_chars: int = 2_000) -> Column:
+def value_payload(df: DataFrame, column: str, *, max_value_chars: int | None = None) -> Column:
     """One column as a bare JSON value; NULL stays NULL (it is never sent)."""
     kind = df.schema[column].dataType
     value = F.col(f"`{column}`")
-    ready = prepared(value, kind, max_value_chars)
+    ready = prepared(value, kind, _limit(max_value_chars))
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(ready, _KEEP_NULLS)
+    if isinstance(kind, T.VariantType):  # may be an object, so its own braces must stay
+        wrapped = F.to_json(F.struct(ready.alias("v")), _KEEP_NULLS)
+        return F.when(value.isNotNull(), F.substr(wrapped, F.lit(6), F.length(wrapped) - 6))
     return F.when(value.isNotNull(), _bare(ready))
 
 
-def text_payload(text: Column | str, *, max_value_chars: int = 2_000) -> Column:
+def text_payload(text: Column | str, *, max_value_chars: int | None = None) -> Column:
     """A text column as a bare JSON string, where no DataFrame is at hand."""
     text = F.col(text) if isinstance(text, str) else text
-    cut = F.substring(text, 1, max_value_chars) if max_value_chars else text
+    limit = _limit(max_value_chars)
+    cut = F.substring(text, 1, limit) if limit else text
     return F.when(text.isNotNull(), _bare(cut))
 
 

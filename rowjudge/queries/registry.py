@@ -32,8 +32,8 @@ def query(sql: str | None = None) -> Callable[[Runner], Runner]:
 PROMPT_SQL = "concat('please ', event_type, ' ', props)"
 
 
-def payload_sql(text: str, limit: int = 2000) -> str:
-    return f"CAST(to_json(substring({text}, 1, {limit})) AS VARCHAR)"
+def payload_sql(text: str, limit: int = 0) -> str:
+    return f"CAST(to_json({f'substring({text}, 1, {limit})' if limit else text}) AS VARCHAR)"
 
 
 def noul_sql(payload: str, needle: str) -> str:

@@ -172,7 +172,7 @@ def judged_run(spark: SparkSession, sf: str) -> DataFrame:
                            F.col("r.intent_probabilities")["personal"].alias("p_personal"), "r.malicious_probability")
 
 
-TURN_SQL = """concat('{"role":', to_json(role), ',"text":', to_json(substring(text, 1, 2000)), '}')"""
+TURN_SQL = """concat('{"role":', to_json(role), ',"text":', to_json(text), '}')"""
 
 
 @query(f"""

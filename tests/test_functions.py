@@ -144,3 +144,13 @@ def test_kind_and_questions_per_row(people):
     assert [r.answers for r in asked.collect()][:2] == [None, None]
     answer = json.loads(asked.collect()[2].answers)
     assert list(answer) == ["b", "a"] and answer["b"]["noul"] == 0.9 and answer["a"]["choice"] == "x"
+
+
+def test_session_threshold_acts(spark, people):
+    payload = row_payload(people)
+    assert column(people, J.holds(payload, "the person writes compilers"))[0] is True
+    spark.conf.set("rowjudge.threshold", "0.95")
+    try:
+        assert column(people, J.holds(payload, "the person writes compilers"))[0] is False
+    finally:
+        spark.conf.unset("rowjudge.threshold")

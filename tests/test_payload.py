@@ -40,7 +40,7 @@ def test_non_finite_scalar_is_sent_as_null(spark):
 
 def test_cut_is_in_code_points(spark):
     df = spark.createDataFrame([("é😀" * 3000,)], "t string")
-    assert len(json.loads(df.select(value_payload(df, "t")).first()[0])) == 2000
+    assert len(json.loads(df.select(value_payload(df, "t")).first()[0])) == 6000
     assert len(json.loads(df.select(value_payload(df, "t", max_value_chars=10)).first()[0])) == 10
     assert len(json.loads(df.select(value_payload(df, "t", max_value_chars=0)).first()[0])) == 6000
 
@@ -63,3 +63,22 @@ def test_only_the_judged_columns_are_read(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = docs.select(row_payload(docs, ["doc_id", "lang"]).alias("p"))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+
+
+def test_session_setting_cuts_texts(spark):
+    df = spark.createDataFrame([("x" * 6000,)], "t string")
+    spark.conf.set("rowjudge.max_value_chars", "7")
+    try:
+        assert len(json.loads(df.select(value_payload(df, "t")).first()[0])) == 7
+        assert len(json.loads(df.select(text_payload("t")).first()[0])) == 7
+        assert len(json.loads(df.select(row_payload(df)).first()[0])["t"]) == 7
+    finally:
+        spark.conf.unset("rowjudge.max_value_chars")
+
+
+def test_variant_and_time(spark):
+    df = spark.sql("""SELECT parse_json('{"a":{"b":1}}') AS v, parse_json('3') AS n, TIME'10:20:30' AS t""")
+    assert df.select(value_payload(df, "v")).first()[0] == '{"a":{"b":1}}'
+    assert df.select(value_payload(df, "n")).first()[0] == "3"
+    assert df.select(value_payload(df, "t")).first()[0] == '"10:20:30"'
+    assert json.loads(df.select(row_payload(df)).first()[0]) == {"v": {"a": {"b": 1}}, "n": 3, "t": "10:20:30"}

@@ -53,6 +53,9 @@ def test_refusals(sql):
     for call, message in [("judge_eval('1', '?', 'rubric')", "unknown question kind"),
                           ("judge_eval('1', '?', 'choice')", "needs its options"),
                           ("judge_choice('1', '?', array())", "at least one option"),
+                          ("judge_confidence('1', '?', 'choice', array())", "at least one option"),
+                          ("judge_confidence('1', '?', 'score', array('a', NULL))", "NULL among its options"),
+                          ("judge_confidence('1', '?', 'rubric', array('a'))", "unknown question kind"),
                           ("judge_choice('1', '?', array('a', NULL))", "NULL among its options")]:
         with pytest.raises(Exception, match=message):
             sql(f"SELECT {call}")
