@@ -84,8 +84,8 @@ def _generic(cfg: JudgeConfig) -> dict[str, str]:
             f"CASE WHEN question IS NOT NULL THEN element_at({_OPTIONS}, {at} + 1) END",
         "judge_confidence(payload STRING, question STRING, kind STRING, options ARRAY<STRING>) RETURNS DOUBLE":
             f"""CASE WHEN {known} AND kind IS NOT NULL AND lower(kind) <> '{NOUL}' THEN
-                CASE lower(kind) WHEN '{SCORE}' THEN {_answer('payload', SCORE, _WORD, _OPTIONS)}.confidence
-                  WHEN '{CHOICE}' THEN {_answer('payload', CHOICE, _WORD, _OPTIONS)}.confidence ELSE {unknown} END END""",
+                CASE lower(kind) WHEN '{SCORE}' THEN array_max(map_values({_answer('payload', SCORE, _WORD, _OPTIONS)}.probabilities))
+                  WHEN '{CHOICE}' THEN array_max(map_values({_answer('payload', CHOICE, _WORD, _OPTIONS)}.probabilities)) ELSE {unknown} END END""",
         "judge_eval(payload STRING, question STRING, kind STRING DEFAULT 'noul', options ARRAY<STRING> DEFAULT array()) "
         "RETURNS STRING":
             f"""CASE WHEN payload IS NULL OR question IS NULL OR kind IS NULL THEN NULL
