@@ -173,11 +173,15 @@ class _Run:
             F.count(F.lit(1)).alias("requests"), F.sum("n_items").alias("rows"),
             F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens")).collect()
         self.tallies += tally
-        if self.ledger is not None:
-            self.ledger.append("batches", replies, f"{self.run_id}-{name}")
         paid = sum(t["rows"] for t in tally if t["status"] == "ok")
-        if self.store is not None and paid:
-            self.store.append(_answers(replies), paid)
+        try:  # what is paid for is kept first
+            if self.store is not None and paid:
+                self.store.append(_answers(replies), paid)
+            if self.ledger is not None:
+                self.ledger.append("batches", replies, f"{self.run_id}-{name}")
+        except Exception as error:
+            error.add_note(f"the replies are in {self.work}/replies; import_replies() puts them into a store")
+            raise
         return tally
 
     def dispatch(self, misses: DataFrame, rows: int, size: int, name: str) -> int:
@@ -300,10 +304,11 @@ def judge_rows(
     if rows:
         run.judge.require_ready()
         check_caps(cfg, rows, size)
+        if store is not None:
+            store.check_writable()
         dead = run.dispatch(todo, rows, size, "first")
         if dead and resend_failed:
-            reclaimed = dead
-            dead = run.dispatch(run.write(run.unanswered(todo), "left"), dead, size, "second")
+            reclaimed, dead = _send_in_halves(run, todo, dead, size)
     if once:
         n = {fate: fates[fate]["n_rows"] if fate in fates else 0 for fate in ("null", "hit", "miss")}
         counted = {"query_id": "0", "rows_in": sum(n.values()), "rows_null": n["null"], "cache_hits": n["hit"],
@@ -323,6 +328,45 @@ def judge_rows(
                      run.work)
 
 
+def _send_in_halves(run: _Run, todo: DataFrame, dead: int, size: int) -> tuple[int, int]:
+    """Failed batches once more, in batches of half the size each time: what one row spoils costs the others nothing in the
+    end, and no refused batch is sent whole again. Single rows get one more try, unless they were refused for good. Returns the
+    rows sent again and those left without an answer."""
+    whole, again, turn = run.cfg, 0, 0
+    while dead:
+        left, n = run.unanswered(todo), dead
+        if run.cfg.batch_size == 1:
+            keys = run.replies().where((F.col("status") != "ok") & F.col("retryable") & (F.col("n_items") == 1))
+            left = left.join(keys.select(F.explode("keys").alias("entry_key")).distinct(), "entry_key", "left_semi")
+        left = run.write(left, f"left-{turn}")
+        if run.cfg.batch_size == 1:
+            n = left.count()
+        again = again or n
+        if n:
+            last = run.cfg.batch_size == 1
+            run.cfg = run.cfg.with_(batch_size=max(1, run.cfg.batch_size // 2))
+            dead -= n - run.dispatch(left, n, size, f"again-{turn}")
+            turn += 1
+        if not n or last:
+            break
+    run.cfg = whole
+    return again, dead
+
+
+def import_replies(store: AnswerStore, work: str) -> int:
+    """Puts the answered batches of a run's scratch folder into a store, where the run itself couldn't; returns their rows."""
+    spark, folder = store.spark, f"{work}/replies"
+    found = [spark.read.parquet(f"{folder}/{name}") for name in files.list_dirs(spark, folder)
+             if files.exists(spark, f"{folder}/{name}/_SUCCESS")]
+    rows = 0
+    for replies in found:
+        answers = _answers(replies)
+        if n := answers.count():
+            store.append(answers, n)
+            rows += n
+    return rows
+
+
 def _keep_books(run: _Run, reports: list[dict]) -> None:
     if run.ledger is None or not reports:
         return

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,9 +123,9 @@ def judge_prob(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", J.probability(F.col("payload"), "the text holds a license").alias("probability"))
 
 
-LEVELS = ["junior", "mid", "senior"]
-TEAMS = ["billing", "technical", "sales"]
-TOLD_TEAMS = {"billing": "money and invoices", "technical": "bugs and outages", "sales": None}
+LEVELS = ["casual", "plain", "formal"]
+DEPOTS = ["harbour", "rail", "road"]
+TOLD_DEPOTS = {"harbour": "goods that come by ship", "rail": "goods that come by train", "road": None}
 CUSTOMER_SQL = """concat('{"c_custkey":', c_custkey, ',"c_name":', to_json(c_name),
   ',"c_nationkey":', c_nationkey, ',"c_mktsegment":', to_json(c_mktsegment), '}')"""
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
@@ -138,18 +140,18 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id, CAST(length({TEXT_PAYLOAD}) % 3 AS DOUBLE) AS score FROM documents""")
 def judge_score(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    return docs.select("doc_id", J.score(F.col("payload"), "how senior is the writer?", LEVELS).alias("score"))
+    return docs.select("doc_id", J.score(F.col("payload"), "how formal is the text?", LEVELS).alias("score"))
 
 
 @query(f"""
-SELECT c_custkey, CAST(length({CUSTOMER_SQL}) % 4 AS DOUBLE) / 3 AS seniority,
+SELECT c_custkey, CAST(length({CUSTOMER_SQL}) % 4 AS DOUBLE) / 3 AS formality,
   CAST(0 AS DOUBLE) AS one_level FROM customer""")
 def judge_score_norm(spark: SparkSession, sf: str) -> DataFrame:
     people = customers(spark, sf)
     payload = F.col("payload")
     return people.select("c_custkey",
-                         J.score_norm(payload, "how senior?", [*LEVELS, "principal"]).alias("seniority"),
-                         J.score_norm(payload, "how senior?", ["any"]).alias("one_level"))
+                         J.score_norm(payload, "how formal?", [*LEVELS, "solemn"]).alias("formality"),
+                         J.score_norm(payload, "how formal?", ["any"]).alias("one_level"))
 
 
 PART_SQL = "concat('{\"p_name\":', to_json(p_name), ',\"p_size\":', p_size, '}')"
@@ -164,13 +166,13 @@ def judge_choice(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT c_custkey, {pick_sql(CUSTOMER_SQL, TEAMS)} AS team, {pick_sql(CUSTOMER_SQL, TEAMS)} AS team_by_column
+SELECT c_custkey, {pick_sql(CUSTOMER_SQL, DEPOTS)} AS depot, {pick_sql(CUSTOMER_SQL, DEPOTS)} AS depot_by_column
 FROM customer""")
 def judge_choice_described(spark: SparkSession, sf: str) -> DataFrame:
-    people = customers(spark, sf).withColumn("teams", F.array(*[F.lit(t) for t in TEAMS]))
-    question = "which team should handle this?"
-    return people.select("c_custkey", J.choice(F.col("payload"), question, TOLD_TEAMS).alias("team"),
-                         J.choice(F.col("payload"), question, F.col("teams")).alias("team_by_column"))
+    people = customers(spark, sf).withColumn("depots", F.array(*[F.lit(t) for t in DEPOTS]))
+    question = "which depot serves the customer?"
+    return people.select("c_custkey", J.choice(F.col("payload"), question, TOLD_DEPOTS).alias("depot"),
+                         J.choice(F.col("payload"), question, F.col("depots")).alias("depot_by_column"))
 
 
 @query("""
@@ -178,10 +180,10 @@ SELECT c_custkey, 1.0::DOUBLE AS choice_confidence, 1.0::DOUBLE AS score_confide
   CAST(NULL AS DOUBLE) AS noul_confidence FROM customer""")
 def judge_confidence(spark: SparkSession, sf: str) -> DataFrame:
     people = customers(spark, sf)
-    payload, question = F.col("payload"), "which team should handle this?"
+    payload, question = F.col("payload"), "which depot serves the customer?"
     return people.select("c_custkey",
-                         J.confidence(payload, question, "choice", TOLD_TEAMS).alias("choice_confidence"),
-                         J.confidence(payload, "how senior?", "SCORE", LEVELS).alias("score_confidence"),
+                         J.confidence(payload, question, "choice", TOLD_DEPOTS).alias("choice_confidence"),
+                         J.confidence(payload, "how formal?", "SCORE", LEVELS).alias("score_confidence"),
                          J.confidence(payload, question, "noul", None).alias("noul_confidence"))
 
 
@@ -194,12 +196,12 @@ def judge_eval_noul(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT doc_id, 'score' AS type, CAST(lvl AS DOUBLE) AS score, ['junior', 'mid', 'senior'][lvl + 1] AS level,
+SELECT doc_id, 'score' AS type, CAST(lvl AS DOUBLE) AS score, ['junior', 'mid', 'formality'][lvl + 1] AS level,
   1.0::DOUBLE AS p_level, 1.0::DOUBLE AS confidence
 FROM (SELECT doc_id, CAST(length({TEXT_PAYLOAD}) % 3 AS INTEGER) AS lvl FROM documents)""")
 def judge_eval_score(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    answers = docs.select("doc_id", J.evaluate(F.col("payload"), "how senior?", "Score", LEVELS).alias("a"))
+    answers = docs.select("doc_id", J.evaluate(F.col("payload"), "how formal?", "Score", LEVELS).alias("a"))
     parsed = answers.select("doc_id", F.from_json("a", """type string, score double, legend map<string,string>,
         probabilities map<string,double>, confidence double""").alias("a"))
     at = F.col("a.score").cast("int").cast("string")
@@ -208,38 +210,36 @@ def judge_eval_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT c_custkey, team AS choice, 'billing,technical,sales' AS labels,
-  CASE WHEN team = 'billing' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS p_billing
-FROM (SELECT c_custkey, {pick_sql(CUSTOMER_SQL, TEAMS)} AS team FROM customer)""")
+SELECT c_custkey, depot AS choice, 'harbour,rail,road' AS labels,
+  CASE WHEN depot = 'harbour' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS p_harbour
+FROM (SELECT c_custkey, {pick_sql(CUSTOMER_SQL, DEPOTS)} AS depot FROM customer)""")
 def judge_eval_choice(spark: SparkSession, sf: str) -> DataFrame:
     people = customers(spark, sf)
-    answers = people.select("c_custkey", J.evaluate(F.col("payload"), "which team?", "choice", TOLD_TEAMS).alias("a"))
+    answers = people.select("c_custkey", J.evaluate(F.col("payload"), "which depot?", "choice", TOLD_DEPOTS).alias("a"))
     shares = F.get_json_object("a", "$.probabilities")
     return answers.select("c_custkey", F.get_json_object("a", "$.choice").alias("choice"),
                           F.array_join(F.json_object_keys(shares), ",").alias("labels"),
-                          F.get_json_object("a", "$.probabilities.billing").cast("double").alias("p_billing"))
+                          F.get_json_object("a", "$.probabilities.harbour").cast("double").alias("p_harbour"))
 
 
-QUESTIONS = """{
-  "team":   {"type": "choice", "question": "which team should handle this?",
-             "options": {"billing": "money and invoices", "technical": "bugs and outages", "sales": "new customers"}},
-  "coder":  {"type": "noul", "question": "the segment is machinery",
-             "criteria": {"true": "their segment is machinery", "false": "anything else"}},
-  "senior": {"type": "score", "question": "how senior is this person?", "levels": ["junior", "mid", "senior"]}
-}"""
+QUESTIONS = json.dumps({
+    "depot": {"type": "choice", "question": "which depot serves the customer?", "options": {**TOLD_DEPOTS, "road": "all other goods"}},
+    "machines": {"type": "noul", "question": "the customer trades in machinery",
+                 "criteria": {"true": "machines or their parts", "false": "no machines"}},
+    "formality": {"type": "score", "question": "how formal is the name?", "levels": LEVELS}})
 
 
 @query(f"""
 WITH q AS (SELECT c_custkey, {CUSTOMER_SQL} AS payload, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey)
-SELECT c_custkey, n_name, {pick_sql("payload", TEAMS)} AS team, {noul_sql("payload", "machinery")} AS coder,
-  CAST(length(payload) % 3 AS DOUBLE) AS senior, 'team,coder,senior' AS keys FROM q""")
+SELECT c_custkey, n_name, {pick_sql("payload", DEPOTS)} AS depot, {noul_sql("payload", "machinery")} AS machines,
+  CAST(length(payload) % 3 AS DOUBLE) AS formality, 'depot,machines,formality' AS keys FROM q""")
 def ask_multi(spark: SparkSession, sf: str) -> DataFrame:
     people, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
     asked = (people.join(nation, people.c_nationkey == nation.n_nationkey)
              .select("c_custkey", "n_name", row_payload(people, CUSTOMER_COLUMNS).alias("payload")))
     judged = asked.select("c_custkey", "n_name", J.ask(F.col("payload"), QUESTIONS).alias("a"))
-    return judged.select("c_custkey", "n_name", F.col("a.team.choice").alias("team"),
-                         F.col("a.coder.noul").alias("coder"), F.col("a.senior.score").alias("senior"),
+    return judged.select("c_custkey", "n_name", F.col("a.depot.choice").alias("depot"),
+                         F.col("a.machines.noul").alias("machines"), F.col("a.formality.score").alias("formality"),
                          F.array_join(F.json_object_keys(F.to_json("a")), ",").alias("keys"))
 
 
@@ -278,11 +278,11 @@ def semantic_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT {pick_sql(TEXT_PAYLOAD, TEAMS)} AS team, lang, count(*) AS n_docs FROM documents GROUP BY ALL""")
+SELECT {pick_sql(TEXT_PAYLOAD, DEPOTS)} AS depot, lang, count(*) AS n_docs FROM documents GROUP BY ALL""")
 def routing_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    team = J.choice(F.col("payload"), "which team should handle this?", TOLD_TEAMS)
-    return docs.groupBy(team.alias("team"), "lang").agg(F.count(F.lit(1)).alias("n_docs"))
+    depot = J.choice(F.col("payload"), "which depot serves the customer?", TOLD_DEPOTS)
+    return docs.groupBy(depot.alias("depot"), "lang").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 @query(f"""
@@ -296,13 +296,13 @@ def flag_vs_answer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT lang, bool_and({pick_sql(TEXT_PAYLOAD, TEAMS)} IN ('billing', 'technical', 'sales')) AS labels_valid,
+SELECT lang, bool_and({pick_sql(TEXT_PAYLOAD, DEPOTS)} IN ('harbour', 'rail', 'road')) AS labels_valid,
   bool_and(length({TEXT_PAYLOAD}) % 3 BETWEEN 0 AND 2) AS scores_valid FROM documents GROUP BY lang""")
 def all_labels_valid(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    team = J.choice(F.col("payload"), "which team?", TEAMS)
-    level = J.score(F.col("payload"), "how senior?", LEVELS)
-    return docs.groupBy("lang").agg(F.every(team.isin(TEAMS)).alias("labels_valid"),
+    depot = J.choice(F.col("payload"), "which depot?", DEPOTS)
+    level = J.score(F.col("payload"), "how formal?", LEVELS)
+    return docs.groupBy("lang").agg(F.every(depot.isin(DEPOTS)).alias("labels_valid"),
                                     F.every(level.between(0, 2)).alias("scores_valid"))
 
 
@@ -395,7 +395,7 @@ def judge_eval_kind_column(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""
 WITH q AS (SELECT doc_id, lang, {TEXT_PAYLOAD} AS payload FROM documents)
 SELECT doc_id, {noul_sql("payload", "license")} AS probability, {noul_sql("payload", "license")} >= 0.5 AS holds,
-  {pick_sql("payload", TEAMS)} AS team, CAST(length(payload) % 3 AS DOUBLE) / 2 AS seniority,
+  {pick_sql("payload", DEPOTS)} AS depot, CAST(length(payload) % 3 AS DOUBLE) / 2 AS formality,
   {pick_sql("payload", ["work_related", "personal", "other"])} AS intent, 0.1::DOUBLE AS malicious_probability
 FROM q""")
 def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
@@ -405,7 +405,7 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql("""
         SELECT doc_id, judge_prob(payload, 'the text holds a license') AS probability,
           judge(payload, 'the text holds a license') AS holds,
-          judge_choice(payload, 'which team?', array('billing', 'technical', 'sales')) AS team,
-          judge_score_norm(payload, 'how senior?', array('junior', 'mid', 'senior')) AS seniority,
+          judge_choice(payload, 'which depot?', array('harbour', 'rail', 'road')) AS depot,
+          judge_score_norm(payload, 'how formal?', array('casual', 'plain', 'formal')) AS formality,
           r.intent, r.malicious_probability
         FROM (SELECT doc_id, text_payload(text) AS payload, prompt_intent(text) AS r FROM rowjudge_documents)""")

@@ -212,25 +212,13 @@ def rule_reply(request: str, timeout: float) -> str:
     return json.dumps({"answers": answers, "usage": {"input_tokens": len(request) // 4, "output_tokens": len(answers)}})
 
 
-def _flaky_pass(source: str, name: str) -> str:
-    return f"""
-  {name}s AS (SELECT *, CAST(('0x' || substring(entry_key, 1, 8))::BIGINT % (SELECT CAST(greatest(ceil(count(*) / 64.0),
-      ceil(sum(octet_length(encode(payload))) / 33554432.0)) AS BIGINT) FROM {source}) AS INTEGER) AS shard FROM {source}),
-  {name}o AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY entry_key) - 1) // 5 AS batch_no FROM {name}s),
-  {name} AS (SELECT entry_key, payload, bool_or(contains(lower(payload), '{REFUSED}')) OVER (PARTITION BY shard, batch_no)
-      AS failed FROM {name}o)"""
-
-
 @query(f"""
-WITH k AS (SELECT DISTINCT {key_sql("''", TEXT_PAYLOAD)} AS entry_key, {TEXT_PAYLOAD} AS payload FROM documents),
-{_flaky_pass("k", "one")}, left_over AS (SELECT entry_key, payload FROM one WHERE failed), {_flaky_pass("left_over", "two")},
-dead AS (SELECT payload FROM two WHERE failed),
-d AS (SELECT doc_id, {TEXT_PAYLOAD} AS payload FROM documents)
-SELECT doc_id, CASE WHEN payload NOT IN (SELECT payload FROM dead) THEN {intent_sql("payload")} END AS intent,
-  CASE WHEN payload NOT IN (SELECT payload FROM dead) THEN {noul_sql("payload", "@")} END AS malicious_probability FROM d""")
+WITH d AS (SELECT doc_id, {TEXT_PAYLOAD} AS payload FROM documents)
+SELECT doc_id, CASE WHEN NOT contains(lower(payload), '{REFUSED}') THEN {intent_sql("payload")} END AS intent,
+  CASE WHEN NOT contains(lower(payload), '{REFUSED}') THEN {noul_sql("payload", "@")} END AS malicious_probability FROM d""")
 def retry_pass(spark: SparkSession, sf: str) -> DataFrame:
-    """A judge that refuses some batches: the paid answers stay, the rest is packed and sent once
-    more, and what fails again is left without an answer."""
+    """A judge that refuses batches for a word in one row: the paid answers stay, refused batches are split, and just the rows
+    with the word are left without an answer."""
     docs = documents(spark, sf)
     run = judge_rows(docs, F.col("payload"), PROMPT_INTENT, CallableJudge(rule_reply), cfg=FLAKY, on_failure="keep",
                      fields=INTENT_FIELDS)

@@ -71,9 +71,19 @@ class AnswerStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _numbers(self, path: str, label: str) -> list[int]:
+    def _numbers(self, path: str, label: str, *, debris: bool = False) -> list[int]:
+        """Numbers of the finished folders; with ``debris`` also of those that a writer left half-written."""
         names = [d for d in files.list_dirs(self.spark, path) if d.startswith(label)]
-        return sorted(int(d[len(label):]) for d in names if files.exists(self.spark, f"{path}/{d}/_SUCCESS"))
+        return sorted(int(d[len(label):]) for d in names if debris or files.exists(self.spark, f"{path}/{d}/_SUCCESS"))
+
+    def _new_generation(self) -> int:
+        return max(self._numbers(self.path, "gen=", debris=True), default=0) + 1
+
+    def check_writable(self) -> None:
+        """Raises before anything is paid for if answers couldn't be kept."""
+        probe = f"{self.path}/_probe"
+        files.touch(self.spark, probe)
+        files.delete(self.spark, probe)
 
     def _generation(self) -> int:
         return max(self._numbers(self.path, "gen="), default=0)
@@ -106,8 +116,8 @@ class AnswerStore:
 
     def append(self, answers: DataFrame, rows: int) -> int:
         """Add answers (model, scope, set_key, entry_key, answers); returns the append's number."""
-        folder, parts = self._parts()
-        number = max(parts, default=0) + 1
+        folder, _ = self._parts()
+        number = max(self._numbers(folder, "part=", debris=True), default=0) + 1  # never the folder of a writer that died
         stamp = F.lit(number).cast("bigint")
         self._write(answers.withColumn("seq", stamp).withColumn("age", stamp), f"{folder}/part={number:09d}", rows)
         return number
@@ -121,8 +131,7 @@ class AnswerStore:
         """Rewrite to one row per key, the oldest beyond ``max_entries`` dropped; returns the
         number of answers kept."""
         _, parts = self._parts()
-        generation = self._generation() + 1
-        folder = f"{self.path}/gen={generation:06d}"
+        folder = f"{self.path}/gen={self._new_generation():06d}"
         number = max(parts, default=1)
         kept = keep_youngest(self.latest(), max_entries)
         rows = kept.count()
@@ -133,8 +142,7 @@ class AnswerStore:
     def clear(self, scope: str | None = None) -> bool:
         """Forget every answer, or those of one scope."""
         _, parts = self._parts()
-        generation = self._generation() + 1
-        folder = f"{self.path}/gen={generation:06d}"
+        folder = f"{self.path}/gen={self._new_generation():06d}"
         files.make_dir(self.spark, folder)
         if scope is not None:
             kept = self.log().where(F.col("scope") != scope)
@@ -143,8 +151,11 @@ class AnswerStore:
         return True
 
     def vacuum(self) -> None:
-        """Drop the files of earlier generations, once nothing reads them any more."""
+        """Drop the files of earlier generations, once nothing reads them any more, and what dead writers left in this one."""
         current = self._generation()
+        folder, parts = self._parts()
+        for number in set(self._numbers(folder, "part=", debris=True)) - set(parts):
+            files.delete(self.spark, f"{folder}/part={number:09d}")
         for number in self._numbers(self.path, "gen="):
             if number < current:
                 files.delete(self.spark, f"{self.path}/gen={number:06d}")

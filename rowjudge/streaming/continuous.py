@@ -22,5 +22,6 @@ def judged_stream(stream: DataFrame, payload: Column, questions: QuestionSet | C
         run = judge_rows(rows, payload, questions, judge, **options)
         stamped = run.rows.withColumn("run_id", F.lit(run.run_id))
         stamped.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        run.discard()
 
     return stream.writeStream.foreachBatch(judge_batch)

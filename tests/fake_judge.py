@@ -1,59 +1,57 @@
-"""An in-process batch judge that refuses any request of the wrong shape, and reports in its
-answers what it was sent."""
+"""A judge in process for the tests. It reads a request as its receiver would, finds what each item is asked, and answers by
+what the tests can tell beforehand. Words in the questions or items make it fail in the ways a remote judge can."""
 
 from __future__ import annotations
 
 import json
-import re
 
 from rowjudge.judges.callable import JudgeError
 
+#: A word in a question, and what the judge does about it.
+MOODS = {"forbidden": JudgeError("refused", 422), "swamped": JudgeError("overloaded", 503),
+         "unplugged": ConnectionError("connection dropped"), "crashing": ValueError("a bug")}
+POISON = "poisoned"  # in an item: the whole request is refused
 
-def _answer(kind: str, entry: dict, question: dict, row, size: int) -> dict:
-    text = json.dumps(row, ensure_ascii=False, separators=(",", ":"))
-    if kind == "noul":
-        hit = entry["question"].split()[-1].lower() in text.lower()
-        return {"type": kind, "noul": 0.9 if hit else 0.1, "described": "labels" in entry, "batch_rows": size,
-                "row_chars": len(row) if isinstance(row, str) else None}
-    options = list(question["criteria"])
-    at = len(text) % len(options)
-    if kind == "score":
-        assert entry["levels"] == options
-        return {"type": kind, "score": float(at), "confidence": 1.0,
-                "legend": {str(i): o for i, o in enumerate(options)},
-                "probabilities": {str(i): float(i == at) for i in range(len(options))}}
-    assert list(entry["labels"]) == options
-    return {"type": kind, "choice": options[at], "confidence": 1.0,
-            "described": sum(1 for told in entry["labels"].values() if told),
-            "probabilities": {o: float(i == at) for i, o in enumerate(options)}}
+
+def verdict(kind: str, entry: dict, item) -> dict:
+    """Yes/no: is the question's last word in the item. Choice and score: the option that the item's size falls on."""
+    written = json.dumps(item, ensure_ascii=False, separators=(",", ":"))
+    if kind != "noul":
+        names = list(entry.get("levels") or entry["labels"])
+        winner = names[len(written) % len(names)]
+        shares = {name: 1.0 if name == winner else 0.0 for name in names}
+        if kind == "score":
+            return {"type": "score", "score": float(names.index(winner)), "confidence": max(shares.values()),
+                    "legend": dict(zip(map(str, range(len(names))), names)),
+                    "probabilities": dict(zip(map(str, range(len(names))), shares.values()))}
+        return {"type": "choice", "choice": winner, "confidence": max(shares.values()), "probabilities": shares,
+                "told": len([d for d in entry["labels"].values() if d])}
+    return {"type": "noul", "noul": 0.9 if entry["question"].rsplit(" ", 1)[-1].lower() in written.lower() else 0.1}
 
 
 def strict(request: str, timeout: float) -> str:
     body = json.loads(request)
-    rubric, items, questions = body["state"]["rubric"], body["state"]["items"], body["questions"]
-    if list(items) != [str(n + 1) for n in range(len(items))]:
-        raise JudgeError("items out of order", 422)
-    if set(questions) != {f"item_{n}_{name}" for n in items for name in rubric}:
-        raise JudgeError("not one question per item and rubric entry", 422)
-    asked = " ".join(entry["question"] for entry in rubric.values())
-    if "trigger422" in asked or "fail422" in json.dumps(items):
+    state, asked = body["state"], dict(body["questions"])
+    words = {w for entry in state["rubric"].values() for w in entry["question"].split()}
+    for word in words & MOODS.keys():
+        raise MOODS[word]
+    if POISON in json.dumps(state["items"]):
         raise JudgeError("refused", 422)
-    if "trigger503" in asked:
-        raise JudgeError("overloaded", 503)
-    if "dropped" in asked:
-        raise ConnectionError("connection dropped")
-    if "buggy" in asked:
-        raise ValueError("a bug")
-    if "silent" in asked:
-        return '{"model": "m"}'
+    if "speechless" in words:
+        return json.dumps({"model": body["model"]})
     answers = {}
-    for key, question in questions.items():
-        number, name = re.fullmatch(r"item_(\d+)_(.+)", key).groups()
-        pointer = question["instructions"]
-        if f"rubric.{name}" not in pointer or f'items."{number}"' not in pointer:
-            raise JudgeError("the pointer points nowhere", 422)
-        answers[key] = _answer(question["type"], rubric[name], question, items[number], len(items))
-    if "partial" in asked:
-        answers.popitem()
+    for place, (number, item) in enumerate(state["items"].items(), 1):
+        if number != str(place):
+            raise JudgeError("the items aren't numbered from 1", 422)
+        for name, entry in state["rubric"].items():
+            question = asked.pop(f"item_{number}_{name}", None)
+            told = (question or {}).get("instructions", "")
+            if f"rubric.{name}" not in told or f'items."{number}"' not in told:
+                raise JudgeError(f"item {number} isn't asked {name}", 422)
+            answers[f"item_{number}_{name}"] = None if "unsure" in words else verdict(question["type"], entry, item)
+    if asked:
+        raise JudgeError("there are questions about no item", 422)
+    if "halfway" in words:
+        answers.pop(max(answers))
     return json.dumps({"model": body["model"], "answers": answers,
                        "usage": {"input_tokens": len(request) // 4, "output_tokens": len(answers)}})

@@ -9,7 +9,7 @@ from rowjudge.functions.payload import row_payload, value_payload
 from rowjudge.judges.callable import CallableJudge, JudgeError, NotReady
 from rowjudge.operators.guards import CapExceeded
 from rowjudge.plans import accounting
-from rowjudge.plans.run import JudgingFailed, judge_queries, judge_rows
+from rowjudge.plans.run import JudgingFailed, import_replies, judge_queries, judge_rows
 from rowjudge.questions import PROMPT_INTENT, QuestionError, make_question, parse_questions, single
 from rowjudge.sources.answer_store import AnswerStore
 from rowjudge.sources.ledger import Ledger
@@ -98,7 +98,7 @@ def test_several_questions_are_one_request(people, kit):
     assert counts(run, "requests", "rows_sent") == (1, 3)
     names = F.array(*[F.lit(n) for n in asked.names])
     whole = json.loads(run.rows.orderBy("id").select(A.answer_object(names, F.col("answers"))).first()[0])
-    assert list(whole) == ["team", "coder", "senior"] and whole["coder"]["noul"] == 0.9 and whole["team"]["described"] == 1
+    assert list(whole) == ["team", "coder", "senior"] and whole["coder"]["noul"] == 0.9 and whole["team"]["told"] == 1
     assert judge_rows(people, row_payload(people), asked, STRICT, **kit).report["rows_sent"] == 0
 
 
@@ -119,7 +119,7 @@ def test_question_sets_from_a_column(people):
 
 def test_a_failed_set_keeps_what_was_paid(people, kit):
     ask = '{"q": {"type": "noul", "question": "%s"}}'
-    asked = F.when(F.col("id") == 1, ask % "this one says trigger422").otherwise(ask % "the person writes compilers")
+    asked = F.when(F.col("id") == 1, ask % "this one is forbidden").otherwise(ask % "the person writes compilers")
     with pytest.raises(JudgingFailed, match="1 rows got no answer: refused"):
         judge_rows(people, row_payload(people), asked, STRICT, **kit)
     assert [(r.error, json.loads(r.payload)["id"]) for r in kit["ledger"].dead_letters().collect()] == [("refused", 1)]
@@ -128,8 +128,8 @@ def test_a_failed_set_keeps_what_was_paid(people, kit):
 
 
 @pytest.mark.parametrize("question, attempts, error", [
-    ("trigger503", 2, "overloaded"), ("is dropped", 2, "connection dropped"), ("trigger422", 1, "refused"),
-    ("is buggy", 1, "ValueError: a bug"), ("is silent", 1, "no answers object"), ("is partial", 1, "2 of 3 questions were answered")])
+    ("is it swamped", 2, "overloaded"), ("is it unplugged", 2, "connection dropped"), ("is it forbidden", 1, "refused"),
+    ("is it crashing", 1, "ValueError: a bug"), ("is it speechless", 1, "no answers object"), ("is it halfway", 1, "2 of 3 questions were answered")])
 def test_attempts(people, kit, question, attempts, error):
     with pytest.raises(JudgingFailed, match=error):
         judge_rows(people, row_payload(people), single(make_question(question)), STRICT, resend_failed=False,
@@ -139,14 +139,22 @@ def test_attempts(people, kit, question, attempts, error):
     assert kit["store"].latest().count() == 0
 
 
-def test_failed_rows_are_sent_at_most_twice(spark, kit):
-    df = spark.range(1, 11).select("id", F.when(F.col("id") == 4, "fail422 row").otherwise(F.concat(F.lit("row "), "id")).alias("t"))
-    run = judge_rows(df, value_payload(df, "t"), POETRY, STRICT, cfg=JudgeConfig(batch_size=2), on_failure="keep", **kit)
-    dead = kit["ledger"].dead_letters().count()
-    assert run.report["reclaimed"] == 2 and 1 <= dead <= 2
-    assert run.rows.where("answers IS NULL").count() == dead
+@pytest.mark.parametrize("size", [1, 2, 10])
+def test_only_the_refused_row_dies(spark, kit, size):
+    df = spark.range(1, 11).select("id", F.when(F.col("id") == 4, "a poisoned row").otherwise(F.concat(F.lit("row "), "id")).alias("t"))
+    run = judge_rows(df, value_payload(df, "t"), POETRY, STRICT, cfg=JudgeConfig(batch_size=size), on_failure="keep", **kit)
+    assert kit["ledger"].dead_letters().count() == 1 and run.report["reclaimed"] == (0 if size == 1 else size)
+    assert [r.id for r in run.rows.where("answers IS NULL").collect()] == [4]
+    sizes = [r.n_items for r in kit["ledger"].batches().where("status = 'failed'").collect()]
+    assert len(sizes) == len(set(sizes))  # what was refused for good is never sent whole again
     again = judge_rows(df, value_payload(df, "t"), POETRY, STRICT, on_failure="keep", **kit)
-    assert counts(again, "cache_hits", "rows_sent") == (10 - dead, dead)
+    assert counts(again, "cache_hits", "rows_sent") == (9, 1)
+
+
+def test_json_null_is_an_answer(people, kit):
+    run = judge_rows(people, row_payload(people), single(make_question("is it unsure")), STRICT, **kit)
+    assert counts(run, "rows_sent", "requests", "retries") == (3, 1, 0) and noul(run) == [None] * 3
+    assert judge_rows(people, row_payload(people), single(make_question("is it unsure")), STRICT, **kit).report["cache_hits"] == 3
 
 
 def test_a_batch_refused_for_one_row_recovers_the_rest(spark, tmp_path):
@@ -170,7 +178,7 @@ def test_caps_refuse_before_anything_is_sent(prompts, spark, kit):
     assert kit["store"].latest().count() == 0 and kit["ledger"].batches().count() == 0
     note = spark.sql("SELECT 1 AS id, repeat('x', 5000) AS note")
     capped = {"max_payload_bytes_per_run": 2100}
-    judge_rows(note, row_payload(note, ["note"]), POETRY, STRICT, cfg=JudgeConfig(**capped))
+    judge_rows(note, row_payload(note, ["note"], max_value_chars=2000), POETRY, STRICT, cfg=JudgeConfig(**capped))
     with pytest.raises(CapExceeded, match="max_payload_bytes_per_run"):
         judge_rows(note, row_payload(note, ["note"], max_value_chars=0), POETRY, STRICT, cfg=JudgeConfig(**capped))
     # hits and duplicates do not count
@@ -245,3 +253,21 @@ def test_fields_instead_of_answers(people):
     run = judge_rows(people, row_payload(people), CODER, fields=fields)
     assert run.rows.columns == ["id", "name", "note", "p", "kind"]
     assert [(r.p, r.kind) for r in run.rows.orderBy("id").collect()] == [(0.9, "noul"), (0.1, "noul"), (0.1, "noul")]
+
+
+def test_replies_survive_a_store_that_fails(people, kit, monkeypatch):
+    def full(self, answers, rows):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(AnswerStore, "append", full)
+        with pytest.raises(OSError) as failed:
+            judge_rows(people, row_payload(people), CODER, STRICT, **kit)
+    work = failed.value.__notes__[0].split(" are in ")[1].split("/replies;")[0]
+    assert import_replies(kit["store"], work) == 3
+    assert judge_rows(people, row_payload(people), CODER, STRICT, **kit).report["rows_sent"] == 0
+
+
+def test_debris_of_a_dead_append_costs_nothing(people, kit, tmp_path):
+    (tmp_path / "store" / "gen=000000" / "part=000000001").mkdir(parents=True)
+    assert [judge_rows(people, row_payload(people), CODER, STRICT, **kit).report["rows_sent"] for _ in range(2)] == [3, 0]
