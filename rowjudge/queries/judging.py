@@ -196,7 +196,7 @@ def judge_eval_noul(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT doc_id, 'score' AS type, CAST(lvl AS DOUBLE) AS score, ['casual', 'plain', 'formality'][lvl + 1] AS level,
+SELECT doc_id, 'score' AS type, CAST(lvl AS DOUBLE) AS score, ['casual', 'plain', 'formal'][lvl + 1] AS level,
   1.0::DOUBLE AS p_level, 1.0::DOUBLE AS confidence
 FROM (SELECT doc_id, CAST(length({TEXT_PAYLOAD}) % 3 AS INTEGER) AS lvl FROM documents)""")
 def judge_eval_score(spark: SparkSession, sf: str) -> DataFrame:
