@@ -18,7 +18,7 @@ from rowjudge.functions.payload import value_payload
 from rowjudge.judges.callable import CallableJudge
 from rowjudge.plans.run import judge_rows
 from rowjudge.queries import QUERIES
-from rowjudge.queries.runs import rule_reply
+from rowjudge.queries.runs import answer_all
 from rowjudge.questions import PROMPT_INTENT
 from rowjudge.sources.answer_store import AnswerStore
 from rowjudge.sources.files import scratch_dir
@@ -58,13 +58,12 @@ def timed(action) -> float:
 def prompt_runs(spark: SparkSession) -> tuple[dict[str, float], dict]:
     """All distinct user prompts through a batch judge, then the same again: all from the store.
     The judge is a local function, so this is the engine's own time."""
-    turns = table(spark, SF_DIR, "conversations").where(F.col("role") == "user")
-    prompts = turns.where(~F.contains(F.lower("text"), F.lit("license")))
+    prompts = table(spark, SF_DIR, "conversations").where(F.col("role") == "user")
     store = AnswerStore(spark, tempfile.mkdtemp(prefix="bench-", dir=scratch_base(spark)) + "/store")
     reports = []
 
     def run() -> None:
-        judged = judge_rows(prompts, value_payload(prompts, "text"), PROMPT_INTENT, CallableJudge(rule_reply),
+        judged = judge_rows(prompts, value_payload(prompts, "text"), PROMPT_INTENT, CallableJudge(answer_all),
                             store=store, cfg=JudgeConfig())
         materialise(judged.rows)
         reports.append(judged.report)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowjudge.operators.guards import cost_usd
@@ -36,7 +34,8 @@ def last_report(runs: DataFrame, batches: DataFrame, session_id: str) -> DataFra
     """The report of the session's last run; no row before its first."""
     mine = runs.where(F.col("session_id") == session_id)
     newest = mine.agg(F.max("seq")).scalar()
-    return run_report(mine.where(F.col("seq") == newest), batches)
+    last = mine.where(F.col("seq") == newest)
+    return run_report(last, batches.join(last.select("run_id").distinct(), "run_id", "left_semi"))
 
 
 def engine_stats(runs: DataFrame, batches: DataFrame, answers: DataFrame) -> DataFrame:
@@ -55,11 +54,10 @@ def engine_stats(runs: DataFrame, batches: DataFrame, answers: DataFrame) -> Dat
             .select("_r.*", "_p.*", "rows_evaluated", "api_ms", "errors", "_k.*"))
 
 
-def stats_delta(snapshots: DataFrame, counter: str, phases: Sequence[int], *, phase: str = "phase") -> DataFrame:
-    """Growth of a counter from each phase to the next, one column per step, in one pass."""
-    at = {p: F.max(F.when(F.col(phase) == p, F.col(counter))) for p in phases}
-    steps = [(at[b] - at[a]).alias(f"{counter}_{a}_{b}") for a, b in zip(phases, phases[1:])]
-    return snapshots.agg(*steps)
+def stats_delta(snapshots: DataFrame, counter: str, *, phase: str = "phase") -> DataFrame:
+    """Growth of a counter since the phase before, a row for each phase there is (one per run, so one task orders them)."""
+    before = F.lag(counter).over(Window.orderBy(phase))
+    return snapshots.select(phase, (F.col(counter) - before).alias(f"{counter}_since"))
 
 
 def scope_spend(batches: DataFrame) -> DataFrame:

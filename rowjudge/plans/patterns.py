@@ -40,13 +40,14 @@ def prompt_breakdown(df: DataFrame, prompt: str, *, by: Sequence[str] = (), judg
 def breakdown_of_rows(df: DataFrame, prompt: str, *, by: Sequence[str] = (), judge: RuleJudge = RULES) -> DataFrame:
     """Classify distinct prompts, join back, count all rows. Rows are first counted per
     (``by``, prompt), so a prompt that fills a third of the table joins as one row per group; a
-    prompt that many groups share is salted by group."""
+    prompt that many groups share is salted by group. The join and its list of hot keys hold digests, never a prompt's text."""
     counted = df.where(F.col(prompt).isNotNull()).groupBy(*by, prompt).agg(F.count(F.lit(1)).alias("n_rows"))
-    distinct = counted.groupBy(prompt).agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = counted.withColumn("_digest", F.sha2(F.col(prompt), 256))
+    distinct = counted.groupBy("_digest").agg(F.first(prompt).alias(prompt), F.count(F.lit(1)).alias("n_rows"))
     label = leading_label(F.col("r.intent"), F.col("r.malicious_probability"))
-    judged = with_prompt_intent(distinct, prompt, judge=judge).select(prompt, label.alias("label"))
+    judged = with_prompt_intent(distinct, prompt, judge=judge).select("_digest", label.alias("label"))
     groups = F.xxhash64(*by) if by else F.lit(0)
-    joined = attach(counted, judged, prompt, hot_keys(distinct, prompt), salt=groups)
+    joined = attach(counted.drop(prompt), judged, "_digest", hot_keys(distinct, "_digest"), salt=groups)
     return joined.groupBy(*by, "label").agg(F.sum("n_rows").alias("n_rows"),
                                                          F.count(F.lit(1)).alias("prompts"))
 

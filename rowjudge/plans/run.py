@@ -396,7 +396,7 @@ def _with_answers(run: _Run, df: DataFrame, requests: DataFrame, total: int, onc
     if run.passes:
         sent = _answers(run.replies()).select("entry_key", ANSWERS)
         if not once:
-            keys = requests.where(F.col("fate") == "miss").select("row_key", "entry_key")
+            keys = requests.where(F.col("fate") == "miss").select("row_key", "entry_key").distinct()
             sent = keys.join(sent, "entry_key").drop("entry_key")
         resolved = hits.unionByName(sent.toDF("row_key", ANSWERS))
     if not once:

@@ -30,7 +30,6 @@ from rowjudge.sources.tables import table
 # -- the books: one run a week over the prompts of ``events`` --------------------------------
 
 FIRST_DAY = "2024-01-01"
-WEEKS = [0, 1, 2, 3, 4]
 
 
 def weekly_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,14 +133,13 @@ def engine_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 WITH {_WEEKS_SQL}
-SELECT {", ".join(f"CAST(sum(rows_sent) FILTER (run = {b}) AS BIGINT) AS rows_evaluated_{a}_{b}" for a, b in zip(WEEKS, WEEKS[1:]))}
-FROM runs""")
+SELECT run AS phase, CASE WHEN lag(run) OVER (ORDER BY run) IS NOT NULL THEN rows_sent END AS rows_evaluated_since FROM runs""")
 def stats_delta(spark: SparkSession, sf: str) -> DataFrame:
     """The counter as it stood after each run (one row per run), and its steps."""
     runs = weekly_runs(weekly_requests(spark, sf))
     upto = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     snapshots = runs.select(F.col("seq").alias("phase"), F.sum("rows_sent").over(upto).alias("rows_evaluated"))
-    return accounting.stats_delta(snapshots, "rows_evaluated", WEEKS)
+    return accounting.stats_delta(snapshots, "rows_evaluated")
 
 
 @query(f"""
@@ -201,6 +199,11 @@ def rule_reply(request: str, timeout: float) -> str:
     """The rules as a batch function. It refuses a request that holds a refused word."""
     if REFUSED in request.lower():
         raise JudgeError(f"the batch holds a refused word: {REFUSED}", 422)
+    return answer_all(request, timeout)
+
+
+def answer_all(request: str, timeout: float) -> str:
+    """The rules as a batch function that refuses nothing."""
     body = json.loads(request)
     answers = {}
     for number, text in body["state"]["items"].items():
