@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from rowjudge.queries import judging, requests, runs  # noqa: F401
+from rowjudge.queries import judging, requests, runs, trained  # noqa: F401
 from rowjudge.queries.registry import QUERIES
 
 __all__ = ["QUERIES"]
