@@ -87,6 +87,13 @@ def _sketch(tokens: np.ndarray) -> bytes:
     return np.packbits((np.bincount((tokens & np.uint64(1023)).astype(np.int64), minlength=1024) & 1).astype(np.uint8)).tobytes()
 
 
+def _slices(batches, rows: int = 512):
+    """Arrow batches in pieces, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 # -- common shingles ----------------------------------------------------------------------------
 
 def _pack(values: np.ndarray) -> bytes:
@@ -113,12 +120,12 @@ def _counter(cfg: JoinConfig, ranges: int):
 
     def run(batches):
         kept, n = [], 0
-        for batch in batches:
+        for batch in _slices(batches):
             for text in batch.column(0).to_pylist():
                 tokens = shingles(text, cfg.words)
                 kept.append((tokens >> np.uint64(32)).astype(np.uint32))
                 n += len(tokens)
-                if n > 4_000_000:
+                if n > 2_000_000:
                     yield flush(kept)
                     kept, n = [], 0
         if n:
@@ -182,7 +189,7 @@ def _class_of(tokens: np.ndarray, key: np.ndarray, kind: np.ndarray) -> np.ndarr
 
 def _describe(cfg: JoinConfig, key: np.ndarray, kind: np.ndarray):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 tokens = shingles(text, cfg.words)
@@ -219,7 +226,7 @@ def boundary(sizes: dict[int, int], cfg: JoinConfig) -> int:
 
 def _subsets(cfg: JoinConfig, small: int):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             out = ([], [], [], [])
             for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tokens = shingles(text, cfg.words)
@@ -284,12 +291,10 @@ def inverted_lists(sets: DataFrame, cfg: JoinConfig) -> DataFrame:
     """(token, id, common): the entries of lists that may hold two sets and more, from ``sets`` (id, n, prefix, rare)."""
     total = sets.agg(F.sum(F.length("rare"))).first()[0] or 0
     buckets = max(1, total // cfg.bucket_rows)
-    packed = stored(sets.select("id", "prefix", "rare").mapInPandas(_postings(buckets), "bucket long, tokens binary, ids binary"), "postings")
+    packed = sets.select("id", "prefix", "rare").mapInPandas(_postings(buckets), "bucket long, tokens binary, ids binary")
     schema = "token long, id long, common boolean"
     light = packed.where("bucket >= 0").groupBy("bucket").applyInPandas(_shared, schema)
-    lists = stored(light.union(packed.where("bucket < 0").mapInPandas(_unpacked, schema)), "lists")
-    discard(packed)
-    return lists
+    return stored(light.union(packed.where("bucket < 0").mapInPandas(_unpacked, schema)), "lists")
 
 
 def _may_link(percent: int):
@@ -305,6 +310,20 @@ def _may_link(percent: int):
     return fits, differ("sa", "sb") <= most
 
 
+#: Bits of the filter that keeps texts nobody needs out of a shuffle.
+_BITS = 1 << 24
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) without most of those whose id isn't in ``ids``: a bitmap of hashed ids is broadcast, at most 2^18
+    words whatever the size of the corpus. What it lets through by chance is left to the join that follows."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(_BITS))
+    flag = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), (bit(c) % 64).cast("int"))
+    words = ids.groupBy(F.floor(bit("id") / 64).alias("at")).agg(F.bit_or(flag("id")).alias("word"))
+    kept = docs.join(F.broadcast(words), F.floor(bit("doc_id") / 64) == F.col("at"))
+    return kept.where(F.col("word").bitwiseAND(flag("doc_id")) != 0).select("doc_id", "text")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, cfg: JoinConfig) -> DataFrame:
     """Those of ``pairs`` (a, b) that link, compared shingle by shingle."""
     facts = sets.select("id", "n", "sketch")
@@ -312,10 +331,11 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, cfg: JoinConfig)
     near = near.join(facts.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
     fits, alike = _may_link(cfg.percent)
     near = stored(near.where(fits).where(alike).select("a", "b"), "near")
-    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(sets.select("id", "h1", "h2"), "id")
+    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = stored(ids.join(sets.select("id", "h1", "h2"), "id"), "needed")
 
     def collect(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             own, found = [], []
             for i, h1, h2, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 tokens = shingles(text, cfg.words).tobytes()
@@ -324,7 +344,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, cfg: JoinConfig)
                     found.append(tokens)
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(found, pa.binary())], names=["id", "tokens"])
 
-    texts = docs.join(ids, F.col("doc_id") == F.col("id")).select("id", "h1", "h2", "text")
+    texts = _only(docs, ids).join(ids, F.col("doc_id") == F.col("id")).select("id", "h1", "h2", "text")
     tokens = stored(texts.mapInArrow(collect, "id long, tokens binary").dropDuplicates(["id"]), "tokens")
 
     def compare(batches):
@@ -339,7 +359,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, cfg: JoinConfig)
     full = near.join(tokens.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a")
     full = full.join(tokens.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
     links = stored(full.select("a", "b", "ta", "tb").mapInPandas(compare, "a long, b long"), "verified")
-    discard(near, tokens)
+    discard(near, tokens, ids)
     return links
 
 
@@ -383,7 +403,7 @@ def _crossing(cfg: JoinConfig):
 def _cross_pairs(left: DataFrame, sets: DataFrame, cfg: JoinConfig) -> DataFrame:
     """Light lists by bucket, common lists by pairs of blocks of their members."""
     entries = stored(left.join(sets.select("id", "n", "sketch"), "id"), "entries")
-    buckets = max(1, entries.count() // 50_000)
+    buckets = max(1, entries.count() // 4_096)
     light = entries.where("NOT common").withColumn("key", F.pmod(F.xxhash64("token"), F.lit(buckets))).withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
     common = entries.where("common")
     blocks = common.groupBy("token").agg(F.ceil(F.count("*") / cfg.block).cast("int").alias("blocks"))
@@ -407,7 +427,7 @@ def jaccard_classes(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFram
     sizes = {r["n"]: r["count"] for r in sets.where(F.col("n") <= 2 * cfg.largest_small).groupBy("n").count().collect()}
     small = boundary(sizes, cfg)
     few = sets.where(F.col("n") <= small).select("id", "h1", "h2")
-    links = small_links(rows.join(few, F.col("doc_id") == F.col("id")).select("id", "text").distinct(), cfg, small)
+    links = small_links(_only(rows, few).join(few, F.col("doc_id") == F.col("id")).select("id", "text").distinct(), cfg, small)
     links = stored(links, "links")
 
     lists = inverted_lists(sets.where(F.col("n") >= -(-cfg.percent * (small + 1) // 100)), cfg)
