@@ -3,7 +3,8 @@
 1. Write: payload digests are counted first (no payload moves): of equal payloads of at least ``min_bytes`` that with the
    largest page id is the response, the others become revisit records without a payload. Records are dealt to archives of
    about ``archive_bytes`` and sorted in each by URL key, time and id, so every archive is a locally sorted capture run.
-   Spark's own writer lays the records into the files: on any file system, committed by task.
+   Spark's own writer lays the records into gzip files: on any file system, committed by task. Offsets are those of the
+   unpacked archive.
 2. Read: each archive is parsed by its content lengths, payloads are digested again and held against their headers.
 3. Merge: the runs' index rows are range-partitioned by (URL key, time, id) into ranges of about ``merge_rows``, and each
    range merges its part of all runs with a loser tree: the ranges, one after the other, are the globally ordered history.
@@ -15,6 +16,7 @@ table gives no records. Other columns are not read. A record has to fit in a tas
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import math
 import uuid
@@ -66,11 +68,12 @@ def write_archives(pages: DataFrame, path: str, cfg: WarcConfig = WarcConfig())
     archives = max(1, math.ceil(total / cfg.archive_bytes))
     last = facts.where(F.col("bytes") >= cfg.min_bytes).groupBy("digest").agg(F.max("page_id").alias("last"))
     revisits = facts.join(last, "digest").where("page_id IS DISTINCT FROM last AND last IS NOT NULL")
-    revisits = revisits.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "last").distinct()
-    # one shuffle of the payloads: by id into archives, to meet the small table of revisits there
-    dealt = rows.repartition(archives, F.col("page_id"))
-    told = dealt.join(revisits, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
-    again = F.col("_digest").isNotNull()
+    own = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("_own")
+    revisits = revisits.select(own, "digest", "last").distinct()
+    # one shuffle of the payloads: into archives by what the join with the small table of revisits needs anyway
+    dealt = rows.select("*", own).repartition(archives, "_own", "digest")
+    told = dealt.join(revisits, ["_own", "digest"], "left")
+    again = F.col("last").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
     block = F.when(again, http).otherwise(F.concat(http, F.col("payload")))
@@ -86,7 +89,7 @@ def write_archives(pages: DataFrame, path: str, cfg: WarcConfig = WarcConfig())
         F.octet_length("block").cast("string"), F.lit("\r\n\r\n"), F.col("block"))
     laid = told.withColumn("key", url_key(F.col("url"))).withColumn("block", block)
     ordered = laid.sortWithinPartitions("key", "captured", "page_id").select(value.alias("value"))
-    ordered.write.option("lineSep", "\r\n\r\n").text(path)  # a record ends with two line ends
+    ordered.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)  # a record ends with two line ends
 
 
 def parse(data: bytes) -> Iterator[dict]:
@@ -124,7 +127,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for pdf in batches:
             for name, data in zip(pdf["path"], pdf["content"]):
-                found = pd.DataFrame(list(parse(data)), columns=_NAMES)
+                found = pd.DataFrame(list(parse(gzip.decompress(data))), columns=_NAMES)
                 for c in ("page_id", "refers_to"):
                     found[c] = found[c].astype("Int64")
                 if len(found):
