@@ -114,7 +114,9 @@ def train(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig
     rows = once.select(F.xxhash64("doc_id").alias("h"), "text", (F.col("mean") > 0.5).cast("double").alias("label"))
     found = rows.mapInArrow(extract, "h long, place array<int>, value array<float>, label double")
     one = found.repartition(1).sortWithinPartitions("h", "label")  # the bounded sample
-    return np.frombuffer(one.mapInArrow(fit, "weights binary").first()[0], "<f4").astype(np.float64)
+    made = one.mapInArrow(fit, "weights binary").first()  # no row where there is no label
+    size = (1 << cfg.bits) + 1 + SHARES
+    return np.frombuffer(made[0], "<f4").astype(np.float64) if made else np.zeros(size)
 
 
 def score(docs: DataFrame, weights: np.ndarray, cfg: QualityConfig = QualityConfig(), name: str = "score") -> DataFrame:
