@@ -5,7 +5,7 @@ Documents with equal texts are linked. The law is ``rows``: the shards' counts d
 1. Every document starts in a shard by hash. Documents of one group are alike to their neighbours, so the labels of a group
    are kept as counts by shard (at most ``shards`` of them), never as links or lists of documents.
 2. Each round, a group wants to move to the shard where most of it is. Moves into a shard are admitted up to its quota: what
-   it has free and half of what wants to leave it. Groups are admitted by hash, in ``buckets`` steps counted for each shard,
+   it has free, a slack, and half of what wants to leave it. Groups are admitted by hash, in ``buckets`` steps counted for each shard,
    so the driver sees shards x buckets numbers. Groups above an eighth of a shard (at most 8 x shards of them) can't move as
    one: they fill the emptiest shards first. Rounds end when little moves.
 3. Documents take their group's labels in order. What a shard holds above its count is released, group by group, and goes
@@ -30,6 +30,7 @@ class ShardConfig:
     shards: int = 24
     rounds: int = 12
     buckets: int = 256
+    slack: float = 0.05  # share above its count that a shard may hold until the release
     overhead: int = 8  # bytes a document takes besides its text
 
 
@@ -99,7 +100,7 @@ def propagate(units: DataFrame, total: int, cfg: ShardConfig) -> DataFrame:
             break
         admitted = []
         for h, want in enumerate(asked):
-            quota, b = room[h] - mine[h] + leaving[h] // 2, 0
+            quota, b = int(room[h] * (1 + cfg.slack)) - mine[h] + leaving[h] // 2, 0
             while b < cfg.buckets and want[b] <= quota:
                 quota, b = quota - want[b], b + 1
             admitted.append(b)

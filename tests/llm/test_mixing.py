@@ -37,7 +37,7 @@ def test_the_mix_meets_its_targets(spark):
         own[0] += r["taken"]
         own[1] += r["size"]
     for taken, size, told, target in sums.values():
-        assert size == told and abs(taken - target) <= 64
+        assert size == told and abs(taken - target) <= 96  # half a block, and a last block that is not full
     assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix(docs.repartition(7), cfg).collect()))
 
 

@@ -22,6 +22,19 @@ def laid(runs) -> dict[int, list[tuple[int, int]]]:
     return out
 
 
+def best_fit_decreasing(counts) -> int:
+    """Brute force, item by item."""
+    gaps, used = [0] * 1025, 0
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            gap = next((g for g in range(length, 1025) if gaps[g]), None)
+            used += gap is None
+            if gap is not None:
+                gaps[gap] -= 1
+            gaps[(gap or 1024) - length] += 1
+    return used
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 30, 700, 5000])
 @pytest.mark.parametrize("kind", ["even", "short", "few"])
 def test_a_plan_places_every_piece_once(n, kind):
@@ -43,9 +56,7 @@ def test_a_plan_places_every_piece_once(n, kind):
             assert offset == at
             at += length
         assert at <= 1024
-    least = -(-sum(k * v for k, v in counts.items()) // 1024)
-    large = sum(v for k, v in counts.items() if k > 512)
-    assert len(sequences) <= max(least * 1.05, large) + 3
+    assert len(sequences) <= 1.02 * best_fit_decreasing(counts) + 3
 
 
 def test_configurations_meet_the_known_optimum():

