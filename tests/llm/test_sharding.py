@@ -44,3 +44,22 @@ def test_odd_rows(odd_docs, no_docs):
     sizes = {r["doc_id"]: r["size"] for r in rows}
     assert sizes[1] == sizes[2] == 8 and sizes[11] == 10_008
     assert balanced_shards(no_docs).count() == 0
+
+
+def cut_groups(spark, rows, shards):
+    got = check(spark.createDataFrame(rows, "doc_id long, text string"), ShardConfig(shards=shards))
+    text = dict(rows)
+    where: dict[str, set] = {}
+    for r in got:
+        where.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+    return sum(len(s) > 1 for t, s in where.items() if t != "hot")
+
+
+def test_nothing_but_groups_cuts_few(spark):
+    assert cut_groups(spark, [(i, f"g{i // 4}") for i in range(400)], 5) <= 10
+
+
+def test_pairs_stay_together_beside_a_hot_third(spark):
+    pairs = [(10_000 + i, f"pair {i // 2}") for i in range(1600)]
+    rows = [(i, "hot") for i in range(1200)] + pairs + [(20_000 + i, f"single {i}") for i in range(800)]
+    assert cut_groups(spark, rows, 12) <= 12  # 800 pairs; at most the ends of shards cut one
