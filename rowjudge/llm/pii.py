@@ -45,8 +45,16 @@ _MASKED = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?[\[({]\s?at\s?[\])}]\s?[A-Za-z0-
                      r"(?:(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?)[A-Za-z0-9-]{1,63}){1,5}", re.I)
 _LOCAL_PHONE = re.compile(r"(?<![0-9.+-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])")
 _ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_CALLED = re.compile(r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20|\b(?:my name is|signed by|contact person:?)\x20)"
-                     r"([A-Z][a-z]{1,20}(?:[\x20-][A-Z][a-z]{1,20}){0,2})")
+# Names: a capital, then letters of any script with inner capitals, apostrophes and combining accents.
+_CAPITAL = "".join(map(re.escape, filter(str.isupper, map(chr, range(0x2000)))))
+_NAME = rf"[{_CAPITAL}](?:['\u2019]?[^\W\d_]|[\u0300-\u036f]){{1,40}}"
+#: Titles and cues before a name in English, German, French and Spanish.
+_TITLES = ("Mr Mrs Ms Dr Prof Herr Herrn Frau Monsieur Madame Mademoiselle Mme Mlle Señor Señora Señorita Sr Sra Srta "
+           "Don Doña").split()
+_CUES = ("my name is", "signed by", "contact person", "mein name ist", "ich heiße", "unterzeichnet von", "ansprechpartner",
+         "mon nom est", "je m'appelle", "je m\u2019appelle", "signé par", "mi nombre es", "me llamo", "firmado por")
+_CALLED = re.compile(rf"(?:\b(?:(?:{'|'.join(_TITLES)})\.?|M\.)\x20|\b(?i:{'|'.join(_CUES)}):?\x20)({_NAME}(?:[\x20-]{_NAME}){{0,2}})")
+_TITLE_PARTS = ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Mad", "Mme", "Mlle", "Señor", "Sr", "Don ", "Don.", "Doña", "M. ")
 
 #: Gazetteers (fixed values).
 GIVEN_NAMES = frozenset("""anna anne antonio carlos charles david elena elizabeth emma eric eva francois hans helen isabel
@@ -60,7 +68,10 @@ FOR = {
     "email": {"email", "e-mail", "mail", "contact", "write"}, "ip": {"ip", "address", "host", "from"},
     "card": {"card", "visa", "mastercard", "credit", "payment"}, "phone": {"phone", "tel", "call", "mobile", "fax"},
     "email_masked": {"email", "e-mail", "mail", "contact", "write"}, "phone_local": {"phone", "tel", "call", "mobile", "fax"},
-    "person": {"mr", "mrs", "ms", "dr", "prof", "name", "signed", "person"}, "id_number": {"ssn", "social", "security", "id"},
+    "person": {"mr", "mrs", "ms", "dr", "prof", "name", "signed", "person", "herr", "herrn", "frau", "unterzeichnet", "heiße",
+               "ansprechpartner", "monsieur", "madame", "mademoiselle", "m", "mme", "mlle", "nom", "appelle", "signé", "señor",
+               "señora", "señorita", "sr", "sra", "srta", "don", "doña", "nombre", "llamo", "firmado"},
+    "id_number": {"ssn", "social", "security", "id"},
 }
 AGAINST = frozenset("version isbn order page figure section chapter build price total token".split())
 
@@ -119,11 +130,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def more_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Further candidates, those that overlap a base span left out."""
     found = []
-    low = "at" in text and ("[" in text or "(" in text or "{" in text)
-    if low:
+    low = text.lower()
+    if "at" in low and ("[" in text or "(" in text or "{" in text):
         found += [(m.start(), 4, m.end()) for m in _MASKED.finditer(text)]
     found += [(m.start(), 5, m.end()) for m in _LOCAL_PHONE.finditer(text)]
-    if any(x in text for x in ("Mr", "Ms", "Dr", "Prof", "name is ", "signed by ", "contact person")):
+    if any(x in text for x in _TITLE_PARTS) or any(x in low for x in _CUES):
         found += [(m.start(1), 6, m.end(1)) for m in _CALLED.finditer(text)]
     found += [(m.start(), 7, m.end()) for m in _ID.finditer(text)]
     return sorted(x for x in found if not any(s < x[2] and x[0] < e for s, _, e in taken)) if found else found

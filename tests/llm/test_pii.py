@@ -66,3 +66,23 @@ def test_persons_and_masked_addresses_are_added_where_context_speaks_for_them(sp
 def test_redaction_leaves_clean_texts(odd_docs):
     rows = {r["doc_id"]: r["text"] for r in pii.redact(odd_docs).where("doc_id IS NOT NULL").collect()}
     assert rows[10] == "mail [EMAIL] or [PHONE] now" and rows[8] == "one two three" and rows[1] is None
+
+
+def added(text: str) -> list[tuple[str, str]]:
+    return [(pii.KINDS[k], text[s:e]) for s, k, e in pii.more_spans(text, [])]
+
+
+def test_masked_addresses_in_capitals():
+    assert added("WRITE TO JOHN [AT] EXAMPLE [DOT] COM") == [("email_masked", "JOHN [AT] EXAMPLE [DOT] COM")]
+
+
+def test_names_are_taken_whole():
+    for name in ("Müller", "McDonald", "O'Brien", "Élodie Lefèvre-Duval", "Ana Núñez", "Ångström"):
+        assert added(f"see Dr. {name}, please") == [("person", name)]
+
+
+def test_titles_and_cues_of_four_languages():
+    for before in ("Mr.", "Herr", "Herrn", "Frau", "M.", "Mme", "Monsieur", "Sr.", "Sra.", "Señor", "Doña", "My name is",
+                   "mein Name ist", "Ich heiße", "Ansprechpartner:", "je m'appelle", "signé par", "me llamo", "Mi nombre es"):
+        assert added(f"so {before} Karl Weiß.") == [("person", "Karl Weiß")], before
+    assert added("ein Herr geht, die Frau singt, don Quijote m. Weiß") == []
