@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import hnsw, jaccard_join, language, mixing, packing, pii, product_quantisation, quality, sharding, warc
+from rowjudge.llm import hnsw, jaccard_join, language, mixing, packing, pii, product_quantisation, quality, sharding, spelling, warc
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -121,3 +121,39 @@ both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN both_ways l ON r.y = l.x)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) ON x = d.doc_id"""
+
+
+@register
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+#: The table of CRC-32 as SQL, worked out from its polynomial; the hashes below read it as ``crc.t``.
+CRC_TABLE_SQL = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a string column, in SQL."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode({text}))), lambda i: {byte})), "
+            "lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) + 1 AS INTEGER)])), 4294967295)")
+
+
+ORACLE_SQL["op11_spelling"] = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents),
+found AS (SELECT concat(d, ':', w) AS k, any_value(w) AS w, count(*) AS n FROM runs GROUP BY d, w),
+hashed AS (SELECT w, n, {crc32_sql("k")} AS h FROM found, crc),
+told AS (SELECT CASE WHEN h % 97 = 0 THEN concat(substr(w, 1, h % length(w)), substr(w, h % length(w) + 2)) ELSE w END AS word, n FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM told WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+less AS (SELECT word, n, i, concat(substr(word, 1, i), substr(word, i + 2)) AS d FROM (SELECT *, unnest(range(length(word))) AS i FROM v)),
+pairs AS (SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN v b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN v b ON a.d = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM pairs GROUP BY word),
+formed AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS at FROM formed UNION ALL SELECT w.word, f.form FROM walk w JOIN formed f ON w.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN walk w USING (word) JOIN formed e ON w.at = e.word WHERE e.form IS NULL"""
