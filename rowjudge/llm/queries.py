@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import hnsw, jaccard_join, language, mixing, packing, pii, product_quantisation, quality, sharding, spelling, warc
+from rowjudge.llm import conversations, hnsw, jaccard_join, language, mixing, packing, pii, product_quantisation, quality, sharding, spelling, warc
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -157,3 +157,57 @@ formed AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 *
   FROM v LEFT JOIN best USING (word)),
 walk AS (SELECT word, word AS at FROM formed UNION ALL SELECT w.word, f.form FROM walk w JOIN formed f ON w.at = f.word WHERE f.form IS NOT NULL)
 SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN walk w USING (word) JOIN formed e ON w.at = e.word WHERE e.form IS NULL"""
+
+
+@register
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(given, conversations.damaged(given))
+
+
+def _edits_sql(state: int) -> str:
+    """The cheapest way on from a state: its cost, its edits and the turns that they give, the cost first."""
+    made = conversations.MADE[state]
+    role = "user" if made == 2 else "assistant"
+    after = "CASE r.initial " + " ".join(f"WHEN '{'sua'[i]}' THEN p.s{to}" for i, to in conversations.AFTER[state].items()) + " END"
+    cut = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+    free = "fault IS NULL OR fault = 'truncated'"
+    initials = ", ".join(f"'{'sua'[i]}'" for i in conversations.AFTER[state])
+    return f"""list_min(list_filter([{{'c': 4 + p.s{state}.c, 'a': 'D' || p.s{state}.a, 'o': p.s{state}.o}},
+      CASE WHEN ({free}) AND r.initial IN ({initials}) THEN {{'c': {cut} + ({after}).c, 'a': 'K' || ({after}).a,
+        'o': list_prepend(concat(role, ':', text), ({after}).o)}} END,
+      CASE WHEN {free} THEN {{'c': 3 + {cut} + p.s{made}.c, 'a': 'R' || p.s{made}.a,
+        'o': list_prepend(concat('{role}:', text), p.s{made}.o)}} END], lambda x: x IS NOT NULL))"""
+
+
+def _insert_sql(state: str, into: str, role: str) -> str:
+    return f"list_min([{state}, {{'c': 3 + {into}.c, 'a': 'I' || {into}.a, 'o': list_prepend('{role}:', {into}.o)}}])"
+
+
+ORACLE_SQL["op12_conversations"] = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS name FROM conversations),
+kinds AS (SELECT *, {crc32_sql("name")} % 20 AS kind FROM named, crc),
+rows AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) FROM kinds WHERE kind <> 0)),
+trimmed AS (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(concat(strlen(role), ':', role, text))) AS i FROM rows),
+told AS (SELECT *, substr(role, 1, 1) AS initial, CASE WHEN body = '' THEN 'blank'
+  WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+  concat(lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i), substr(role, 1, 1)) AS two FROM trimmed),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (i > 1 AND two NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM told GROUP BY conv_id),
+dp AS (SELECT conv_id, n AS i, {{'c': 0, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS s0, {{'c': 6, 'a': 'II', 'o': ['user:', 'assistant:']}} AS s1,
+    {{'c': 3, 'a': 'I', 'o': ['assistant:']}} AS s2, {{'c': 0, 'a': '', 'o': CAST([] AS VARCHAR[])}} AS s3 FROM sums
+  UNION ALL SELECT conv_id, i, {_insert_sql("b0", "t2", "user")}, {_insert_sql("b1", "t2", "user")}, t2, {_insert_sql("b3", "t2", "user")}
+  FROM (SELECT conv_id, i, b0, b1, b3, {_insert_sql("b2", "b3", "assistant")} AS t2
+    FROM (SELECT p.conv_id, p.i - 1 AS i, {_edits_sql(0)} AS b0, {_edits_sql(1)} AS b1, {_edits_sql(2)} AS b2, {_edits_sql(3)} AS b3
+      FROM dp p JOIN told r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i)))
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(CAST(s0.c AS BIGINT), 0) AS cost, coalesce(s0.a, '') AS audit,
+  sha256(coalesce(array_to_string(s0.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM c.conv_id AND dp.i = 0"""
