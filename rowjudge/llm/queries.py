@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowjudge.llm import conversations, hnsw, jaccard_join, language, mixing, packing, pii, product_quantisation, quality, sharding, spelling, warc
+from rowjudge.llm import (conversations, hnsw, html_text, jaccard_join, language, mixing, packing, pii, product_quantisation, quality,
+                          sharding, spelling, warc)
 from rowjudge.sources.tables import table
 
 QUERIES: dict = {}
@@ -211,3 +212,19 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   sha256(coalesce(array_to_string(s0.o, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM c.conv_id AND dp.i = 0"""
+
+
+@register
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+#: Reads pages that mark their article by its element, hold no other element that goes inside it and no rarer character references.
+ORACLE_SQL["op13_html_text"] = r"""
+WITH cut AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*?)(?:</article>|<footer>|$)', 1) AS body FROM pages),
+pieces AS (SELECT page_id, url, list_transform(regexp_split_to_array(body, '</?(?:p|h1)>'), lambda x: trim(regexp_replace(
+  replace(replace(replace(replace(regexp_replace(replace(regexp_replace(x, '</?b>', '', 'g'), '<br>', ' '), '&quot;?', '"', 'g'),
+    '&#x27;', ''''), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '[ \t\n\v\f\r]+', ' ', 'g'))) AS parts FROM cut),
+texts AS (SELECT page_id, url, regexp_replace(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)), '&amp;?', '&', 'g') AS text
+  FROM pieces)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts"""
