@@ -24,10 +24,14 @@ def with_entry_key(requests: DataFrame, model: str, set_key: Column, *, scope: s
     return requests.withColumn("entry_key", entry_key(F.col(scope), F.lit(model), set_key, F.col(payload)))
 
 
-def split_fates(requests: DataFrame, known: DataFrame) -> DataFrame:
+def split_fates(requests: DataFrame, known: DataFrame | None) -> DataFrame:
     """Add ``answers`` and ``fate``: ``null`` (nothing to ask), ``hit`` (``known`` holds the
     answer) or ``miss``. Both sides are unique per key; requests without a key probe with a text
-    of their scope, which no key equals, so that they do not meet in one partition."""
+    of their scope, which no key equals, so that they do not meet in one partition. Without
+    ``known`` there is nothing to join."""
+    if known is None:
+        nothing = requests.withColumn("answers", F.lit(None).cast("array<string>"))
+        return nothing.withColumn("fate", F.when(F.col("entry_key").isNull(), "null").otherwise("miss"))
     found = known.select(F.col("entry_key").alias("_known"), "answers")
     probe = F.coalesce("entry_key", F.concat(F.lit("none:"), F.col("scope")))
     fate = (F.when(F.col("entry_key").isNull(), "null")

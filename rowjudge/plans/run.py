@@ -32,7 +32,6 @@ from rowjudge.operators.requests import request_column, request_size
 from rowjudge.operators.single_flight import flight_counts
 from rowjudge.questions import QuestionSet
 from rowjudge.sources import files
-from rowjudge.sources.answer_store import SCHEMA as STORE_SCHEMA
 from rowjudge.sources.answer_store import AnswerStore
 from rowjudge.sources.ledger import RUNS, Ledger, columns as columns_of
 
@@ -93,7 +92,7 @@ class _Run:
         asked = F.lit(self.questions.set_key) if question is None else question
         return entry_key(scope, F.lit(self.cfg.model), asked, payload)
 
-    def requests(self, rows: DataFrame, scope: str | None) -> DataFrame:
+    def requests(self, rows: DataFrame) -> DataFrame:
         """The distinct requests of the run with their fate, as a written table."""
         by = ["query_id", "scope", "payload"] + (["question"] if self.per_row else [])
         distinct = distinct_requests(rows, by)
@@ -106,10 +105,10 @@ class _Run:
             distinct = with_entry_key(distinct, self.cfg.model, F.lit(self.questions.set_key))
             distinct = distinct.withColumn("row_key", F.col("entry_key"))
             distinct = distinct.withColumn("set_key", F.lit(self.questions.set_key))
-        if self.store is None:
-            known = self.spark.createDataFrame([], STORE_SCHEMA)
-        else:
-            known = self.store.latest(model=self.cfg.model, scope=scope)
+        known = None
+        if self.store is not None and self.store.runs():
+            distinct = self.write(distinct, "asked")  # the look-up asks for its keys twice
+            known = self.store.lookup(distinct)
         fates = split_fates(distinct, known)
         kept = F.when(F.col("fate") == "miss", F.col("payload"))
         return self.write(fates.withColumn("payload", kept), "requests", "fate")
@@ -289,7 +288,7 @@ def judge_rows(
     query = F.lit("0") if query_id is None else query_id.cast("string")
     asked = payload if not run.per_row else F.when(questions.isNotNull(), payload)
     columns = [query.alias("query_id"), scope_column.alias("scope"), asked.alias("payload")]
-    requests = run.requests(df.select(*columns, *([questions.alias("question")] if run.per_row else [])), fixed_scope)
+    requests = run.requests(df.select(*columns, *([questions.alias("question")] if run.per_row else [])))
 
     # a key is met once, unless several queries or several texts of one set may meet it
     once = query_id is None and not run.per_row

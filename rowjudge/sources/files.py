@@ -27,6 +27,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, in one call."""
+    fs, where, _ = _hadoop(spark, pattern)
+    return sorted(str(status.getPath()) for status in fs.globStatus(where) or [])
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    fs, where, _ = _hadoop(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file, whole."""
+    fs, where, jvm = _hadoop(spark, path)
+    source = fs.open(where)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(source))
+    finally:
+        source.close()
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, where, _ = _hadoop(spark, path)
     fs.mkdirs(where)

@@ -269,5 +269,5 @@ def test_replies_survive_a_store_that_fails(people, kit, monkeypatch):
 
 
 def test_debris_of_a_dead_append_costs_nothing(people, kit, tmp_path):
-    (tmp_path / "store" / "gen=000000" / "part=000000001").mkdir(parents=True)
+    (tmp_path / "store" / "run=000000001-000000001-000000001-0-1").mkdir(parents=True)
     assert [judge_rows(people, row_payload(people), CODER, STRICT, **kit).report["rows_sent"] for _ in range(2)] == [3, 0]

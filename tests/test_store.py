@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -51,7 +52,7 @@ def test_scopes_and_models_are_apart_and_pruned(spark, store):
     assert {k for k, *_ in kept(store)} == {"n"}
 
 
-def test_a_reader_keeps_its_generation(spark, store):
+def test_a_reader_keeps_its_runs(spark, store):
     store.append(answers(spark, ["x"]), 1)
     before = store.latest()
     store.clear()
@@ -60,17 +61,95 @@ def test_a_reader_keeps_its_generation(spark, store):
 
 def test_an_unfinished_append_is_not_read(spark, store, tmp_path):
     store.append(answers(spark, ["x"]), 1)
-    (tmp_path / "store" / "gen=000000" / "part=000000002").mkdir()
+    debris = tmp_path / "store" / "run=000000002-000000002-000000002-0-1"
+    debris.mkdir()
     assert {k for k, *_ in kept(store)} == {"x"}
     assert store.append(answers(spark, ["y"]), 1) == 3  # beside what the dead writer left
     assert {k for k, *_ in kept(store)} == {"x", "y"}
     store.vacuum()
-    assert not (tmp_path / "store" / "gen=000000" / "part=000000002").exists() and {k for k, *_ in kept(store)} == {"x", "y"}
-    (tmp_path / "store" / "gen=000001" / "part=000000001").mkdir(parents=True)  # a compaction that died
+    assert not debris.exists() and {k for k, *_ in kept(store)} == {"x", "y"}
+    (tmp_path / "store" / "run=000000001-000000003-000000004-1-1").mkdir()  # a merge that died
     store.compact()
     assert {k for k, *_ in kept(store)} == {"x", "y"}
 
 
+def hashed(*names):
+    return [hashlib.sha256(n.encode()).hexdigest() for n in names]
+
+
+def found(spark, store, keys):
+    asked = spark.createDataFrame([(k,) for k in [*keys, None]], "entry_key string")
+    return {(r.entry_key, r.answers[0], r.seq, r.age) for r in store.lookup(asked).collect()}
+
+
+def test_a_lookup_reads_what_the_asked_keys_need(spark, store, monkeypatch):
+    monkeypatch.setattr(AnswerStore, "rows_per_file", 10)
+    keys = hashed(*map(str, range(400)))
+    assert found(spark, store, keys[:3]) == set()
+    store.append(answers(spark, keys), 400)
+    store.append(answers(spark, keys[:40], value="b"), 40)
+    few = spark.createDataFrame([(k,) for k in keys[:2] + hashed("nobody")], "entry_key string")
+    every = spark.createDataFrame([(k,) for k in keys], "entry_key string")
+    assert len(store.lookup(few).inputFiles()) < 10 < len(store.lookup(every).inputFiles())
+    plan = store.lookup(few)._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.index("HashAggregate") < plan.index("LeftSemi") if "HashAggregate" in plan else plan.index("Aggregate") < plan.index("LeftSemi")
+    assert found(spark, store, keys[:2] + hashed("nobody")) == {(k, "b", 2, 1) for k in keys[:2]}
+    assert found(spark, store, keys[38:42]) == {(k, "b", 2, 1) for k in keys[38:40]} | {(k, "a", 1, 1) for k in keys[40:42]}
+    assert found(spark, store, hashed("nobody")) == set()
+    assert {(r.entry_key, r.answers[0], r.seq, r.age) for r in store.latest().collect()} == found(spark, store, keys)
+
+
+def test_clearing_reads_no_answers(spark, store, tmp_path):
+    store.append(answers(spark, hashed("x"), scope="101"), 1)
+    store.append(answers(spark, hashed("y"), scope="202"), 1)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    started = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    assert store.clear("202")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == started  # no job at all
+    assert {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")} == before
+    assert found(spark, store, hashed("x", "y")) == {(hashed("x")[0], "a", 1, 1)}
+    store.append(answers(spark, hashed("y"), scope="202", value="again"), 1)
+    assert found(spark, store, hashed("x", "y")) == {(hashed("x")[0], "a", 1, 1), (hashed("y")[0], "again", 3, 3)}
+    store.clear("101")
+    assert store.compact() == 1 and found(spark, store, hashed("x", "y")) == {(hashed("y")[0], "again", 3, 3)}
+    store.vacuum()
+    assert not list((tmp_path / "store").glob("gone=*")) and len(list((tmp_path / "store").glob("run=*"))) == 1
+    store.clear()
+    store.vacuum()
+    assert kept(store) == set() and store.append(answers(spark, hashed("z")), 1) == 4
+
+
+def test_random_changes_equal_a_dictionary(spark, store, monkeypatch):
+    """Appends, clearings, merges, evictions and vacuums in any order, against plain dictionaries."""
+    monkeypatch.setattr(AnswerStore, "merge_runs", 3)
+    rng, keys, model, seq = random.Random(7), hashed(*map(str, range(12))), {}, 0
+    for step in range(40):
+        what = rng.choice(["append"] * 6 + ["clear", "scope", "compact", "evict", "vacuum"])
+        if what == "append":
+            scope, chosen, seq = rng.choice(["a", "b"]), rng.sample(keys, rng.randint(1, 5)), seq + 1
+            chosen = [k for k in chosen if int(k, 16) % 2 == (scope == "a")] or [next(k for k in keys if int(k, 16) % 2 == (scope == "a"))]
+            assert store.append(answers(spark, chosen, scope=scope, value=str(step)), len(chosen)) == seq
+            model |= {k: (str(step), seq, model[k][2] if k in model else seq) for k in chosen}
+        elif what == "clear":
+            store.clear()
+            model = {}
+        elif what == "scope":
+            store.clear("a")
+            model = {k: v for k, v in model.items() if int(k, 16) % 2 == 0}
+        elif what == "evict":
+            model = dict(sorted(model.items(), key=lambda kv: (-kv[1][2], kv[0]))[:3])
+            assert store.compact(3) == len(model)
+        elif what == "compact":
+            assert store.compact() == len(model)
+        else:
+            store.vacuum()
+        want = {(k, *v) for k, v in model.items()}
+        if step % 4 == 0 or what != "append":
+            assert kept(store) == want and found(spark, store, keys) == want, (step, what)
+    assert kept(store) == {(k, *v) for k, v in model.items()}
+    assert len(store.runs()) < 8
+
+
 @pytest.mark.parametrize("limit", [0, 1, 37, 100, 299, 300, 1000])
 def test_eviction_equals_a_sort(spark, limit):
     rng = random.Random(limit)
