@@ -48,7 +48,7 @@ class JudgeConfig:
     max_batch_tokens: int = 24_000
     requests_per_minute: int = 1_000
     # Spark-side sizing: distinct payloads that one packing group holds, and the
-    # batches one dispatch task sends before its replies are committed.
+    # batches a dispatch task sends between two commits of its replies.
     rows_per_shard: int = 2_000
     batches_per_task: int = 500
 

@@ -1,7 +1,7 @@
 """A judge behind a caller-supplied function: request text in, reply text out.
 
-The transport is the caller's. Each worker gets whole batches through Arrow; the replies are
-taken apart by native expressions.
+The transport is the caller's. Each worker gets whole batches through Arrow and commits replies
+as they come; they are taken apart by native expressions.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowjudge.config import JudgeConfig
+from rowjudge.sources.reply_sink import write_replies
 
 # Statuses below 500 that are worth another attempt.
 RETRYABLE = (408, 429, 529)
@@ -28,10 +29,16 @@ _CALL_FIELDS = (
     .add("api_ms", "double")
 )
 
+_CALL_TYPES = (pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.float64())
+
 _REPLY = ("answers map<string,string>, "
           "usage struct<input_tokens: bigint, output_tokens: bigint>")
 
 
+def _called(batches: DataFrame) -> T.StructType:
+    return T.StructType([*batches.schema.fields, *_CALL_FIELDS.fields])
+
+
 class JudgeError(Exception):
     """A refused or failed request. Without a status it is a transport failure, which may be
     tried again."""
@@ -64,7 +71,8 @@ class CallableJudge:
         if self.ready is not None:
             self.ready()
 
-    def _sender(self, timeout: float):
+    def _caller(self, timeout: float) -> Callable[[pa.Table], pa.Table]:
+        """Rows with a ``request`` to the same rows with what came of it."""
         call = self.call
 
         def one(request: str) -> tuple:
@@ -79,28 +87,46 @@ class CallableJudge:
                 reply = (None, None, f"{type(error).__name__}: {error}", False)
             return (*reply, (time.perf_counter() - began) * 1000)
 
-        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            types = (pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.float64())
-            for batch in batches:
-                replies = [one(request) for request in batch.column("request").to_pylist()]
-                new = [pa.array([r[i] for r in replies], t) for i, t in enumerate(types)]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, *new], names=[*batch.schema.names, *_CALL_FIELDS.names])
+        def send(rows: pa.Table) -> pa.Table:
+            replies = [one(request) for request in rows.column("request").to_pylist()]
+            for name in ("payloads", "request"):  # needed again only for another attempt
+                at, old = rows.schema.get_field_index(name), rows.column(name)
+                kept = [None if r[2] is None else old[i].as_py() for i, r in enumerate(replies)]
+                rows = rows.set_column(at, name, pa.array(kept, old.type))
+            for i, (name, kind) in enumerate(zip(_CALL_FIELDS.names, _CALL_TYPES)):
+                rows = rows.append_column(name, pa.array([r[i] for r in replies], kind))
+            return rows
 
         return send
 
     def reply(self, batches: DataFrame, cfg: JudgeConfig = JudgeConfig()) -> DataFrame:
-        schema = T.StructType([*batches.schema.fields, *_CALL_FIELDS.fields])
-        called = batches.mapInArrow(self._sender(cfg.timeout_seconds), schema).withColumn("_reply", F.from_json("response", _REPLY))
-        found = F.col("_reply.answers")
-        answers = F.transform("payloads", lambda _, i: F.transform(
-            "questions",
-            lambda q: F.try_element_at(found, F.concat(F.lit("item_"), (i + 1).cast("string"), F.lit("_"), q["name"])),
-        ))
-        expected = F.size("payloads") * F.size("questions")
+        """The replies as a transformation: for folders that only Spark's writers reach. A lost task sends its batches again."""
+        send = self._caller(cfg.timeout_seconds)
+
+        def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in found:
+                yield from send(pa.Table.from_batches([batch])).to_batches()
+
+        return self._parsed(batches.mapInArrow(run, _called(batches)), batches.columns)
+
+    def send(self, batches: DataFrame, cfg: JudgeConfig, folder: str) -> None:
+        """Sends the batches in one job, by at most ``concurrency`` tasks, each committing every ``batches_per_task`` batches."""
+        dealt = batches.repartition(cfg.concurrency, "batch_id").sortWithinPartitions("batch_id")
+        write_replies(dealt, self._caller(cfg.timeout_seconds), folder, cfg.batches_per_task)
+
+    def sent(self, batches: DataFrame, folder: str) -> DataFrame:
+        """The replies in a folder of ``send``, those of a job that failed among them."""
+        return self._parsed(batches.sparkSession.read.schema(_called(batches)).parquet(folder), batches.columns)
+
+    @staticmethod
+    def _parsed(called: DataFrame, columns: list[str]) -> DataFrame:
+        called = called.withColumn("_reply", F.from_json("response", _REPLY))
+        found, items = F.col("_reply.answers"), F.sequence(F.lit(1), F.col("n_items"))
+        key = lambda item, q: F.concat(F.lit("item_"), item.cast("string"), F.lit("_"), q["name"])
+        answers = F.transform(items, lambda item: F.transform("questions", lambda q: F.try_element_at(found, key(item, q))))
+        expected = F.col("n_items") * F.size("questions")
         # an answer of null is an answer: what counts is that its key is there
-        given = F.transform("payloads", lambda _, i: F.size(F.filter("questions", lambda q: F.map_contains_key(
-            found, F.concat(F.lit("item_"), (i + 1).cast("string"), F.lit("_"), q["name"])))))
+        given = F.transform(items, lambda item: F.size(F.filter("questions", lambda q: F.map_contains_key(found, key(item, q)))))
         answered = F.aggregate(given, F.lit(0), lambda total, n: total + n)
         error = (F.when(F.col("call_error").isNotNull(), F.col("call_error"))
                  .when(found.isNull(), F.lit("the reply holds no answers object"))
@@ -113,5 +139,5 @@ class CallableJudge:
                 .withColumn("retryable", F.col("call_retryable"))
                 .withColumn("input_tokens", F.coalesce("_reply.usage.input_tokens", zero))
                 .withColumn("output_tokens", F.coalesce("_reply.usage.output_tokens", zero))
-                .select(*batches.columns, "answers", "status", "error", "retryable", "input_tokens",
+                .select(*columns, "answers", "status", "error", "retryable", "input_tokens",
                         "output_tokens", "api_ms"))

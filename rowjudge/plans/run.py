@@ -3,9 +3,9 @@
     rows -> payload -> distinct requests -> known / unknown -> caps -> batches
          -> judge -> replies -> store and ledger -> answers joined back to the rows
 
-The distinct requests and the replies are written tables, so an executor that is lost never
-makes a judge answer twice for work that was committed, and the result that is handed back
-reads answers, it does not call for them. Input rows are read twice (once for the distinct
+The distinct requests and the replies are written tables, and replies are committed as they
+come, so an executor that is lost makes a judge answer twice for the last few batches at most,
+and the result that is handed back reads answers, it does not call for them. Input rows are read twice (once for the distinct
 payloads, once for the result), each time with just the columns it needs.
 """
 
@@ -34,6 +34,7 @@ from rowjudge.questions import QuestionSet
 from rowjudge.sources import files
 from rowjudge.sources.answer_store import AnswerStore
 from rowjudge.sources.ledger import RUNS, Ledger, columns as columns_of
+from rowjudge.sources.reply_sink import supported
 
 ANSWERS = "answers"
 ROW_KEY = "_rowjudge_key"
@@ -154,16 +155,29 @@ class _Run:
             request_column(model, F.col("qset"), payloads).alias("request"),
         )
 
-    def waves(self, rows: int) -> int:
-        batches = -(-rows // self.cfg.batch_size)
-        return max(1, -(-batches // (self.cfg.concurrency * self.cfg.batches_per_task)))
-
     # -- sending -------------------------------------------------------------------------
 
     def send(self, batches: DataFrame, name: str, attempt: int) -> list[Row]:
-        """Judge the batches, commit the replies, then the paid answers and the ledger rows.
-        Returns the tally of the replies: one row per status and retryability."""
-        replies = self.judge.reply(batches, self.cfg).withColumn("attempt", F.lit(attempt))
+        """Judge the batches in one job, then the ledger rows. Returns the tally of the replies: one row per status and
+        retryability. Where tasks reach the scratch folder they commit replies as they come, and those of a job that fails
+        count too."""
+        if not hasattr(self.judge, "send"):
+            return self.settle(self.judge.reply(batches, self.cfg), name, attempt)
+        folder = f"{self.work}/calls/{name}"
+        if not supported(folder):
+            parts = max(self.cfg.concurrency, -(-batches.count() // self.cfg.batches_per_task))
+            return self.settle(self.judge.reply(batches.repartition(parts, "batch_id"), self.cfg), name, attempt)
+        try:
+            self.judge.send(batches, self.cfg, folder)
+        except Exception:
+            if files.exists(self.spark, folder):
+                self.settle(self.judge.sent(batches, folder), name, attempt)
+            raise
+        return self.settle(self.judge.sent(batches, folder), name, attempt)
+
+    def settle(self, replies: DataFrame, name: str, attempt: int) -> list[Row]:
+        """Writes the replies and their ledger rows, and tallies them."""
+        replies = replies.withColumn("attempt", F.lit(attempt))
         for column in ("payloads", "questions", "request"):  # needed again only after a failure
             replies = replies.withColumn(column, F.when(F.col("status") != "ok", F.col(column)))
         replies = self.write(replies, f"replies/{name}")
@@ -172,39 +186,31 @@ class _Run:
             F.count(F.lit(1)).alias("requests"), F.sum("n_items").alias("rows"),
             F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens")).collect()
         self.tallies += tally
-        paid = sum(t["rows"] for t in tally if t["status"] == "ok")
-        try:  # what is paid for is kept first
-            if self.store is not None and paid:
-                self.store.append(_answers(replies), paid)
-            if self.ledger is not None:
-                self.ledger.append("batches", replies, f"{self.run_id}-{name}")
+        if self.ledger is not None:
+            self.ledger.append("batches", replies, f"{self.run_id}-{name}")
+        return tally
+
+    def keep_paid(self) -> None:
+        """What is paid for goes to the store, in one append however many passes there were."""
+        if self.store is None or not self.answered:
+            return
+        try:
+            self.store.append(_answers(self.replies()), self.answered)
         except Exception as error:
             error.add_note(f"the replies are in {self.work}/replies; import_replies() puts them into a store")
             raise
-        return tally
 
     def dispatch(self, misses: DataFrame, rows: int, size: int, name: str) -> int:
-        """All batches of one packing, in waves that bound what a lost task can send again, and
-        further attempts for the failures that are worth one. Returns the rows left without an
-        answer."""
+        """All batches of one packing, and further attempts for the failures that are worth one. Returns the rows left without
+        an answer."""
         before = self.answered
         batches = self.batches(misses, rows, size)
-        if isinstance(self.judge, RuleJudge):
-            self.send(batches, name, 1)
-            return rows - (self.answered - before)
-        waves = self.waves(rows)
-        if waves > 1:
-            wave = F.pmod(F.xxhash64("batch_id"), F.lit(waves)).cast("int")
-            batches = self.write(batches.withColumn("wave", wave), f"batches/{name}", "wave")
-        for number in range(waves):
-            one = batches.where(F.col("wave") == number).drop("wave") if waves > 1 else batches
-            tally = self.send(one.repartition(self.cfg.concurrency, "batch_id"), f"{name}-{number}", 1)
-            for attempt in range(2, self.cfg.max_retries + 1):
-                if not any(t["status"] != "ok" and t["retryable"] for t in tally):
-                    break
-                again = self.reply(-1).where((F.col("status") != "ok") & F.col("retryable")).select(*one.columns)
-                tally = self.send(again.repartition(self.cfg.concurrency, "batch_id"),
-                                  f"{name}-{number}-again{attempt}", attempt)
+        tally = self.send(batches, f"{name}-0", 1)
+        for attempt in range(2, self.cfg.max_retries + 1):
+            if not any(t["status"] != "ok" and t["retryable"] for t in tally):
+                break
+            again = self.reply(-1).where((F.col("status") != "ok") & F.col("retryable")).select(*batches.columns)
+            tally = self.send(again, f"{name}-again{attempt}", attempt)
         return rows - (self.answered - before)
 
     @property
@@ -305,9 +311,12 @@ def judge_rows(
         check_caps(cfg, rows, size)
         if store is not None:
             store.check_writable()
-        dead = run.dispatch(todo, rows, size, "first")
-        if dead and resend_failed:
-            reclaimed, dead = _send_in_halves(run, todo, dead, size)
+        try:
+            dead = run.dispatch(todo, rows, size, "first")
+            if dead and resend_failed:
+                reclaimed, dead = _send_in_halves(run, todo, dead, size)
+        finally:
+            run.keep_paid()
     if once:
         n = {fate: fates[fate]["n_rows"] if fate in fates else 0 for fate in ("null", "hit", "miss")}
         counted = {"query_id": "0", "rows_in": sum(n.values()), "rows_null": n["null"], "cache_hits": n["hit"],

@@ -1,5 +1,8 @@
 import json
+import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from rowjudge.plans.run import JudgingFailed, import_replies, judge_queries, jud
 from rowjudge.questions import PROMPT_INTENT, QuestionError, make_question, parse_questions, single
 from rowjudge.sources.answer_store import AnswerStore
 from rowjudge.sources.ledger import Ledger
+from rowjudge.sources.reply_sink import ReplyWriter, supported
 from tests.fake_judge import strict
 
 STRICT = CallableJudge(strict)
@@ -216,7 +220,7 @@ def test_counters_add_up(spark, kit):
     assert report["rows_in"] == 100 == sum(parts) and report["rows_null"] == 10 and report["rows_sent"] == 4
 
 
-def test_waves_bound_what_a_task_sends(prompts):
+def test_small_chunks(prompts):
     cfg = JudgeConfig(batch_size=2, concurrency=2, batches_per_task=2)
     run = judge_rows(prompts, value_payload(prompts, "user_prompt"), PROMPT_INTENT, STRICT, cfg=cfg)
     assert counts(run, "requests", "rows_sent") == (15, 30) and run.rows.where("answers IS NULL").count() == 0
@@ -271,3 +275,59 @@ def test_replies_survive_a_store_that_fails(people, kit, monkeypatch):
 def test_debris_of_a_dead_append_costs_nothing(people, kit, tmp_path):
     (tmp_path / "store" / "run=000000001-000000001-000000001-0-1").mkdir(parents=True)
     assert [judge_rows(people, row_payload(people), CODER, STRICT, **kit).report["rows_sent"] for _ in range(2)] == [3, 0]
+
+
+def batch_rows(n):
+    return [pa.RecordBatch.from_pydict({"batch_id": [f"b{i}" for i in range(n)], "request": [str(i) for i in range(n)]})]
+
+
+def test_a_task_tried_again_sends_only_what_was_not_committed(tmp_path):
+    sent = []
+
+    def call(rows):
+        if "7" in rows.column("request").to_pylist() and len(sent) < 12:
+            sent.append("lost")
+            raise RuntimeError("the executor is gone")
+        sent.extend(rows.column("request").to_pylist())
+        return rows
+
+    writer = ReplyWriter(call, str(tmp_path / "calls"), 3)
+    for _ in range(6):
+        with pytest.raises(RuntimeError):
+            writer.write(iter(batch_rows(10)))
+    halves = [batch_rows(10)[0].slice(0, 5), batch_rows(10)[0].slice(5)]  # batches may be cut elsewhere the next time
+    assert writer.write(iter(halves)).chunks == 4
+    assert [s for s in sent if s != "lost"] == [str(i) for i in range(10)]
+    writer.commit([])
+    found = pq.read_table(str(tmp_path / "calls")).column("batch_id").to_pylist()
+    assert sorted(found) == sorted(f"b{i}" for i in range(10))
+
+
+def test_a_worker_that_dies_costs_its_last_chunk_only(spark, kit, tmp_path):
+    log, deadly = tmp_path / "sent", tmp_path / "deadly"
+    deadly.touch()
+
+    def dies(request, timeout):
+        if deadly.exists() and log.exists() and len(log.read_text().splitlines()) >= 25:
+            os._exit(1)
+        with log.open("a") as out:
+            out.write("one\n")
+        return strict(request, timeout)
+
+    df = spark.range(60).select("id", F.concat(F.lit("row "), "id").alias("t"))
+    cfg = JudgeConfig(batch_size=1, concurrency=1, batches_per_task=10)
+    with pytest.raises(Exception, match="(?i)worker|crash|exit"):
+        judge_rows(df, value_payload(df, "t"), POETRY, CallableJudge(dies), cfg=cfg, **kit)
+    deadly.unlink()
+    assert kit["store"].latest().count() == 20
+    run = judge_rows(df, value_payload(df, "t"), POETRY, CallableJudge(dies), cfg=cfg, **kit)
+    assert counts(run, "cache_hits", "rows_sent") == (20, 40) and run.rows.where("answers IS NULL").count() == 0
+    assert len(log.read_text().splitlines()) == 25 + 40
+    assert len(kit["store"].runs()) == 2  # one append per run
+
+
+def test_folders_that_only_spark_reaches(people, kit, monkeypatch):
+    monkeypatch.setattr("rowjudge.plans.run.supported", lambda folder: False)
+    run = judge_rows(people, row_payload(people), CODER, STRICT, **kit)
+    assert noul(run) == [0.9, 0.1, 0.1] and counts(run, "requests", "rows_sent") == (1, 3)
+    assert not supported("viewfs://store/x") and supported("/tmp/x") and supported("file:///tmp/x")
