@@ -158,7 +158,7 @@ class _Run:
     # -- sending -------------------------------------------------------------------------
 
     def send(self, batches: DataFrame, name: str, attempt: int) -> list[Row]:
-        """Judge the batches in one job, then the ledger rows. Returns the tally of the replies: one row per status and
+        """Judge the batches in one job. Returns the tally of the replies: one row per status and
         retryability. Where tasks reach the scratch folder they commit replies as they come, and those of a job that fails
         count too."""
         if not hasattr(self.judge, "send"):
@@ -176,7 +176,7 @@ class _Run:
         return self.settle(self.judge.sent(batches, folder), name, attempt)
 
     def settle(self, replies: DataFrame, name: str, attempt: int) -> list[Row]:
-        """Writes the replies and their ledger rows, and tallies them."""
+        """Writes the replies and tallies them."""
         replies = replies.withColumn("attempt", F.lit(attempt))
         for column in ("payloads", "questions", "request"):  # needed again only after a failure
             replies = replies.withColumn(column, F.when(F.col("status") != "ok", F.col(column)))
@@ -186,16 +186,18 @@ class _Run:
             F.count(F.lit(1)).alias("requests"), F.sum("n_items").alias("rows"),
             F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens")).collect()
         self.tallies += tally
-        if self.ledger is not None:
-            self.ledger.append("batches", replies, f"{self.run_id}-{name}")
         return tally
 
     def keep_paid(self) -> None:
-        """What is paid for goes to the store, in one append however many passes there were."""
-        if self.store is None or not self.answered:
+        """What is paid for goes to the store, then to the ledger, in one append each however many passes there were."""
+        if not self.passes:
             return
+        replies = self.replies()
         try:
-            self.store.append(_answers(self.replies()), self.answered)
+            if self.store is not None and self.answered:
+                self.store.append(_answers(replies), self.answered)
+            if self.ledger is not None:
+                self.ledger.append("batches", replies, self.run_id)
         except Exception as error:
             error.add_note(f"the replies are in {self.work}/replies; import_replies() puts them into a store")
             raise
@@ -239,16 +241,22 @@ def _reports(run: _Run, requests: DataFrame, scope: str | None, reclaimed: int)
         F.sum("n_rows").alias("rows_in"),
         F.sum(F.when(F.col("fate") == "null", F.col("n_rows")).otherwise(0)).alias("rows_null"),
         F.sum(F.when(F.col("fate") == "hit", F.col("n_rows")).otherwise(0)).alias("cache_hits"))
-    counted = seen.join(sent, "query_id", "left").na.fill(0)
+    counted = seen.join(sent, "query_id", "left")
+    if reclaimed:  # rows sent again are those of the query that sent them first
+        again = run.spark.read.parquet(f"{run.work}/left-0").select("entry_key")
+        owners = miss.groupBy("entry_key").agg(F.min("query_id").alias("query_id"))
+        counted = counted.join(again.join(owners, "entry_key").groupBy("query_id").agg(F.count(F.lit(1)).alias("reclaimed")), "query_id", "left")
+    else:
+        counted = counted.withColumn("reclaimed", F.lit(0).cast("bigint"))
     # one row per query of the run, however large the tables are
-    return [_report(run, scope, row.asDict(), reclaimed) for row in counted.orderBy("query_id").collect()]
+    return [_report(run, scope, row.asDict()) for row in counted.na.fill(0).orderBy("query_id").collect()]
 
 
-def _report(run: _Run, scope: str | None, counted: dict, reclaimed: int) -> dict:
+def _report(run: _Run, scope: str | None, counted: dict) -> dict:
     """Requests are the answered ones; every failed attempt counts as a retry."""
     total = {name: sum(t[name] for t in run.tallies) for name in ("input_tokens", "output_tokens")}
     return {
-        "run_id": run.run_id, "scope": scope, "model": run.cfg.model, **counted, "reclaimed": reclaimed,
+        "run_id": run.run_id, "scope": scope, "model": run.cfg.model, **counted,
         "requests": sum(t["requests"] for t in run.tallies if t["status"] == "ok"),
         "retries": sum(t["requests"] for t in run.tallies if t["status"] != "ok"), **total,
         "estimated_cost_usd": total["input_tokens"] * USD_PER_MILLION_TOKENS / 1e6,
@@ -320,8 +328,8 @@ def judge_rows(
     if once:
         n = {fate: fates[fate]["n_rows"] if fate in fates else 0 for fate in ("null", "hit", "miss")}
         counted = {"query_id": "0", "rows_in": sum(n.values()), "rows_null": n["null"], "cache_hits": n["hit"],
-                   "rows_sent": rows, "shared_in_flight": 0, "rows_deduped": n["miss"] - rows}
-        reports = [_report(run, fixed_scope, counted, reclaimed)]
+                   "rows_sent": rows, "shared_in_flight": 0, "rows_deduped": n["miss"] - rows, "reclaimed": reclaimed}
+        reports = [_report(run, fixed_scope, counted)]
     else:
         reports = _reports(run, requests, fixed_scope, reclaimed)
     _keep_books(run, reports)

@@ -10,65 +10,56 @@ from pyspark.sql import functions as F
 
 from rowjudge.functions import answers as A
 from rowjudge.functions.judging import with_prompt_intent
-from rowjudge.functions.payload import estimate_tokens, row_payload, value_payload
+from rowjudge.functions.payload import row_payload, value_payload
 from rowjudge.judges.callable import CallableJudge, JudgeError
-from rowjudge.operators.dedupe import distinct_requests, with_entry_key
-from rowjudge.operators.packing import pack
-from rowjudge.operators.question_sets import literal_set
-from rowjudge.operators.requests import request_body, request_column
+from rowjudge.operators.dedupe import with_entry_key
+from rowjudge.operators.requests import request_body
 from rowjudge.plans import accounting
 from rowjudge.plans.run import judge_rows
-from rowjudge.queries.judging import ON_AT, ON_ERROR, TEXT_PAYLOAD, documents, prompts
+from rowjudge.queries.judging import ON_AT, TEXT_PAYLOAD, documents, prompts
 from rowjudge.queries.registry import PROMPT_SQL, intent_sql, noul_sql, payload_sql, query
-from rowjudge.queries.requests import CFG, FIXED, ROW, key_sql
+from rowjudge.queries.requests import CFG, key_sql
 from rowjudge.questions import ITEM_SLOT, PROMPT_INTENT
 from rowjudge.sources import files
 from rowjudge.sources.answer_store import AnswerStore
 from rowjudge.sources.ledger import Ledger
 from rowjudge.sources.tables import table
 
-# -- the books: one run a week over the prompts of ``events`` --------------------------------
-
-FIRST_DAY = "2024-01-01"
-
-
-def weekly_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """(run, scope, prompt) requests; a prompt that an earlier run of the same customer has sent
-    is a hit. After deduplication a key's window holds one row per run."""
-    rows = prompts(spark, sf)
-    run = F.floor(F.date_diff(F.col("ts").cast("date"), F.lit(FIRST_DAY).cast("date")) / 7).cast("bigint")
-    asked = rows.select(run.alias("run"), F.col("user_id").cast("string").alias("scope"),
-                        value_payload(rows, "user_prompt").alias("payload"))
-    requests = with_entry_key(distinct_requests(asked, ["run", "scope", "payload"]), CFG.model,
-                              F.lit(PROMPT_INTENT.set_key))
-    first = F.min("run").over(Window.partitionBy("entry_key"))
-    return requests.withColumn("fate", F.when(F.col("run") == first, "miss").otherwise("hit"))
-
-
-def weekly_runs(requests: DataFrame) -> DataFrame:
-    miss, n = F.col("fate") == "miss", F.col("n_rows")
-    zero = F.lit(0).cast("bigint")
-    return requests.groupBy(F.col("run").alias("seq")).agg(
-        F.sum("n_rows").alias("rows_in"), F.sum(F.when(miss, n - 1).otherwise(0)).alias("rows_deduped"),
-        F.sum(F.when(miss, 0).otherwise(n)).alias("cache_hits"), F.count_if(miss).alias("rows_sent"),
-    ).select(F.concat(F.lit("week "), "seq").alias("run_id"), F.lit("weekly").alias("session_id"), "seq", "rows_in",
-             zero.alias("rows_null"), "rows_deduped", "cache_hits", zero.alias("shared_in_flight"), "rows_sent",
-             zero.alias("reclaimed"))
-
-
-def weekly_batches(requests: DataFrame) -> DataFrame:
-    """The batches of every run, judged: the batch ledger."""
-    misses = requests.where(F.col("fate") == "miss").select(
-        "run", "scope", F.lit(PROMPT_INTENT.set_key).alias("set_key"), "entry_key", "payload",
-        estimate_tokens("payload").alias("tokens"))
-    packed = pack(misses, CFG, group=["run", "scope", "set_key"], fixed=FIXED, row=ROW)
-    payloads = F.transform("items", lambda item: item["payload"])
-    qset = literal_set(PROMPT_INTENT, CFG.model)
-    batches = packed.select(
-        F.concat(F.lit("week "), "run").alias("run_id"), "scope", F.lit(CFG.model).alias("model"),
-        F.size("items").alias("n_items"), payloads.alias("payloads"), qset["questions"].alias("questions"),
-        request_column(F.lit(CFG.model), qset, payloads).alias("request"))
-    return ON_ERROR.reply(batches).drop("payloads", "questions", "request")
+# -- the books: three runs over the prompts of ``events`` -------------------------------------
+
+FIRST_DAY, DAYS = "2024-01-01", 10
+HIDDEN, HEAVY = "purchase", '{"k": 7}'
+BOOKS = CFG.with_(concurrency=4, batch_size=4)
+_BOOKS: dict[tuple[str, str], str] = {}
+
+
+def picky_reply(request: str, timeout: float) -> str:
+    """The rules as a batch function that takes prompts with HEAVY alone only."""
+    items = json.loads(request)["state"]["items"]
+    if len(items) > 1 and any(text.endswith(HEAVY) for text in items.values()):
+        raise JudgeError("one of several is too heavy", 413)
+    return answer_all(request, timeout)
+
+
+def books(spark: SparkSession, sf: str) -> tuple[AnswerStore, Ledger]:
+    """What three runs wrote, one for every ten days of prompts: each customer is a scope, mornings and afternoons are two queries
+    that share a run, suppressed prompts are NULL, and the judge refuses some batches until they are small enough. A session
+    runs them once for a table."""
+    known = (spark.sparkContext.applicationId, sf)
+    folder = _BOOKS.get(known)
+    if folder is None or not files.exists(spark, f"{folder}/ledger"):
+        folder = f"{files.scratch_dir(spark)}/books-{uuid.uuid4().hex}"
+        store, ledger = AnswerStore(spark, f"{folder}/store"), Ledger(spark, f"{folder}/ledger")
+        rows = prompts(spark, sf)
+        shown = F.when(~F.col("user_prompt").startswith(f"please {HIDDEN} "), F.col("user_prompt"))
+        rows = rows.withColumn("user_prompt", shown).withColumn(
+            "run", F.floor(F.date_diff(F.col("ts").cast("date"), F.lit(FIRST_DAY).cast("date")) / DAYS))
+        for number in range(3):
+            one = rows.where(F.col("run") == number)
+            judge_rows(one, value_payload(one, "user_prompt"), PROMPT_INTENT, CallableJudge(picky_reply), cfg=BOOKS, store=store,
+                       ledger=ledger, scope=F.col("user_id"), query_id=F.when(F.hour("ts") < 12, "am").otherwise("pm"))
+        _BOOKS[known] = folder
+    return AnswerStore(spark, f"{folder}/store"), Ledger(spark, f"{folder}/ledger")
 
 
 # Length of a request: a fixed part, and per item its payload, number, templates and commas.
@@ -78,78 +69,162 @@ _DIGITS = 1 + _TEMPLATES.count(ITEM_SLOT)
 _ITEM = len('"":') + len(_TEMPLATES) - _TEMPLATES.count(ITEM_SLOT)
 _COMMAS = 1 + len(PROMPT_INTENT.questions)
 
-_WEEKS_SQL = f"""
-  e AS (SELECT CAST(floor((CAST(ts AS DATE) - DATE '{FIRST_DAY}') / 7) AS BIGINT) AS run, CAST(user_id AS VARCHAR) AS scope,
-          {payload_sql(PROMPT_SQL)} AS payload FROM events),
-  r AS (SELECT run, scope, payload, count(*) AS n, {key_sql("scope", "payload")} AS entry_key FROM e GROUP BY ALL),
-  w AS (SELECT *, run = min(run) OVER (PARTITION BY entry_key) AS miss FROM r),
-  runs AS (SELECT run, CAST(sum(n) AS BIGINT) AS rows_in,
-          CAST(sum(CASE WHEN miss THEN n - 1 ELSE 0 END) AS BIGINT) AS rows_deduped,
-          CAST(sum(CASE WHEN miss THEN 0 ELSE n END) AS BIGINT) AS cache_hits, count(*) FILTER (miss) AS rows_sent
-          FROM w GROUP BY run),
-  o AS (SELECT *, (row_number() OVER (PARTITION BY run, scope ORDER BY entry_key) - 1) AS pos FROM w WHERE miss),
-  b AS (SELECT run, scope, pos // 25 AS batch_no, count(*) AS n_items,
-          CAST(({_EMPTY} - 2 + sum({_ITEM} + {_COMMAS} + {_DIGITS} * length(CAST(pos % 25 + 1 AS VARCHAR)) + length(payload)))
-            // 4 AS BIGINT) AS input_tokens FROM o GROUP BY run, scope, pos // 25),
-  t AS (SELECT run, count(*) AS requests, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
-          CAST(sum(2 * n_items) AS BIGINT) AS output_tokens FROM b GROUP BY run)"""
+
+def _level_sql(level: int, size: int) -> str:
+    """One packing of what is left: batches of ``size``, refused or not, and what that leaves."""
+    return f"""
+  p{level} AS (SELECT *, (row_number() OVER (PARTITION BY run, scope ORDER BY entry_key) - 1) AS pos FROM m{level}),
+  b{level} AS (SELECT run, scope, pos // {size} AS no, count(*) AS n_items, bool_or(heavy) AND count(*) > 1 AS refused,
+      ({_EMPTY} - 2 + sum({_ITEM} + {_COMMAS} + {_DIGITS} * length(CAST(pos % {size} + 1 AS VARCHAR)) + length(payload))) // 4 AS tokens
+    FROM p{level} GROUP BY run, scope, pos // {size}),
+  m{level + 1} AS (SELECT p.run, p.scope, p.q, p.entry_key, p.payload, p.heavy FROM p{level} p
+    JOIN b{level} b ON p.run = b.run AND p.scope = b.scope AND p.pos // {size} = b.no WHERE refused)"""
+
+
+_SIZES = (4, 2, 1)
+_BOOKS_SQL = f"""
+  e AS (SELECT CAST((CAST(ts AS DATE) - DATE '{FIRST_DAY}') // {DAYS} + 1 AS BIGINT) AS run, CAST(user_id AS VARCHAR) AS scope,
+      CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS q, props = '{HEAVY}' AS heavy,
+      CASE WHEN event_type <> '{HIDDEN}' THEN {payload_sql(PROMPT_SQL)} END AS payload FROM events),
+  r AS (SELECT run, q, scope, payload, bool_or(heavy) AS heavy, count(*) AS n,
+      CASE WHEN payload IS NOT NULL THEN {key_sql("scope", "payload")} END AS entry_key FROM e GROUP BY run, q, scope, payload),
+  w AS (SELECT *, CASE WHEN payload IS NULL THEN 'null' WHEN run > min(run) OVER (PARTITION BY entry_key) THEN 'hit' ELSE 'miss' END AS fate,
+      q = min(q) OVER (PARTITION BY run, entry_key) AS owner FROM r),
+  m0 AS (SELECT run, scope, q, entry_key, payload, heavy FROM w WHERE fate = 'miss' AND owner),
+  {",".join(_level_sql(level, size) for level, size in enumerate(_SIZES))},
+  b AS ({" UNION ALL ".join(f"SELECT * FROM b{level}" for level in range(len(_SIZES)))}),
+  c AS (SELECT run, count(*) FILTER (payload IS NOT NULL) AS keys, CAST(sum(n) AS BIGINT) AS rows_in,
+      CAST(coalesce(sum(n) FILTER (fate = 'null'), 0) AS BIGINT) AS rows_null,
+      CAST(coalesce(sum(n - 1) FILTER (fate = 'miss'), 0) AS BIGINT) AS rows_deduped,
+      CAST(coalesce(sum(n) FILTER (fate = 'hit'), 0) AS BIGINT) AS cache_hits,
+      count(*) FILTER (fate = 'miss' AND NOT owner) AS shared_in_flight, count(*) FILTER (fate = 'miss' AND owner) AS rows_sent
+    FROM w GROUP BY run),
+  g AS (SELECT run, count(*) AS reclaimed FROM m1 GROUP BY run),
+  t AS (SELECT run, count(*) FILTER (NOT refused) AS requests, count(*) FILTER (refused) AS retries,
+      CAST(coalesce(sum(tokens) FILTER (NOT refused), 0) AS BIGINT) AS input_tokens,
+      CAST(coalesce(sum(2 * n_items) FILTER (NOT refused), 0) AS BIGINT) AS output_tokens FROM b GROUP BY run),
+  runs AS (SELECT c.*, coalesce(reclaimed, 0) AS reclaimed, requests, retries, input_tokens, output_tokens,
+      input_tokens * 0.042::DOUBLE / 1000000.0::DOUBLE AS estimated_cost_usd FROM c JOIN t USING (run) LEFT JOIN g USING (run))"""
+_REPORT = ("seq", *accounting.ROW_COUNTERS, *accounting.SPEND_COUNTERS, "estimated_cost_usd")
 
 
 @query(f"""
-WITH {_WEEKS_SQL}
-SELECT concat('week ', run) AS run_id, 'weekly' AS session_id, run AS seq, rows_in, 0::BIGINT AS rows_null, rows_deduped,
-  cache_hits, 0::BIGINT AS shared_in_flight, rows_sent, 0::BIGINT AS reclaimed, requests, 0::BIGINT AS retries,
-  input_tokens, output_tokens, input_tokens * 0.042::DOUBLE / 1000000.0::DOUBLE AS estimated_cost_usd
-FROM runs JOIN t USING (run)""")
+WITH {_BOOKS_SQL}
+SELECT run AS seq, rows_in, rows_null, rows_deduped, cache_hits, shared_in_flight, rows_sent, reclaimed, requests, retries, input_tokens,
+  output_tokens, estimated_cost_usd FROM runs""")
 def run_report(spark: SparkSession, sf: str) -> DataFrame:
-    requests = weekly_requests(spark, sf)
-    return accounting.run_report(weekly_runs(requests), weekly_batches(requests))
+    _, ledger = books(spark, sf)
+    return accounting.run_report(ledger.runs(), ledger.batches()).select(*_REPORT)
 
 
 @query(f"""
-WITH {_WEEKS_SQL}
-SELECT run AS seq, rows_in, cache_hits, rows_sent, requests, input_tokens FROM runs JOIN t USING (run)
-WHERE run = (SELECT max(run) FROM runs)""")
+WITH {_BOOKS_SQL}
+SELECT run AS seq, rows_in, rows_null, rows_deduped, cache_hits, shared_in_flight, rows_sent, reclaimed, requests, retries, input_tokens,
+  output_tokens, estimated_cost_usd FROM runs WHERE run = (SELECT max(run) FROM runs)""")
 def last_run_report(spark: SparkSession, sf: str) -> DataFrame:
-    requests = weekly_requests(spark, sf)
-    last = accounting.last_report(weekly_runs(requests), weekly_batches(requests), "weekly")
-    return last.select("seq", "rows_in", "cache_hits", "rows_sent", "requests", "input_tokens")
+    _, ledger = books(spark, sf)
+    return accounting.last_report(ledger.runs(), ledger.batches(), spark.sparkContext.applicationId).select(*_REPORT)
 
 
 @query(f"""
-WITH {_WEEKS_SQL}
-SELECT CAST(sum(cache_hits) AS BIGINT) AS cache_hits, 0::BIGINT AS shared_in_flight, 0::BIGINT AS reclaimed,
-  CAST(sum(requests) AS BIGINT) AS requests, 0::BIGINT AS retries, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
-  CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
-  CAST(sum(input_tokens) AS BIGINT) * 0.042::DOUBLE / 1000000.0::DOUBLE AS estimated_cost_usd,
-  CAST(sum(rows_sent) AS BIGINT) AS rows_evaluated, 0.0::DOUBLE AS api_ms, 0::BIGINT AS errors,
-  (SELECT count(DISTINCT entry_key) FROM w) AS cached_answers
-FROM runs JOIN t USING (run)""")
+WITH {_BOOKS_SQL}
+SELECT {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("cache_hits", "shared_in_flight", "reclaimed", *accounting.SPEND_COUNTERS))},
+  CAST(sum(input_tokens) AS BIGINT) * 0.042::DOUBLE / 1000000.0::DOUBLE AS estimated_cost_usd, CAST(sum(rows_sent) AS BIGINT) AS rows_evaluated,
+  true AS api_timed, CAST(sum(retries) AS BIGINT) AS errors, (SELECT count(DISTINCT entry_key) FROM w) AS cached_answers FROM runs""")
 def engine_stats(spark: SparkSession, sf: str) -> DataFrame:
-    requests = weekly_requests(spark, sf)
-    answers = requests.where(F.col("fate") == "miss").select("entry_key")
-    return accounting.engine_stats(weekly_runs(requests), weekly_batches(requests), answers)
+    store, ledger = books(spark, sf)
+    stats = accounting.engine_stats(ledger.runs(), ledger.batches(), store.latest())
+    return stats.withColumn("api_timed", F.col("api_ms") > 0).drop("api_ms")
 
 
 @query(f"""
-WITH {_WEEKS_SQL}
-SELECT run AS phase, CASE WHEN lag(run) OVER (ORDER BY run) IS NOT NULL THEN rows_sent END AS rows_evaluated_since FROM runs""")
+WITH {_BOOKS_SQL}
+SELECT run AS phase, CASE WHEN run > 1 THEN rows_sent END AS rows_evaluated_since, CASE WHEN run > 1 THEN retries END AS retries_since FROM runs""")
 def stats_delta(spark: SparkSession, sf: str) -> DataFrame:
-    """The counter as it stood after each run (one row per run), and its steps."""
-    runs = weekly_runs(weekly_requests(spark, sf))
+    """The counters as they stood after each run (one row per run), and their steps."""
+    _, ledger = books(spark, sf)
+    runs = accounting.run_report(ledger.runs(), ledger.batches())
     upto = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    snapshots = runs.select(F.col("seq").alias("phase"), F.sum("rows_sent").over(upto).alias("rows_evaluated"))
-    return accounting.stats_delta(snapshots, "rows_evaluated")
+    stood = runs.select(F.col("seq").alias("phase"), F.sum("rows_sent").over(upto).alias("rows_evaluated"), F.sum("retries").over(upto).alias("retries"))
+    return accounting.stats_delta(stood, "rows_evaluated").join(accounting.stats_delta(stood, "retries"), "phase")
 
 
 @query(f"""
-WITH {_WEEKS_SQL}
-SELECT scope, model, count(*) AS requests, CAST(sum(n_items) AS BIGINT) AS rows_sent,
-  CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
-  CAST(sum(input_tokens) AS BIGINT) * 0.042::DOUBLE / 1000000.0::DOUBLE AS estimated_cost_usd
-FROM (SELECT *, '{CFG.model}' AS model FROM b) GROUP BY ROLLUP (scope, model)""")
+WITH {_BOOKS_SQL}
+SELECT scope, model, count(*) AS requests, CAST(sum(n_items) AS BIGINT) AS rows_sent, CAST(sum(tokens) AS BIGINT) AS input_tokens,
+  CAST(sum(tokens) AS BIGINT) * 0.042::DOUBLE / 1000000.0::DOUBLE AS estimated_cost_usd
+FROM (SELECT *, '{CFG.model}' AS model FROM b WHERE NOT refused) GROUP BY ROLLUP (scope, model)""")
 def scope_spend_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return accounting.scope_spend(weekly_batches(weekly_requests(spark, sf)))
+    _, ledger = books(spark, sf)
+    return accounting.scope_spend(ledger.batches())
+
+
+@query(f"""
+WITH {_BOOKS_SQL},
+  s AS (SELECT run, q, CAST(sum(n) AS BIGINT) AS rows_in, CAST(coalesce(sum(n) FILTER (fate = 'null'), 0) AS BIGINT) AS rows_null,
+      CAST(coalesce(sum(n) FILTER (fate = 'hit'), 0) AS BIGINT) AS cache_hits, count(*) FILTER (fate = 'miss' AND owner) AS rows_sent,
+      count(*) FILTER (fate = 'miss' AND NOT owner) AS shared_in_flight,
+      CAST(coalesce(sum(n - 1) FILTER (fate = 'miss'), 0) AS BIGINT) AS rows_deduped FROM w GROUP BY run, q),
+  a AS (SELECT run, q, count(*) AS reclaimed FROM m1 GROUP BY run, q)
+SELECT run AS seq, q AS query_id, rows_in, rows_null, cache_hits, rows_sent, shared_in_flight, rows_deduped, coalesce(reclaimed, 0) AS reclaimed
+FROM s LEFT JOIN a USING (run, q)""")
+def shared_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Two queries at a time in one run: what each asked, what it sent, and what the other sent for it."""
+    _, ledger = books(spark, sf)
+    return ledger.runs().select("seq", "query_id", "rows_in", "rows_null", "cache_hits", "rows_sent", "shared_in_flight", "rows_deduped", "reclaimed")
+
+
+@query(f"""
+WITH {_BOOKS_SQL}
+SELECT run AS seq, n_items, CASE WHEN refused THEN 'failed' ELSE 'ok' END AS status, CASE WHEN refused THEN 'one of several is too heavy' END AS error,
+  count(*) AS batches FROM b GROUP BY ALL""")
+def retry_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every batch that was sent, by size: refused ones go again in halves."""
+    _, ledger = books(spark, sf)
+    runs = ledger.runs().select("run_id", "seq").distinct()
+    sent = ledger.batches().join(runs, "run_id")
+    return sent.groupBy("seq", F.col("n_items").cast("bigint").alias("n_items"), "status", "error").agg(F.count(F.lit(1)).alias("batches"))
+
+
+# -- a store through its life ----------------------------------------------------------------
+
+KEPT = 400
+_LIFE_SQL = f"""
+  d AS (SELECT coalesce(source, '') AS scope, {TEXT_PAYLOAD} AS payload, bool_or(lang = 'en') AS en, min(doc_id) AS low FROM documents
+    WHERE text IS NOT NULL GROUP BY 1, 2),
+  k AS (SELECT *, {key_sql("scope", "payload")} AS entry_key, scope = (SELECT min(scope) FROM d) AS cleared FROM d),
+  l AS (SELECT entry_key, CASE WHEN cleared THEN 'after clearing' WHEN en THEN 'replaced' ELSE 'first' END AS answer,
+      CAST(CASE WHEN cleared THEN 3 WHEN en THEN 2 ELSE 1 END AS BIGINT) AS seq, CAST(CASE WHEN cleared THEN 3 ELSE 1 END AS BIGINT) AS age
+    FROM k WHERE NOT cleared OR low < 50)"""
+
+
+@query(f"""
+WITH {_LIFE_SQL} SELECT * FROM l QUALIFY row_number() OVER (ORDER BY age DESC, entry_key) <= {KEPT}""")
+def store_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers for all documents are appended, the English ones replaced, one source cleared and partly answered again, all merged
+    and the oldest dropped; then the store is asked for every document."""
+    docs = table(spark, sf, "documents").where("text IS NOT NULL")
+    keyed = docs.select(F.coalesce("source", F.lit("")).alias("scope"), value_payload(docs, "text").alias("payload"), "lang", "doc_id")
+    requests = keyed.groupBy("scope", "payload").agg(F.bool_or(F.col("lang") == "en").alias("en"), F.min("doc_id").alias("low"))
+    requests = with_entry_key(requests, CFG.model, F.lit(PROMPT_INTENT.set_key)).drop("payload")
+    folder = f"{files.scratch_dir(spark)}/life-{uuid.uuid4().hex}"
+    requests.write.parquet(f"{folder}/requests")
+    requests = spark.read.parquet(f"{folder}/requests")
+    store = AnswerStore(spark, f"{folder}/store")
+    cleared = requests.agg(F.min("scope")).first()[0]
+
+    def append(rows: DataFrame, answer: str) -> None:
+        told = rows.select(F.lit(CFG.model).alias("model"), "scope", F.lit(PROMPT_INTENT.set_key).alias("set_key"), "entry_key",
+                           F.array(F.lit(answer)).alias("answers"))
+        store.append(told, told.count())
+
+    append(requests, "first")
+    append(requests.where("en"), "replaced")
+    if cleared is not None:
+        store.clear(cleared)
+    append(requests.where((F.col("scope") == cleared) & (F.col("low") < 50)), "after clearing")
+    store.compact(KEPT)
+    return store.lookup(requests).select("entry_key", F.col("answers")[0].alias("answer"), "seq", "age")
 
 
 # -- whole runs -----------------------------------------------------------------------------
