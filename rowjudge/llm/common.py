@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,22 +22,55 @@ _HOMES: dict[int, tuple[DataFrame, str]] = {}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch while a table is written: whole texts may be long, and two tasks share an executor's memory.
+ARROW_ROWS = 2_000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most ARROW_ROWS rows for the plans that are run within."""
+    was = spark.conf.get(_ARROW_ROWS)
+    if 0 < int(was) <= ARROW_ROWS:
+        yield
+        return
+    spark.conf.set(_ARROW_ROWS, str(ARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, was)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _HOMES[id(out)] = (out, path)
     return out
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of ``stored`` that nothing reads any more."""
+    """Delete tables of ``stored`` that nothing reads any more. The shuffle files of the plans that wrote them go once the driver
+    has collected those plans, which it is asked to do."""
     for df in tables:
         _, path = _HOMES.pop(id(df), (None, None))
         if path:
             delete(df.sparkSession, path)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
+def released(batches: Iterator) -> Iterator:
+    """``batches``; when a task's are at an end, what Arrow and the allocator hold unused goes back to the machine."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_of(name: str = "text") -> Column:

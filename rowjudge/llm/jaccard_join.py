@@ -14,8 +14,8 @@ A size-aware join with a heavy and a light side:
    and compared exactly.
 5. Classes are the connected components of the links.
 
-Null texts count as empty. Without words a document's set is empty and links with nothing. Repeated rows have equal sets. An
-empty table gives no rows. Other columns are not read. A null id belongs to the class of its set but never names it.
+Null texts count as empty. Without words a document's set is empty and links with nothing. Repeated rows have equal sets; rows that
+repeat an id with another text are sets of their own. An empty table gives no rows. Other columns are not read. A null id belongs to the class of its set but never names it.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from rowjudge.llm.common import components, conf_partitions, discard, stored, text_of
+from rowjudge.llm.common import components, conf_partitions, discard, released, stored, text_of
 
 
 @dataclass(frozen=True)
@@ -89,7 +89,7 @@ def _sketch(tokens: np.ndarray) -> bytes:
 
 def _slices(batches, rows: int = 512):
     """Arrow batches in pieces, so that a worker holds few texts as Python objects."""
-    for batch in batches:
+    for batch in released(batches):
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 
@@ -191,7 +191,7 @@ def _describe(cfg: JoinConfig, key: np.ndarray, kind: np.ndarray):
     def run(batches):
         for batch in _slices(batches):
             rows = []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 tokens = shingles(text, cfg.words)
                 n = len(tokens)
                 if not n:
@@ -203,8 +203,8 @@ def _describe(cfg: JoinConfig, key: np.ndarray, kind: np.ndarray):
                 rows.append((n, int(digest[0]), int(digest[1]), tokens[first].tobytes(), rare[first].tobytes(), _sketch(tokens)))
             cols = list(zip(*rows)) or [()] * 6
             types = [pa.int64()] * 3 + [pa.binary()] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(list(c), t) for c, t in zip(cols, types)],
-                                             names=["doc_id", "n", "h1", "h2", "prefix", "rare", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)] + [pa.array(list(c), t) for c, t in zip(cols, types)],
+                                             names=["doc_id", "tag", "n", "h1", "h2", "prefix", "rare", "sketch"])
     return run
 
 
@@ -228,9 +228,11 @@ def _subsets(cfg: JoinConfig, small: int):
     def run(batches):
         for batch in _slices(batches):
             out = ([], [], [], [])
-            for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for own, h1, h2, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 tokens = shingles(text, cfg.words)
                 s = len(tokens)
+                if tuple(np.frombuffer(xxh3_128_digest(tokens.tobytes()), "<i8")) != (h1, h2):
+                    continue  # another text of the same document id
                 for t in partner_sizes(s, cfg.percent):
                     if t <= small:
                         for part in combinations(tokens.tolist(), least_overlap(s, t, cfg.percent)):
@@ -243,10 +245,13 @@ def _subsets(cfg: JoinConfig, small: int):
 
 
 def small_links(texts: DataFrame, cfg: JoinConfig, small: int) -> DataFrame:
-    """Links (a, b) among small sets, from ``texts`` (id, text): who shares a subset links with the smallest id of the lower size."""
+    """Links (a, b) among small sets, from ``texts`` (id, h1, h2, text): who shares a subset links with the smallest id of the lower
+    size. ``h1`` and ``h2`` tell the set's own text from others of its document id."""
     rows = stored(texts.mapInArrow(_subsets(cfg, small), "k1 long, k2 long, id long, lower boolean"), "subsets")
     centre = rows.groupBy("k1", "k2").agg(F.min(F.when(F.col("lower"), F.col("id"))).alias("b"), F.count("*").alias("m")).where("m > 1 AND b IS NOT NULL")
-    return rows.join(centre, ["k1", "k2"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+    links = stored(rows.join(centre, ["k1", "k2"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct(), "links")
+    discard(rows)
+    return links
 
 
 # -- inverted lists -------------------------------------------------------------------------------
@@ -315,11 +320,11 @@ _BITS = 1 << 24
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) without most of those whose id isn't in ``ids``: a bitmap of hashed ids is broadcast, at most 2^18
-    words whatever the size of the corpus. What it lets through by chance is left to the join that follows."""
+    """``docs`` (doc_id, text) without most of those whose id isn't among ``ids`` (doc): a bitmap of hashed ids is broadcast, at most
+    2^18 words whatever the size of the corpus. What it lets through by chance is left to the join that follows."""
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(_BITS))
     flag = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), (bit(c) % 64).cast("int"))
-    words = ids.groupBy(F.floor(bit("id") / 64).alias("at")).agg(F.bit_or(flag("id")).alias("word"))
+    words = ids.groupBy(F.floor(bit("doc") / 64).alias("at")).agg(F.bit_or(flag("doc")).alias("word"))
     kept = docs.join(F.broadcast(words), F.floor(bit("doc_id") / 64) == F.col("at"))
     return kept.where(F.col("word").bitwiseAND(flag("doc_id")) != 0).select("doc_id", "text")
 
@@ -332,7 +337,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, cfg: JoinConfig)
     fits, alike = _may_link(cfg.percent)
     near = stored(near.where(fits).where(alike).select("a", "b"), "near")
     ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = stored(ids.join(sets.select("id", "h1", "h2"), "id"), "needed")
+    ids = stored(ids.join(sets.select("id", "doc", "h1", "h2"), "id"), "needed")
 
     def collect(batches):
         for batch in _slices(batches):
@@ -344,7 +349,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, cfg: JoinConfig)
                     found.append(tokens)
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(found, pa.binary())], names=["id", "tokens"])
 
-    texts = _only(docs, ids).join(ids, F.col("doc_id") == F.col("id")).select("id", "h1", "h2", "text")
+    texts = _only(docs, ids).join(ids, F.col("doc_id") == F.col("doc")).select("id", "h1", "h2", "text")
     tokens = stored(texts.mapInArrow(collect, "id long, tokens binary").dropDuplicates(["id"]), "tokens")
 
     def compare(batches):
@@ -382,7 +387,7 @@ def _crossing(cfg: JoinConfig):
         sketch = np.frombuffer(b"".join(pdf["sketch"]), "<u8").reshape(len(pdf), 16)
         token = pdf["token"].to_numpy()
         cuts = np.r_[np.flatnonzero(np.r_[True, token[1:] != token[:-1]]), len(token)]
-        out = set()
+        out, held = [np.zeros((0, 2), np.int64)], 0
         for a, b in zip(cuts, cuts[1:]):
             for at in range(a, b, 128):
                 i, j = slice(at, min(at + 128, b)), slice(a, b)
@@ -393,8 +398,11 @@ def _crossing(cfg: JoinConfig):
                     p, q = x[k: k + 65536] + at, y[k: k + 65536] + a
                     differ = np.bitwise_count(sketch[p] ^ sketch[q]).sum(1)
                     near = differ <= (100 - cfg.percent) * (n[p] + n[q]) // (100 + cfg.percent)
-                    out.update(zip(own[p[near]].tolist(), own[q[near]].tolist()))
-        found = np.array(sorted(out), np.int64).reshape(-1, 2)
+                    out.append(np.stack([own[p[near]], own[q[near]]], axis=1))
+                    held += len(out[-1])
+                    if held > 1_000_000:  # the same pair meets in many lists
+                        out, held = [np.unique(np.concatenate(out), axis=0)], 0
+        found = np.unique(np.concatenate(out), axis=0)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
     return run
@@ -412,23 +420,29 @@ def _cross_pairs(left: DataFrame, sets: DataFrame, cfg: JoinConfig) -> DataFrame
     common = common.withColumn("i", F.least("at", "other")).withColumn("j", F.greatest("at", "other")).withColumn("key", F.col("token"))
     columns = ["common", "key", "i", "j", "token", "id", "class", "n", "sketch"]
     met = light.select(*columns).union(common.select(*columns)).groupBy("common", "key", "i", "j")
-    return met.applyInPandas(_crossing(cfg), "a long, b long").distinct()
+    pairs = stored(met.applyInPandas(_crossing(cfg), "a long, b long").distinct(), "crossing")
+    discard(entries)
+    return pairs
 
 
 def jaccard_classes(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """doc_id, n_shingles, component_id of every row, and ``tag``, a hash of its text. Sets have numbers of their own, so rows that
+    repeat an id with another text are compared like any others."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     key, kind = common_shingles(rows, cfg)
-    every = stored(rows.mapInArrow(_describe(cfg, key, kind), "doc_id long, n long, h1 long, h2 long, prefix binary, rare binary, sketch binary"), "sets")
-    reps = stored(every.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("id")).where("id IS NOT NULL"), "reps")
-    sets = every.join(reps, (every["h1"] == reps["h1"]) & (every["h2"] == reps["h2"]) & (F.col("doc_id") == F.col("id")))
-    sets = stored(sets.select("id", "n", every["h1"], every["h2"], "prefix", "rare", "sketch").dropDuplicates(["id"]), "distinct")
+    tagged = rows.select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    every = stored(tagged.mapInArrow(_describe(cfg, key, kind), "doc_id long, tag long, n long, h1 long, h2 long, prefix binary, rare binary, "
+                                     "sketch binary"), "sets")
+    reps = every.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc")).where("doc IS NOT NULL")
+    reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
+    sets = every.join(reps, (every["h1"] == reps["h1"]) & (every["h2"] == reps["h2"]) & (F.col("doc_id") == F.col("doc")))
+    sets = stored(sets.select("id", "doc", "n", every["h1"], every["h2"], "prefix", "rare", "sketch").dropDuplicates(["id"]), "distinct")
 
     sizes = {r["n"]: r["count"] for r in sets.where(F.col("n") <= 2 * cfg.largest_small).groupBy("n").count().collect()}
     small = boundary(sizes, cfg)
-    few = sets.where(F.col("n") <= small).select("id", "h1", "h2")
-    links = small_links(_only(rows, few).join(few, F.col("doc_id") == F.col("id")).select("id", "text").distinct(), cfg, small)
-    links = stored(links, "links")
+    few = sets.where(F.col("n") <= small).select("id", "doc", "h1", "h2")
+    texts = _only(rows, few).join(few, F.col("doc_id") == F.col("doc")).select("id", "h1", "h2", "text").distinct()
+    links = small_links(texts, cfg, small)
 
     lists = inverted_lists(sets.where(F.col("n") >= -(-cfg.percent * (small + 1) // 100)), cfg)
     for turn in range(cfg.stars):
@@ -436,12 +450,18 @@ def jaccard_classes(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFram
         centre = left.groupBy("token").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("b"))
         stars = left.join(centre, "token").where("id <> b").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
         found = _verify(stars, sets, rows, cfg)
-        links = stored(links.union(found), "links")
-        discard(left)
+        was, links = links, stored(links.union(found), "links")
+        discard(left, found, was)
     left = _classed(lists, links)
-    links = links.union(_verify(_cross_pairs(left, sets, cfg), sets, rows, cfg))
+    discard(lists)
+    crossing = _cross_pairs(left, sets, cfg)
+    discard(left)
+    links = links.union(_verify(crossing, sets, rows, cfg))
+    discard(crossing)
     label = components(links)
-    named = reps.join(label, F.col("id") == F.col("node"), "left").select("h1", "h2", F.coalesce("component_id", "id").alias("component_id"))
-    named = stored(named, "classes")
-    out = every.select("doc_id", "n", F.when(F.col("n") > 0, F.col("h1")).alias("h1"), "h2").join(named, ["h1", "h2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    numbered = reps.join(label, F.col("id") == F.col("node"), "left").select("h1", "h2", "doc", F.coalesce("component_id", "id").alias("class"))
+    numbered = stored(numbered, "classes")
+    least = numbered.groupBy("class").agg(F.min("doc").alias("component_id"))
+    named = numbered.join(least, "class").select("h1", "h2", "component_id")
+    out = every.select("doc_id", "tag", "n", F.when(F.col("n") > 0, F.col("h1")).alias("h1"), "h2").join(named, ["h1", "h2"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "tag")

@@ -107,7 +107,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("tag")
 
 
 ORACLE_SQL["op3_jaccard"] = r"""

@@ -112,3 +112,12 @@ def test_packed_arrays_come_back():
 
     values = np.unique(np.random.default_rng(2).integers(0, 2**32, 5000)).astype(np.uint32)
     assert (J._unpack(J._pack(values)) == values).all()
+
+
+@pytest.mark.parametrize("n", [6, 8, 60])
+def test_rows_that_repeat_an_id_with_another_text_lose_no_link(spark, n):
+    a, b = (" ".join(f"{w}{i}" for i in range(n)) for w in ("ant", "bee"))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (9, b)]
+    got = J.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    linked = n >= 8  # two of three shingles are not enough, four of five are
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (2, 1 if linked else 2), (3, 1 if linked else 3), (9, 1)]
