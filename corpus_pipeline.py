@@ -36,14 +36,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each class of near duplicates the document with the smallest id. Rows that repeat an id are one document; a
-    row without an id gets a large one made from its text, so it goes only where its class has another."""
+    """Keeps of each class of near duplicates the row with the smallest id (of equal ids the one whose text has the smallest hash).
+    Rows without words are no one's duplicate; of rows that are wholly alike in id and text one stays. A row without an id gets a
+    large one made from its text, so it goes only where its class has another."""
     made = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2).bitwiseOR(F.lit(1 << 62))
-    key = unused(docs, "_id")
-    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id"), made))
+    key, tag = unused(docs, "_id"), unused(docs, "_tag")
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id"), made)).withColumn(tag, F.xxhash64(F.coalesce("text", F.lit(""))))
     classes = jaccard_join.jaccard_classes(keyed.select(F.col(key).alias("doc_id"), "text"))
-    first = classes.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    return keyed.join(first, key).dropDuplicates([key]).select(*docs.columns)
+    wordless = F.col("n_shingles") == 0
+    apart = F.when(wordless, F.struct("doc_id", "tag"))
+    first = classes.groupBy(F.when(~wordless, F.col("component_id")).alias("class"), apart.alias("apart")).agg(F.min(F.struct("doc_id", "tag")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias(key), F.col("first.tag").alias(tag))
+    return keyed.join(first, [key, tag]).dropDuplicates([key, tag]).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
