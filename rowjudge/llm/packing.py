@@ -55,7 +55,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file; strings of special tokens count as ordinary text.
+    """Ids of texts by a tokenizers file, without the tokens that it adds around a text; the strings of its added tokens are those.
 
     A byte-level BPE file whose ids follow its merges says the same as a table of ranks, which is read three times faster
     by another library; any other file is read by its own.
@@ -71,17 +71,20 @@ class Encoder:
                  and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                  and not any(model.get(x) for x in ("continuing_subword_prefix", "end_of_word_suffix", "dropout", "ignore_merges"))
                  and all(vocab.get(x + y) == 256 + i for i, (x, y) in enumerate(merges)))
+        added = {token["content"]: token["id"] for token in spec.get("added_tokens") or []}
+        plain = (plain and not any(token.get(x) for token in spec.get("added_tokens") or [] for x in ("lstrip", "rstrip", "single_word"))
+                 and not any(a != b and a in b for a in added for b in added))
         if plain:
             import tiktoken
 
             letters = _byte_letters()
             ranks = {bytes(letters[c] for c in word): i for word, i in vocab.items() if i < 256 + len(merges)}
-            self._encode = tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            encoding = tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=added)
+            self._encode = lambda text: encoding.encode(text, allowed_special="all")
         else:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             self._encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> np.ndarray:
