@@ -41,7 +41,8 @@ def letters(text: str) -> str:
 
 
 def dictionaries(docs: DataFrame, cfg: LanguageConfig = LanguageConfig()) -> list[tuple[str, bytes]]:
-    """(language, dictionary), languages with more learning documents first, from ``docs`` (text, lang)."""
+    """(language, dictionary), languages with more learning documents first, from ``docs`` (text, lang). A dictionary is a bounded
+    sample: slices of ``slice_chars``, one of each of up to ``samples`` texts, in the order of their hashes until it is full."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("h"))
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
@@ -52,11 +53,15 @@ def dictionaries(docs: DataFrame, cfg: LanguageConfig = LanguageConfig()) -> lis
         Window.partitionBy("lang", F.pmod("h", F.lit(cfg.salts))).orderBy("h", "part"))).where(F.col("rank") <= cfg.samples)
     top = salted.dropDuplicates(["lang", "h"]).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h", "part")))
     rows = top.where(F.col("rank") <= cfg.samples).select("lang", "rank", "part").collect()  # languages x samples slices
-    out = {}
+    out, full = {}, set()
     for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
-        out[r["lang"]] = out.get(r["lang"], b"") + letters(r["part"]).encode() + b" "
+        more = out.get(r["lang"], b"") + letters(r["part"]).encode() + b" "
+        if r["lang"] in full or len(more) > cfg.dictionary_bytes and r["lang"] in out:
+            full.add(r["lang"])
+            continue
+        out[r["lang"]] = more
     order = sorted(out, key=lambda name: (-counts[name], name))
-    return [(name, out[name][: cfg.dictionary_bytes]) for name in order]
+    return [(name, out[name]) for name in order]
 
 
 def _compressor(dictionary: bytes):
@@ -68,9 +73,9 @@ def _compressor(dictionary: bytes):
 
 
 def predict(docs: DataFrame, known: list[tuple[str, bytes]], cfg: LanguageConfig = LanguageConfig()) -> DataFrame:
-    """doc_id, held columns of ``docs`` other than text, lang_pred, score and rejected."""
+    """The columns of ``docs`` other than text and any that are named like a result, then lang_pred, score and rejected."""
     names = [name for name, _ in known]
-    keep = [c for c in docs.columns if c != "text"]
+    keep = [c for c in docs.columns if c.lower() not in ("text", "lang_pred", "score", "rejected")]
 
     def run(batches):
         packers = [_compressor(d) for _, d in known]
@@ -97,6 +102,6 @@ def predict(docs: DataFrame, known: list[tuple[str, bytes]], cfg: LanguageConfig
                 [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                 names=keep + ["lang_pred", "score", "rejected"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"] +
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in keep] +
                        ["lang_pred string, score double, rejected boolean"])
-    return docs.select(*keep, text_of().alias("text")).mapInArrow(run, schema)
+    return docs.select(*[f"`{c}`" for c in keep], text_of().alias("text")).mapInArrow(run, schema)

@@ -81,10 +81,28 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert {r["lang_pred"] for r in language.predict(odd_docs.select("doc_id", "text"), []).collect()} == {"und"}
 
 
-def test_smallest_sum_wins():
-    """Brute force: the sizes of all chunks under all dictionaries."""
-    known = [("x", b"lorem ipsum dolor sit amet " * 50), ("y", b"quick brown fox jumps over " * 50)]
+def test_smallest_sum_wins(spark):
+    """Brute force: the sizes of all chunks under all dictionaries, for what predict gives."""
+    known = [("x", b"lorem ipsum dolor sit amet " * 50), ("y", b"quick brown fox jumps over " * 50), ("z", b"und der die das nicht " * 60)]
+    texts = ["The QUICK brown fox, jumps over 12 lorem!", "lorem ipsum", "Das ist nicht der Fuchs", "quick lorem " * 2000, "12 34", None, "é"]
+    cfg = language.LanguageConfig(chunk=64)
+    docs = spark.createDataFrame([(i, t, 0.5, "x") for i, t in enumerate(texts)], "doc_id long, text string, score double, Lang_Pred string")
+    out = language.predict(docs, known, cfg)
+    assert out.columns == ["doc_id", "lang_pred", "score", "rejected"]
+    got = {r["doc_id"]: r for r in out.collect()}
     packers = [language._compressor(d) for _, d in known]
-    text = language.letters("The QUICK brown fox, jumps over 12 lorem!")
-    sizes = [len(p.compress(text.encode())) for p in packers]
-    assert sizes[1] < sizes[0] and text == "the quick brown fox jumps over lorem"
+    for i, text in enumerate(texts):
+        data = language.letters(text or "").encode()
+        if not data:
+            assert (got[i]["lang_pred"], got[i]["score"], got[i]["rejected"]) == ("und", 0.0, True)
+            continue
+        sizes = [sum(len(p.compress(data[at:at + 64])) for at in range(0, len(data), 64)) for p in packers]
+        best = sizes.index(min(sizes))
+        assert got[i]["lang_pred"] == known[best][0] and got[i]["rejected"] == (sorted(sizes)[1] < 1.01 * sizes[best])
+
+
+def test_a_dictionary_takes_slices_until_it_is_full(spark):
+    docs = spark.createDataFrame([(f"wort{chr(97 + i % 26)}{i} " * 60, "de") for i in range(50)], "text string, lang string")
+    whole, = language.dictionaries(docs, language.LanguageConfig(samples=50, salts=2))
+    short, = language.dictionaries(docs, language.LanguageConfig(samples=50, salts=2, dictionary_bytes=2_000))
+    assert len(short[1]) <= 2_000 < len(whole[1]) and whole[1].startswith(short[1]) and short[1].endswith(b" ")
