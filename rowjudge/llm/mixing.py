@@ -33,13 +33,14 @@ from rowjudge.llm.common import WORD, stored, text_of, unused, with_offsets
 
 @dataclass(frozen=True)
 class MixConfig:
-    """weights: in turn for the sources by name; block: words; shard: slots of an output shard."""
+    """weights: in turn for the sources by name; block: words; shard: slots of an output shard; task_slots: about as many a task lays out."""
 
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     most: int = 3
     block: int = 256
     shard: int = 1024
     seed: int = 7
+    task_slots: int = 1 << 20
     max_sources: int = 1_000_000
 
 
@@ -137,7 +138,8 @@ def draw_slots(spark, sources: pd.DataFrame, cfg: MixConfig) -> DataFrame:
                     yield pd.DataFrame({"s": s, "block": permutation(j % blocks[s], blocks[s], cfg.seed + zlib.crc32(str(s).encode()) % 2**20),
                                         "shard": where})
 
-    return drawn.union(late).mapInPandas(expand, "s long, block long, shard long")
+    tasks = max(1, math.ceil(total / cfg.task_slots))  # an explicit number: rows are tiny, but each makes up to ``shard`` slots
+    return drawn.union(late).repartition(tasks, "s", "shard", "pos").mapInPandas(expand, "s long, block long, shard long")
 
 
 def lay_out(docs: DataFrame, cfg: MixConfig) -> tuple[DataFrame, pd.DataFrame]:
@@ -155,17 +157,20 @@ def _sized(docs: DataFrame, *more) -> DataFrame:
 
 
 def mix(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
-    """doc_id, size, source_size, target and ``taken`` (words the mix takes of the document, repeats counted)."""
+    """doc_id, size, source_size, target, ``taken`` (words the mix takes of the document, repeats counted) and ``shards``: the
+    numbers of the output shards that the draws send its blocks to."""
     spark = docs.sparkSession
     sized = stored(_sized(docs).withColumn("_row", F.monotonically_increasing_id()), "sized")
     placed, sources = lay_out(sized, cfg)
     slots = draw_slots(spark, sources, cfg)
-    times = slots.groupBy("s", "block").agg(F.count("*").alias("times"))
-    taken = _pieces(placed, cfg).join(times, ["s", "block"]).groupBy("_row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    times = slots.groupBy("s", "block").agg(F.count("*").alias("times"), F.collect_set("shard").alias("into"))  # at most ``most`` shards
+    taken = _pieces(placed, cfg).join(times, ["s", "block"]).groupBy("_row").agg(
+        F.sum(F.col("words") * F.col("times")).alias("taken"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("into")))).alias("shards"))
     facts = spark.createDataFrame(
         [(r.source, int(r.source_size), float(r.target)) for r in sources.itertuples()], "_source string, source_size long, target double")
     out = sized.join(taken, "_row", "left").join(facts, F.col("source").eqNullSafe(F.col("_source")))
-    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+                      F.coalesce("shards", F.array().cast("array<long>")).alias("shards"))
 
 
 def _pieces(placed: DataFrame, cfg: MixConfig) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -51,6 +53,26 @@ def test_slots_are_blocks_by_permutation(spark):
     for s in sources.itertuples():
         times = np.bincount([r["block"] for r in slots if r["s"] == s.s], minlength=s.blocks)
         assert times.sum() == s.slots and times.max() - times.min() <= 1 and len(times) == s.blocks
+    drawn = {(r["s"], r["shard"]): r["n"] for r in mixing._draws(spark, sources, cfg).collect()}
+    laid = Counter((r["s"], r["shard"]) for r in slots)
+    for s in sources.itertuples():
+        own = {shard: n for (i, shard), n in drawn.items() if i == s.s}
+        surplus = sum(own.values()) >= s.slots  # what is drawn too much is dropped, what is missing is dealt
+        assert all(laid[s.s, shard] <= n if surplus else laid[s.s, shard] >= n for shard, n in own.items())
+        assert not surplus or {shard for i, shard in laid if i == s.s} <= own.keys()
+    told = mixing.mix(docs, cfg).collect()
+    for s in sources.itertuples():
+        into = {shard for r in told if rows[r["doc_id"]][2] == s.source for shard in r["shards"]}
+        assert into == {shard for i, shard in laid if i == s.s}
+
+
+def test_slots_are_spread_over_tasks(spark):
+    rows = [(i, " ".join(["w"] * 100), "a") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    cfg = mixing.MixConfig(block=10, shard=20, task_slots=50)
+    sources = mixing._sources(mixing._sized(docs), cfg)
+    slots = mixing.draw_slots(spark, sources, cfg)
+    assert slots.rdd.getNumPartitions() == -(-int(sources["slots"].sum()) // 50)
 
 
 def test_mixed_documents_hold_the_words_taken(spark):
