@@ -69,18 +69,24 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0))), "yyyyMMddHHmmss")
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"), captured.alias("captured"))
-    return warc.archive_and_index(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = warc.capture_history(warc.archive_and_index(pages))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "place")
 
 
-ORACLE_SQL["op2_warc"] = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+ORACLE_SQL["op2_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, lower(coalesce(url, '')) AS low,
+  strftime(make_timestamp((1700000000 + coalesce(page_id, 0)) * 1000000), '%Y%m%d%H%M%S') AS captured FROM pages),
+u AS (SELECT *, regexp_replace(regexp_extract(low, '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '^www\.', '') AS host,
+  regexp_replace(regexp_replace(low, '^[a-z][a-z0-9+.-]*://[^/?#]*', ''), '#.*$', '') AS rest FROM p),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS last, captured,
+  concat(array_to_string(list_reverse(string_split(host, '.')), ','), ')', rest) AS url_key FROM u)
 SELECT page_id, payload_bytes,
   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((CAST('0x' || substr(hex, CAST(5 * i // 4 + 1 AS INTEGER), 2) AS INTEGER) >> CAST(3 - 5 * i % 4 AS INTEGER)) & 31), 1)), '')
     AS payload_digest,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to, url_key, captured,
+  row_number() OVER (ORDER BY url_key, captured, page_id NULLS FIRST) - 1 AS place
 FROM d"""
 
 

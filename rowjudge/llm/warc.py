@@ -7,7 +7,8 @@
    unpacked archive.
 2. Read: each archive is parsed by its content lengths, payloads are digested again and held against their headers.
 3. Merge: the runs' index rows are range-partitioned by (URL key, time, id) into ranges of about ``merge_rows``, and each
-   range merges its part of all runs with a loser tree: the ranges, one after the other, are the globally ordered history.
+   range merges its part of all runs with a loser tree: the ranges, one after the other, are the globally ordered history, in
+   which ``capture_history`` gives each capture its place.
 
 Null payloads count as empty, null URLs as the empty key. Rows that repeat an id with an equal payload are responses alike
 if the id is the largest. A null id is never the largest; where all ids of a payload are null, all are responses. An empty
@@ -19,6 +20,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import math
+import re
 import uuid
 from base64 import b32encode
 from collections.abc import Iterable, Iterator
@@ -26,7 +28,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowjudge.llm.common import stored
@@ -55,13 +57,20 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest)
 
 
+def _iso(digits: Column) -> Column:
+    """Fourteen digits as the date of a header."""
+    parts = [(1, 4, ""), (5, 2, "-"), (7, 2, "-"), (9, 2, "T"), (11, 2, ":"), (13, 2, ":")]
+    return F.concat(*[F.concat(F.lit(before), F.substring(digits, at, n)) for at, n, before in parts], F.lit("Z"))
+
+
 def _one_line(value: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.coalesce(value, F.lit("")), "\r", "%0D"), "\n", "%0A")
 
 
 def write_archives(pages: DataFrame, path: str, cfg: WarcConfig = WarcConfig()) -> None:
     """Writes ``pages`` (page_id, url, payload, captured: 14 digits) as WARC files under ``path``."""
-    rows = pages.select("page_id", "url", F.coalesce("payload", F.lit("")).alias("payload"), "captured")
+    rows = pages.select("page_id", "url", F.coalesce("payload", F.lit("")).alias("payload"),
+                        F.coalesce("captured", F.lit("")).alias("captured"))
     rows = rows.withColumn("digest", base32_sha1(F.col("payload"))).withColumn("bytes", F.octet_length("payload"))
     facts = stored(rows.select("page_id", "digest", F.col("bytes").cast("long").alias("bytes")), "payloads")
     total = facts.agg(F.sum(F.col("bytes") + 600)).first()[0] or 1
@@ -80,7 +89,7 @@ def write_archives(pages: DataFrame, path: str, cfg: WarcConfig = WarcConfig())
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     value = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: "), name("page_id"), F.lit("\r\nWARC-Date: "), F.col("captured"),
+        F.lit("\r\nWARC-Record-ID: "), name("page_id"), F.lit("\r\nWARC-Date: "), _iso(F.col("captured")),
         F.lit("\r\nWARC-Target-URI: "), _one_line(F.col("url")), F.lit("\r\nWARC-Target-Key: "), _one_line(F.col("key")),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
         F.when(again, F.concat(F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -111,7 +120,7 @@ def parse(data: bytes) -> Iterator[dict]:
         if data[end: end + 4] != b"\r\n\r\n":
             raise ValueError(f"the record at byte {at} is cut")
         number = lambda name: int(fields[name][10:-1]) if fields.get(name, "<urn:page:>") != "<urn:page:>" else None
-        yield {"url_key": fields.get("WARC-Target-Key", ""), "captured": fields["WARC-Date"], "page_id": number("WARC-Record-ID"),
+        yield {"url_key": fields.get("WARC-Target-Key", ""), "captured": re.sub(r"\D", "", fields["WARC-Date"]), "page_id": number("WARC-Record-ID"),
                "payload_bytes": n, "payload_digest": digest, "record_type": kind, "refers_to": number("WARC-Refers-To"),
                "start": at, "length": end + 4 - at}
         at = end + 4
@@ -195,3 +204,12 @@ def archive_and_index(pages: DataFrame, cfg: WarcConfig = WarcConfig()) -> DataF
     path = f"{scratch_dir(spark)}/llm/warc-{uuid.uuid4().hex}"
     write_archives(pages, path, cfg)
     return merge_index(read_archives(spark, path), cfg)
+
+
+def capture_history(merged: DataFrame) -> DataFrame:
+    """``merge_index``'s rows with ``place``: the number of captures before each in the whole history."""
+    merged = stored(merged, "history")
+    sizes = merged.groupBy("range_id").agg(F.count("*").alias("n"))  # one row for each range
+    before = Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("range_id", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("shift"))
+    return merged.join(shift, "range_id").withColumn("place", F.col("shift") + F.col("position")).drop("shift")

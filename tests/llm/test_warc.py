@@ -40,6 +40,10 @@ def test_global_order(pages):
     rows = sorted(warc.archive_and_index(pages, warc.WarcConfig(archive_bytes=500, merge_rows=2)).collect(), key=lambda r: (r["range_id"], r["position"]))
     keys = [(r["url_key"], r["captured"], r["page_id"] if r["page_id"] is not None else -(2**63)) for r in rows]
     assert keys == sorted(keys)
+    told = warc.capture_history(warc.archive_and_index(pages, warc.WarcConfig(archive_bytes=500, merge_rows=2))).collect()
+    assert sorted(r["place"] for r in told) == list(range(len(rows)))
+    told.sort(key=lambda r: r["place"])
+    assert [(r["url_key"], r["captured"]) for r in told] == [k[:2] for k in keys]
 
 
 def test_small_payloads_are_all_responses(pages):
