@@ -1,7 +1,8 @@
 """Personal data by weak supervision: labelers vote on spans, expectation-maximisation weighs them, a span classifier decides.
 
 1. One pass over the whole texts finds the base spans (email, ip, card, phone; fixed patterns, always kept) and further
-   candidate spans: masked e-mail addresses, local phone numbers, persons, identity numbers. Regex, gazetteer and context
+   candidate spans: masked e-mail addresses, local phone numbers, persons, identity numbers, secrets (long runs of letters
+   and digits). Regex, gazetteer and context
    labelers and one for shape vote yes / no / abstain on each candidate, base spans included.
 2. The vote patterns are counted over all documents; expectation-maximisation (one reliability for each kind and labeler)
    turns each pattern into a probability. There are at most 3^4 patterns a kind, so the counts are bounded.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,9 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from rowjudge.llm.common import stored, text_of
+from rowjudge.llm.common import released, stored, text_of
 
-KINDS = ("email", "ip", "card", "phone", "email_masked", "phone_local", "person", "id_number")
+KINDS = ("email", "ip", "card", "phone", "email_masked", "phone_local", "person", "id_number", "secret")
 BASE = 4
 LABELERS = ("regex", "gazetteer", "context", "shape")
 FEATURES = 4096
@@ -45,6 +47,11 @@ _MASKED = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?[\[({]\s?at\s?[\])}]\s?[A-Za-z0-
                      r"(?:(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?)[A-Za-z0-9-]{1,63}){1,5}", re.I)
 _LOCAL_PHONE = re.compile(r"(?<![0-9.+-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])")
 _ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}")
+#: How known keys begin, and the lengths of digests in hexadecimal digits (fixed values).
+_KEY_STARTS = ("sk-", "pk-", "ghp_", "gho_", "glpat-", "xoxb-", "xoxp-", "AKIA", "ASIA", "AIza", "ya29", "eyJ")
+_HEX_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
+_HEX = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 # Names: a capital, then letters of any script with inner capitals, apostrophes and combining accents.
 _CAPITAL = "".join(map(re.escape, filter(str.isupper, map(chr, range(0x2000)))))
 _NAME = rf"[{_CAPITAL}](?:['\u2019]?[^\W\d_]|[\u0300-\u036f]){{1,40}}"
@@ -72,6 +79,7 @@ FOR = {
                "ansprechpartner", "monsieur", "madame", "mademoiselle", "m", "mme", "mlle", "nom", "appelle", "signé", "señor",
                "señora", "señorita", "sr", "sra", "srta", "don", "doña", "nombre", "llamo", "firmado"},
     "id_number": {"ssn", "social", "security", "id"},
+    "secret": {"token", "secret", "key", "apikey", "password", "passwd", "pwd", "bearer", "credential", "credentials", "auth", "signature"},
 }
 AGAINST = frozenset("version isbn order page figure section chapter build price total token".split())
 
@@ -137,6 +145,10 @@ def more_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     if any(x in text for x in _TITLE_PARTS) or any(x in low for x in _CUES):
         found += [(m.start(1), 6, m.end(1)) for m in _CALLED.finditer(text)]
     found += [(m.start(), 7, m.end()) for m in _ID.finditer(text)]
+    for m in _SECRET.finditer(text):
+        run = m.group()
+        if sum(map(run.count, "0123456789")) >= 2 and not run.replace("-", "").isdigit() and any(map(str.isalpha, run)):
+            found.append((m.start(), 8, m.end()))
     return sorted(x for x in found if not any(s < x[2] and x[0] < e for s, _, e in taken)) if found else found
 
 
@@ -169,6 +181,13 @@ def votes(text: str, start: int, kind: int, end: int, window: int) -> tuple[int,
     elif name == "id_number":
         gazetteer = -1 if digits[:3] in ("000", "666") or digits[0] == "9" or digits[3:5] == "00" else 0
         shape = -1 if len(set(digits)) == 1 else 0
+    elif name == "secret":
+        plain = _HEX.match(span) is not None
+        regex = 1 if span.startswith(_KEY_STARTS) or plain and len(span) in _HEX_LENGTHS else -1 if span.count("/") > 1 or span.count("-") > 3 else 0
+        gazetteer = 1 if text[:start].rstrip(" \"'`").endswith(("=", ":")) else 0
+        share = np.array(list(Counter(span).values())) / len(span)
+        bits = float(-(share * np.log2(share)).sum())  # of information a character; words have less, counters far less
+        shape = 1 if bits >= 3.2 else -1 if bits < 2.5 else 0
     near = set(before[-5:])
     context = 1 if near & FOR[name] else -1 if near & AGAINST else 0
     pattern = 0
@@ -192,7 +211,7 @@ _FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string
 
 def _finder(keys: int, window: int):
     def find(batches):
-        for batch in batches:
+        for batch in released(batches):
             rows = []
             for text in batch.column(keys).to_pylist():
                 base = base_spans(text)
@@ -252,7 +271,7 @@ class SpanClassifier:
 
 
 def train(candidates: DataFrame, cfg: PiiConfig = PiiConfig()) -> SpanClassifier:
-    """The classifier from the stored candidates. What reaches the driver is bounded: 8 x 81 pattern counts and 8 x 4096
+    """The classifier from the stored candidates. What reaches the driver is bounded: 9 x 81 pattern counts and 9 x 4096
     feature sums, however many documents there are."""
     each = candidates.select(F.explode("candidates").alias("c")).select("c.*")
     counts = {(r["kind"], r["pattern"]): r["count"] for r in each.groupBy("kind", "pattern").count().collect()}
@@ -268,8 +287,9 @@ def train(candidates: DataFrame, cfg: PiiConfig = PiiConfig()) -> SpanClassifier
         yes, no = total.yes, total.n - total.yes
         prior[kind] = np.log((yes + cfg.smoothing) / (no + cfg.smoothing))
         own = own[own.f >= 0]
-        weight[kind, own.f] = np.log((own.yes + cfg.smoothing) / (yes + 2 * cfg.smoothing)) \
-            - np.log((own.n - own.yes + cfg.smoothing) / (no + 2 * cfg.smoothing))
+        # smoothed towards the feature's rate in both classes, so that a class with few spans says little about rare features
+        rate = cfg.smoothing * own.n / total.n
+        weight[kind, own.f] = np.log((own.yes + rate) / (yes + cfg.smoothing)) - np.log((own.n - own.yes + rate) / (no + cfg.smoothing))
     return SpanClassifier(prior, weight)
 
 
@@ -303,24 +323,24 @@ def redact(docs: DataFrame, cfg: PiiConfig = PiiConfig()) -> DataFrame:
     The spans are found again in the pass that replaces them, which spares a join of texts; the model is trained first."""
     model = train(stored(find_candidates(docs, cfg), "pii"), cfg)
 
-    def replace(series: pd.Series) -> pd.Series:
-        out = []
-        for text in series:
-            if not text:
-                out.append(text)
-                continue
-            base = base_spans(text)
-            extra = [x for x in more_spans(text, base)
-                     if model.probability(x[1], votes(text, *x, cfg.window)[1]) >= cfg.accept]
-            parts, done, until = [], 0, -1
-            for s, k, e in sorted(base + extra):
-                if s >= until:  # one that overlaps the span before is covered by that one's mark
-                    parts += [text[done:s], f"[{KINDS[k].upper()}]"]
-                until = done = max(e, until)
-            out.append("".join(parts) + text[done:])
-        return pd.Series(out, dtype=object)
-
-    replace.__annotations__ = {"series": pd.Series, "return": pd.Series}
+    def masked(text: str | None) -> str | None:
+        if not text:
+            return text
+        base = base_spans(text)
+        extra = [x for x in more_spans(text, base)
+                 if model.probability(x[1], votes(text, *x, cfg.window)[1]) >= cfg.accept]
+        parts, done, until = [], 0, -1
+        for s, k, e in sorted(base + extra):
+            if s >= until:  # one that overlaps the span before is covered by that one's mark
+                parts += [text[done:s], f"[{KINDS[k].upper()}]"]
+            until = done = max(e, until)
+        return "".join(parts) + text[done:]
+
+    def replace(texts):
+        for series in released(texts):
+            yield pd.Series([masked(text) for text in series], dtype=object)
+
+    replace.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.withColumn("text", F.pandas_udf(replace, "string")("text"))
 
 

@@ -86,3 +86,27 @@ def test_titles_and_cues_of_four_languages():
                    "mein Name ist", "Ich heiße", "Ansprechpartner:", "je m'appelle", "signé par", "me llamo", "Mi nombre es"):
         assert added(f"so {before} Karl Weiß.") == [("person", "Karl Weiß")], before
     assert added("ein Herr geht, die Frau singt, don Quijote m. Weiß") == []
+
+
+def test_secrets_are_added_and_words_are_not(spark):
+    rng = random.Random(4)
+    secret = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    words = "alpha beta gamma delta omega sigma".split()
+    texts = [f"{rng.choice(words)} {rng.choice(words)} {name} = \"{secret(n)}\" {rng.choice(words)}"
+             for name in ("token", "api key", "secret") for n in (40, 64) for _ in range(6)]
+    texts += [f"see docs/2024/05/{rng.choice(words)}-{rng.choice(words)}-part-2-of-17/index of {w}" for w in words * 3]
+    texts += ["Donaudampfschifffahrtsgesellschaft 1234567890123456789012345", "1" * 50, "é" * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r["doc_id"]: [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "secret"] for r in pii.find_pii(docs).collect()}
+    assert all(len(spans[i]) == 1 and len(spans[i][0]) in (40, 64) for i in range(36))
+    assert not any(spans[i] for i in range(36, len(texts)))
+
+
+def test_the_votes_decide(spark, monkeypatch):
+    """With reliabilities that are turned round, what was added is not, and the base spans stay."""
+    texts = [f"please contact Dr. {a} {b} or {a}{i}@example.com" for i, (a, b) in enumerate([("Maria", "Kohl"), ("Peter", "Stone")] * 10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learned = pii.reliabilities
+    assert {s["kind"] for r in pii.find_pii(docs).collect() for s in r["spans"]} == {"person", "email"}
+    monkeypatch.setattr(pii, "reliabilities", lambda counts, cfg: {k: 1 - v for k, v in learned(counts, cfg).items()})
+    assert {s["kind"] for r in pii.find_pii(docs).collect() for s in r["spans"]} == {"email"}
