@@ -14,6 +14,7 @@ document scores 0.5. Labels other than 0 and 1 are not used; conflicting ones of
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowjudge.llm.common import text_of
+from rowjudge.llm.common import released, text_of
 
 _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 
@@ -94,7 +95,7 @@ def train(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig
     once = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("mean").alias("mean"))
 
     def extract(batches):
-        for batch in batches:
+        for batch in released(batches):
             found = [features(t, cfg.bits) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
@@ -102,7 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig
                 names=["h", "place", "value", "label"])
 
     def fit(batches):
-        rows = [row for batch in batches for row in zip(batch.column(1).to_numpy(zero_copy_only=False),
+        rows = [row for batch in released(batches) for row in zip(batch.column(1).to_numpy(zero_copy_only=False),
                                                         batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_pylist())]
         model = Ftrl(cfg)
         for epoch in range(cfg.epochs):
@@ -121,14 +122,13 @@ def train(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig
 
 def score(docs: DataFrame, weights: np.ndarray, cfg: QualityConfig = QualityConfig(), name: str = "score") -> DataFrame:
     """``docs`` with column ``name``: the probability of label 1."""
-    def run(series):
-        out = []
-        for text in series:
-            place, value = features(text or "", cfg.bits)
-            out.append(1 / (1 + np.exp(-np.clip(weights[place] @ value, -35, 35))))
-        return pd.Series(out, dtype="float64")
-
-
-
-    run.__annotations__ = {"series": pd.Series, "return": pd.Series}
+    def run(texts):
+        for series in released(texts):
+            out = []
+            for text in series:
+                place, value = features(text or "", cfg.bits)
+                out.append(1 / (1 + np.exp(-np.clip(weights[place] @ value, -35, 35))))
+            yield pd.Series(out, dtype="float64")
+
+    run.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.withColumn(name, F.pandas_udf(run, "double")("text"))
