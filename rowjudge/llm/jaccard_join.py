@@ -61,13 +61,15 @@ def shingles(text: str, words: int) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.zeros(0, np.uint64)
-    word = np.array([xxh3_64_intdigest(w) for w in found], np.uint64)
+    word = np.fromiter(map(xxh3_64_intdigest, found), np.uint64, len(found))
     n = min(words, len(word))
     out = np.full(len(word) - n + 1, n, np.uint64)
     for i in range(n):
-        out = (out ^ word[i: len(word) - n + 1 + i]) * _MIX
+        out ^= word[i: len(word) - n + 1 + i]
+        out *= _MIX
         out ^= out >> np.uint64(32)
-    return np.unique(out)
+    out.sort()
+    return out[np.r_[True, out[1:] != out[:-1]]]
 
 
 def least_overlap(s: int, t: int, percent: int) -> int:
