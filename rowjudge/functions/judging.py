@@ -31,7 +31,27 @@ def _array(options: Sequence[str]) -> Column:
     return F.array(*[F.lit(o) for o in options])
 
 
+def option_labels(options: Column) -> Column:
+    """The labels of an options column of any type that JSON has a list or an object for: ARRAY, MAP of labels to descriptions,
+    STRUCT or VARIANT. Descriptions may be NULL."""
+    told = F.to_json(options, {"ignoreNullFields": "false"})
+    described = F.map_keys(F.from_json(told, "map<string,string>"))
+    return F.when(F.startswith(told, F.lit("[")), F.from_json(told, "array<string>")).otherwise(described)
+
+
+def question_text(kind: str, question: str | Column, options: Column | None = None, *, name: str = "q") -> Column:
+    """The text of a one-question set made from columns, for runs whose questions come with the rows. Descriptions go along, so sets
+    that differ in them are different sets."""
+    text = question if isinstance(question, Column) else F.lit(question)
+    start = F.concat(F.lit(f'{{"{name}":{{"type":"{resolve_kind(kind)}","question":'), text_payload(text, max_value_chars=0))
+    if options is None:
+        return F.concat(start, F.lit("}}"))
+    place = "levels" if resolve_kind(kind) == SCORE else "options"
+    return F.concat(start, F.lit(f',"{place}":'), F.to_json(options, {"ignoreNullFields": "false"}), F.lit("}}"))
+
+
 def _column_options(options: Column, kind: str) -> Column:
+    options = option_labels(options)
     ok = F.when(F.exists(options, lambda o: o.isNull()),
                 F.raise_error(f"a '{kind}' question has a NULL among its options").cast("array<string>"))
     ok = ok.when(F.size(options) == 0,
@@ -91,7 +111,7 @@ def score_norm(payload: Column, question: str | Column | None, levels: Options,
                judge: RuleJudge = RULES) -> Column:
     """The same on 0 to 1."""
     if isinstance(levels, Column):
-        top = F.greatest(F.size(levels) - 1, F.lit(1))
+        top = F.greatest(F.size(option_labels(levels)) - 1, F.lit(1))
     else:
         top = F.lit(max(len(make_question("?", SCORE, levels).options) - 1, 1) if levels is not None else 1)
     return score(payload, question, levels, judge=judge) / top

@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from rowjudge.config import JudgeConfig
 from rowjudge.judges.rule import P_HIT, P_MISS, last_word
+from rowjudge.operators.question_sets import question_compiler
 from rowjudge.questions import CHOICE, NOUL, PROMPT_INTENT, SCORE, Question, QuestionSet, parse_questions
 
 
@@ -96,6 +97,32 @@ def _generic(cfg: JudgeConfig) -> dict[str, str]:
     }
 
 
+def _described(generic: dict[str, str]) -> dict[str, str]:
+    """The functions with options once more for MAPs of labels to descriptions, which may be NULL. The rules answer by labels."""
+    described = {}
+    for signature, body in generic.items():
+        if "options ARRAY<STRING>" in signature:
+            name, rest = signature.split("(", 1)
+            given, returns = rest.split(") RETURNS")
+            passed = ", ".join("map_keys(options)" if a.startswith("options ") else a.split()[0] for a in given.split(", "))
+            arguments = given.replace("options ARRAY<STRING>", "options MAP<STRING, STRING>").replace(
+                "DEFAULT array()", "DEFAULT CAST(map() AS MAP<STRING, STRING>)")
+            described[f"{name}_described({arguments}) RETURNS{returns}"] = f"{name}({passed})"
+    return described
+
+
+def _ask() -> str:
+    """All questions of the set that comes with the row, compiled once per distinct text of an Arrow batch; what is refused stops the
+    query."""
+    word = r"lower(coalesce(q.needle, element_at(split(trim(q.query), '\\s+'), -1)))"
+    of = {kind: f"to_json({_answer('payload', kind, word, 'array_distinct(q.options)')})" for kind in (NOUL, SCORE, CHOICE)}
+    answer = f"CASE q.kind WHEN '{NOUL}' THEN {of[NOUL]} WHEN '{SCORE}' THEN {of[SCORE]} ELSE {of[CHOICE]} END"
+    named = f"concat('\"', q.name, '\":', {answer})"
+    whole = f"concat('{{', array_join(transform(s.questions, q -> {named}), ','), '}}')"
+    return f"""CASE WHEN payload IS NOT NULL AND questions IS NOT NULL THEN element_at(transform(array(judge_compile(questions)),
+        s -> CASE WHEN s.error IS NOT NULL THEN raise_error(s.error) ELSE {whole} END), 1) END"""
+
+
 def _create(spark: SparkSession, signature: str, body: str) -> None:
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
 
@@ -124,5 +151,8 @@ def register(spark: SparkSession, *, generic: bool = False, cfg: JudgeConfig | N
               'intent_probabilities', {intent}.probabilities, 'malicious_probability', {malicious}.noul)), 1) END""",
     )
     if generic:
-        for signature, body in _generic(cfg).items():
+        functions = _generic(cfg)
+        for signature, body in (functions | _described(functions)).items():
             _create(spark, signature, body)
+        spark.udf.register("judge_compile", question_compiler(cfg.model))
+        _create(spark, "judge_ask(payload STRING, questions STRING) RETURNS STRING", _ask())

@@ -50,7 +50,8 @@ def literal_set(chosen: QuestionSet, model: str) -> Column:
     return F.from_json(F.lit(compact_json(describe(chosen, model))), SET_TYPE)
 
 
-def _compiler(model: str):
+def question_compiler(model: str):
+    """A pandas UDF: question-set text to SET_TYPE, with the ``error`` of one that is refused."""
     nothing = dict.fromkeys(SET_TYPE.names)
 
     def one(text: str | None) -> dict:
@@ -75,7 +76,7 @@ def compile_question_column(requests: DataFrame, question: str, model: str, *, i
     """Validate a column of question-set texts, each distinct text once: the table meets Python nowhere, and joins the
     compiled sets on a digest of the text. A text that is refused stops the query."""
     texts = requests.select(F.col(question).alias("_text")).where(F.col("_text").isNotNull()).distinct()
-    compiled = texts.withColumn("_compiled", _compiler(model)(F.col("_text")))
+    compiled = texts.withColumn("_compiled", question_compiler(model)(F.col("_text")))
     refused = F.raise_error(F.col("_compiled.error")).cast(SET_TYPE)
     checked = F.when(F.col("_compiled.error").isNotNull(), refused).otherwise(F.col("_compiled"))
     sets = compiled.select(F.sha2("_text", 256).alias("_digest"), checked.alias(into))

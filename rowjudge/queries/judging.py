@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowjudge.functions import judging as J
+from rowjudge.functions.answers import text_field
 from rowjudge.functions.payload import row_payload, value_payload
 from rowjudge.functions.sql import register
 from rowjudge.judges.rule import RuleJudge
 from rowjudge.plans import patterns
+from rowjudge.plans.run import judge_rows
 from rowjudge.queries.registry import PROMPT_SQL, intent_sql, noul_sql, payload_sql, pick_sql, query
 from rowjudge.sources.tables import table
 
@@ -175,6 +177,45 @@ def judge_choice_described(spark: SparkSession, sf: str) -> DataFrame:
                          J.choice(F.col("payload"), question, F.col("depots")).alias("depot_by_column"))
 
 
+@query(f"""
+SELECT c_custkey, depot, depot AS depot_in_sql, depot AS depot_in_run, {len(TOLD_DEPOTS)}::INTEGER AS told
+FROM (SELECT c_custkey, {pick_sql(CUSTOMER_SQL, DEPOTS)} AS depot FROM customer)""")
+def judge_choice_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels and descriptions that come as a MAP column, some of them NULL: as a column, in SQL, and in a run that makes each row's
+    question from them."""
+    told = F.create_map(*[F.lit(x) for pair in TOLD_DEPOTS.items() for x in pair])
+    people = customers(spark, sf).withColumn("depots", told)
+    question = "which depot serves the customer?"
+    register(spark, generic=True)
+    people = people.withColumn("in_sql", F.expr(f"judge_choice_described(payload, '{question}', depots)"))
+    run = judge_rows(people, F.col("payload"), J.question_text("choice", question, F.col("depots")),
+                     fields={"in_run": lambda answers: text_field(answers[0], "choice")})
+    return run.rows.select("c_custkey", J.choice(F.col("payload"), question, F.col("depots")).alias("depot"),
+                           F.col("in_sql").alias("depot_in_sql"), F.col("in_run").alias("depot_in_run"), F.size("depots").alias("told"))
+
+
+ASKED = ('{"p": {"type": "noul", "question": "has the word la"}, "s": {"type": "choice", "question": "how long?", "options": '
+         '["short", "long"]}, "n": {"type": "score", "question": "how clear?", "levels": ["low", "mid", "high"]}}')
+ASKED_ONE = '{"p": {"type": "noul", "question": "has the word the"}}'
+
+
+@query(f"""
+SELECT conv_id, turn, CASE role WHEN 'user' THEN {noul_sql("payload", "la")} WHEN 'assistant' THEN {noul_sql("payload", "the")} END AS p,
+  CASE WHEN role = 'user' THEN {pick_sql("payload", ["short", "long"])} END AS s,
+  CASE WHEN role = 'user' THEN CAST(length(payload) % 3 AS DOUBLE) END AS n,
+  CASE role WHEN 'user' THEN 3 WHEN 'assistant' THEN 1 END::INTEGER AS answers
+FROM (SELECT *, {TEXT_PAYLOAD} AS payload FROM conversations)""")
+def sql_ask(spark: SparkSession, sf: str) -> DataFrame:
+    """``judge_ask(payload, questions)`` in SQL, with a question set per row; a row without one is not asked."""
+    register(spark, generic=True)
+    table(spark, sf, "conversations").createOrReplaceTempView("_sql_ask_turns")
+    sets = f"CASE role WHEN 'user' THEN '{ASKED}' WHEN 'assistant' THEN '{ASKED_ONE}' END"
+    return spark.sql(f"""
+        SELECT conv_id, turn, CAST(get_json_object(a, '$.p.noul') AS DOUBLE) AS p, get_json_object(a, '$.s.choice') AS s,
+          CAST(get_json_object(a, '$.n.score') AS DOUBLE) AS n, size(json_object_keys(a)) AS answers
+        FROM (SELECT conv_id, turn, judge_ask(text_payload(text), {sets}) AS a FROM _sql_ask_turns)""")
+
+
 @query("""
 SELECT c_custkey, 1.0::DOUBLE AS choice_confidence, 1.0::DOUBLE AS score_confidence,
   CAST(NULL AS DOUBLE) AS noul_confidence FROM customer""")

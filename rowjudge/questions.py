@@ -159,7 +159,7 @@ def make_question(query: str, kind: str = NOUL, options=None, *, name: str = "q"
 def _text_field(spec: dict, field: str, name: str) -> str:
     value = spec.get(field)
     if not isinstance(value, str) or not value:
-        raise QuestionError(f"question '{name}' needs a non-empty string \"{field}\"")
+        raise QuestionError(f"'{name}': \"{field}\" is to be text, and not empty")
     return value
 
 
@@ -181,7 +181,7 @@ def _labels(spec: dict, name: str) -> tuple[list[str], list[str | None]]:
         raise QuestionError(f"choice question '{name}' has {len(labels)} options, not 1 to {MAX_OPTIONS}")
     for i, label in enumerate(labels):
         if label in labels[:i]:
-            raise QuestionError(f"choice question '{name}' repeats the option '{label}'")
+            raise QuestionError(f"'{name}' lists the option '{label}' twice")
     return labels, told
 
 
@@ -192,7 +192,7 @@ def _levels(spec: dict, name: str) -> list[str]:
     if any(not isinstance(level, str) or not level for level in levels):
         raise QuestionError(f"'{name}' has a level that is empty or no text")
     if not MIN_LEVELS <= len(levels) <= MAX_LEVELS:
-        raise QuestionError(f"score question '{name}' needs {MIN_LEVELS} to {MAX_LEVELS} levels")
+        raise QuestionError(f"'{name}' is a score, which has from {MIN_LEVELS} to {MAX_LEVELS} levels")
     return levels
 
 
@@ -202,7 +202,7 @@ def _criteria(spec: dict, name: str) -> list[str]:
     criteria = spec["criteria"]
     if (not isinstance(criteria, dict) or set(criteria) != {"true", "false"}
             or not all(isinstance(v, str) for v in criteria.values())):
-        raise QuestionError(f'the criteria of noul question \'{name}\' are {{"true": "...", "false": "..."}}')
+        raise QuestionError(f"'{name}' gives criteria that aren't an object of two texts, \"true\" and \"false\"")
     return [criteria["true"], criteria["false"]]
 
 
@@ -212,16 +212,16 @@ _OWN_FIELD = {NOUL: "criteria", SCORE: "levels", CHOICE: "options"}
 
 def _named_question(name: str, spec) -> Question:
     if not NAME_PATTERN.fullmatch(name):
-        raise QuestionError(f"question name '{name}' must be 1-64 letters, digits or underscores")
+        raise QuestionError(f"'{name}' can't be the name of a question: up to 64 of A-Z, a-z, 0-9 and _ can")
     if not isinstance(spec, dict):
-        raise QuestionError(f"question '{name}' must be an object")
+        raise QuestionError(f"'{name}' is no object that says what to ask")
     kind = _text_field(spec, "type", name).lower()
     if kind not in KINDS:
-        raise QuestionError(f"question '{name}' has unknown type '{kind}': use one of {', '.join(KINDS)}")
+        raise QuestionError(f"'{name}' is of type '{kind}', but there are only {', '.join(KINDS)}")
     query = _text_field(spec, "question", name)
     for field in spec:
         if field not in ("type", "question", _OWN_FIELD[kind]):
-            raise QuestionError(f"question '{name}' ({kind}) has an unexpected field \"{field}\"")
+            raise QuestionError(f"a {kind} question has no field \"{field}\" ('{name}')")
     if kind == CHOICE:
         labels, told = _labels(spec, name)
         return Question(kind, query, tuple(labels), tuple(told), name)
@@ -237,9 +237,9 @@ def parse_questions(questions: str | dict) -> QuestionSet:
         try:
             questions = json.loads(questions)
         except ValueError as error:
-            raise QuestionError(f"the questions are not valid JSON: {error}") from None
+            raise QuestionError(f"the question set can't be read as JSON: {error}") from None
     if not isinstance(questions, dict) or not questions:
-        raise QuestionError("the questions must be a non-empty JSON object of name to question")
+        raise QuestionError("a question set is an object with a question under each name, one at least")
     if len(questions) > MAX_QUESTIONS:
         raise QuestionError(f"{len(questions)} questions are more than the {MAX_QUESTIONS} of one request")
     return QuestionSet(tuple(_named_question(name, spec) for name, spec in questions.items()))

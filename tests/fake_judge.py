@@ -14,19 +14,22 @@ POISON = "poisoned"  # in an item: the whole request is refused
 
 
 def verdict(kind: str, entry: dict, item) -> dict:
-    """Yes/no: is the question's last word in the item. Choice and score: the option that the item's size falls on."""
+    """Yes/no: does the item hold a word of the question that is as long as its longest. Choice and score: the option that the
+    item's letters, added up, fall on."""
     written = json.dumps(item, ensure_ascii=False, separators=(",", ":"))
     if kind != "noul":
         names = list(entry.get("levels") or entry["labels"])
-        winner = names[len(written) % len(names)]
+        winner = names[sum(map(ord, written)) % len(names)]
         shares = {name: 1.0 if name == winner else 0.0 for name in names}
         if kind == "score":
             return {"type": "score", "score": float(names.index(winner)), "confidence": max(shares.values()),
                     "legend": dict(zip(map(str, range(len(names))), names)),
                     "probabilities": dict(zip(map(str, range(len(names))), shares.values()))}
         return {"type": "choice", "choice": winner, "confidence": max(shares.values()), "probabilities": shares,
-                "told": len([d for d in entry["labels"].values() if d])}
-    return {"type": "noul", "noul": 0.9 if entry["question"].rsplit(" ", 1)[-1].lower() in written.lower() else 0.1}
+                "explained": sorted(name for name, text in entry["labels"].items() if text)}
+    words = entry["question"].lower().split()
+    longest = {word for word in words if len(word) == max(map(len, words))}
+    return {"type": "noul", "noul": 0.9 if any(word in written.lower() for word in longest) else 0.1}
 
 
 def strict(request: str, timeout: float) -> str:

@@ -8,10 +8,10 @@ from rowjudge.config import JudgeConfig
 from rowjudge.functions import answers as A
 from rowjudge.functions import judging as J
 from rowjudge.functions.payload import row_payload, value_payload
-from rowjudge.questions import QuestionError
+from rowjudge.questions import QuestionError, parse_questions
 
 TEAMS = ["billing", "technical", "sales"]
-CODER = "the person writes compilers"
+CODER = "the person builds sailboats"
 
 
 def column(df, expression):
@@ -25,8 +25,8 @@ def test_probability_and_threshold(people):
     assert people.where(J.holds(p, CODER, 0.95)).count() == 0
     assert people.where(J.holds(p, CODER, cfg=JudgeConfig(threshold=0.05))).count() == 3
     assert people.where(J.holds(p, CODER, F.lit(None).cast("double"))).count() == 1
-    assert people.where(J.holds(row_payload(people, ["name"]), "the person is Ada")).count() == 1
-    assert people.where(J.holds(value_payload(people, "name"), "the name is Ada")).count() == 1
+    assert people.where(J.holds(row_payload(people, ["name"]), "the person is Ina")).count() == 1
+    assert people.where(J.holds(value_payload(people, "name"), "the name is Ina")).count() == 1
 
 
 def test_choice_score_confidence(people):
@@ -41,8 +41,8 @@ def test_choice_score_confidence(people):
 
 
 def test_choice_at_a_known_length(spark):
-    # the compact payload {"name":"Ada"} has 14 characters
-    df = spark.createDataFrame([(1, "Ada")], "id int, name string")
+    # the compact payload {"name":"Ina"} has 14 characters
+    df = spark.createDataFrame([(1, "Ina")], "id int, name string")
     assert column(df, J.choice(row_payload(df, ["name"]), "which team?", ["billing", "sales"])) == ["billing"]
     assert column(df, J.choice(row_payload(df, ["name"]), "which team?", "[billing, technical]")) == ["billing"]
 
@@ -86,6 +86,28 @@ def test_options_in_a_column(spark):
         column(df, J.choice(p, "?", F.col("t")))
 
 
+def test_options_of_any_type_in_a_column(spark):
+    df = spark.sql("""SELECT id, t, array('a', 'b', 'c') AS l, map('a', 'first', 'b', NULL, 'c', '') AS m, named_struct('a', 1, 'b', CAST(NULL AS INT), 'c', 2) AS s,
+        parse_json('["a", "b", "c"]') AS v, parse_json('{"a": "first", "b": null, "c": "x"}') AS w FROM VALUES (1, 'x'), (2, 'yy'), (3, 'zzz') AS d(id, t)""")
+    p = value_payload(df, "t")
+    want = column(df, J.choice(p, "?", ["a", "b", "c"]))
+    for name in "lmsvw":
+        assert column(df, J.choice(p, "?", F.col(name))) == want, name
+    assert column(df, J.score_norm(p, "?", F.col("m"))) == column(df, J.score_norm(p, "?", ["a", "b", "c"]))
+    empty = spark.sql("SELECT 1 AS id, 'x' AS t, CAST(map() AS MAP<STRING, STRING>) AS m")
+    with pytest.raises(Exception, match="at least one option"):
+        column(empty, J.choice(value_payload(empty, "t"), "?", F.col("m")))
+
+
+def test_descriptions_are_part_of_a_question(spark):
+    told = [json.loads(spark.sql(f"SELECT {m} AS m").select(J.question_text("choice", "which?", F.col("m"))).first()[0])
+            for m in ("map('a', 'x', 'b', NULL)", "map('a', 'y', 'b', NULL)", "array('a', 'b')")]
+    assert told[0] == {"q": {"type": "choice", "question": "which?", "options": {"a": "x", "b": None}}}
+    assert len({parse_questions(t).set_key for t in told}) == 3
+    level = spark.range(1).select(J.question_text("SCORE", F.lit('how "far"?'), F.array(F.lit("l"), F.lit("h")), name="far")).first()[0]
+    assert parse_questions(level).questions[0].options == ("l", "h") and parse_questions(level).questions[0].query == 'how "far"?'
+
+
 def test_ask_keeps_question_order(people):
     questions = {"team": {"type": "choice", "question": "which team?", "options": TEAMS},
                  "coder": {"type": "noul", "question": CODER, "criteria": {"true": "y", "false": "n"}},
@@ -139,7 +161,7 @@ def test_kind_and_questions_per_row(people):
     assert [g and json.loads(g)["type"] for g in got] == ["noul", "choice", None]
     with pytest.raises(Exception, match="unknown question kind rubric"):
         column(people, J.evaluate(p, CODER, F.lit("rubric"), ["a"]))
-    one = '{"b": {"type": "noul", "question": "is poetry"}, "a": {"type": "choice", "question": "?", "options": ["x"]}}'
+    one = '{"b": {"type": "noul", "question": "is murals"}, "a": {"type": "choice", "question": "?", "options": ["x"]}}'
     asked = J.with_asked(people, p, F.when(F.col("id") == 3, one)).orderBy("id")
     assert [r.answers for r in asked.collect()][:2] == [None, None]
     answer = json.loads(asked.collect()[2].answers)
@@ -148,9 +170,9 @@ def test_kind_and_questions_per_row(people):
 
 def test_session_threshold_acts(spark, people):
     payload = row_payload(people)
-    assert column(people, J.holds(payload, "the person writes compilers"))[0] is True
+    assert column(people, J.holds(payload, "the person builds sailboats"))[0] is True
     spark.conf.set("rowjudge.threshold", "0.95")
     try:
-        assert column(people, J.holds(payload, "the person writes compilers"))[0] is False
+        assert column(people, J.holds(payload, "the person builds sailboats"))[0] is False
     finally:
         spark.conf.unset("rowjudge.threshold")

@@ -49,7 +49,7 @@ def test_a_model_refuses_other_questions(people):
 
 
 def test_needles(people):
-    payload, judge = value_payload(people, "note"), RuleJudge({"q": "SHOES"})
+    payload, judge = value_payload(people, "note"), RuleJudge({"q": "BANJO"})
     run = judge_rows(people, payload, single(make_question("anything")), judge)
     got = [r[0] for r in run.rows.orderBy("id").select(A.number_field(F.col("answers")[0], "noul")).collect()]
     assert got == [0.1, 0.9, 0.1]
@@ -57,7 +57,7 @@ def test_needles(people):
 
 def test_rows_judged_as_they_arrive(spark, tmp_path):
     source, out, store = str(tmp_path / "in"), str(tmp_path / "out"), AnswerStore(spark, str(tmp_path / "store"))
-    question = single(make_question("the person writes poetry"))
+    question = single(make_question("the person paints murals"))
 
     def arrive(*texts):
         spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).write.mode("append").parquet(source)
@@ -66,9 +66,9 @@ def test_rows_judged_as_they_arrive(spark, tmp_path):
         query = writer.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
         query.awaitTermination()
 
-    arrive("writes poetry", "sells shoes", "sells shoes")
-    arrive("writes poetry", "flies")
+    arrive("paints murals", "plays banjo", "plays banjo")
+    arrive("paints murals", "flies")
     rows = spark.read.parquet(out).select("batch_id", "t", A.number_field(F.col("answers")[0], "noul").alias("p"))
-    assert sorted(map(tuple, rows.collect())) == [(0, "sells shoes", 0.1), (0, "sells shoes", 0.1),
-                                                  (0, "writes poetry", 0.9), (1, "flies", 0.1), (1, "writes poetry", 0.9)]
-    assert store.log().count() == 3  # poetry was known when it came again
+    assert sorted(map(tuple, rows.collect())) == [(0, "paints murals", 0.9), (0, "plays banjo", 0.1), (0, "plays banjo", 0.1),
+                                                  (1, "flies", 0.1), (1, "paints murals", 0.9)]
+    assert store.log().count() == 3  # murals was known when it came again

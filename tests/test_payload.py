@@ -9,9 +9,9 @@ from rowjudge.functions.payload import estimate_tokens, row_payload, text_payloa
 
 def test_whole_row_subset_and_scalar(people):
     ada = people.where("id = 1")
-    assert ada.select(row_payload(ada)).first()[0] == '{"id":1,"name":"Ada","note":"writes compilers"}'
-    assert ada.select(row_payload(ada, ["name"])).first()[0] == '{"name":"Ada"}'
-    assert ada.select(value_payload(ada, "name")).first()[0] == '"Ada"'
+    assert ada.select(row_payload(ada)).first()[0] == '{"id":1,"name":"Ina","note":"builds sailboats"}'
+    assert ada.select(row_payload(ada, ["name"])).first()[0] == '{"name":"Ina"}'
+    assert ada.select(value_payload(ada, "name")).first()[0] == '"Ina"'
     assert ada.select(value_payload(ada, "id")).first()[0] == "1"
 
 

@@ -20,8 +20,8 @@ from rowjudge.sources.reply_sink import ReplyWriter, supported
 from tests.fake_judge import strict
 
 STRICT = CallableJudge(strict)
-POETRY = single(make_question("the person writes poetry"))
-CODER = single(make_question("the person writes compilers"))
+MURALS = single(make_question("the person paints murals"))
+CODER = single(make_question("the person builds sailboats"))
 
 
 @pytest.fixture
@@ -68,7 +68,7 @@ def test_duplicates_are_sent_once(spark):
 
 def test_scopes_pay_apart(people, kit):
     payload = row_payload(people)
-    sent = [judge_rows(people, payload, POETRY, STRICT, scope=s, **kit).report["rows_sent"] for s in ("101", "101", "202", "")]
+    sent = [judge_rows(people, payload, MURALS, STRICT, scope=s, **kit).report["rows_sent"] for s in ("101", "101", "202", "")]
     assert sent == [3, 0, 3, 3]
     assert {(r.scope, r.requests) for r in accounting.scope_spend(kit["ledger"].batches()).where("model IS NOT NULL").collect()} \
         == {("101", 1), ("202", 1), ("", 1)}
@@ -76,40 +76,40 @@ def test_scopes_pay_apart(people, kit):
 
 def test_scope_from_a_column(people):
     run = judge_rows(people.withColumn("who", F.lit("x")).unionByName(people.withColumn("who", F.lit("y"))),
-                     value_payload(people, "note"), POETRY, STRICT, scope=F.col("who"))
+                     value_payload(people, "note"), MURALS, STRICT, scope=F.col("who"))
     assert counts(run, "rows_sent", "requests") == (6, 2)  # a request never mixes two scopes
 
 
 def test_another_model_is_another_answer(people, kit):
     def sent(model):
-        return judge_rows(people, row_payload(people), POETRY, STRICT, cfg=JudgeConfig(model=model), **kit).report["rows_sent"]
+        return judge_rows(people, row_payload(people), MURALS, STRICT, cfg=JudgeConfig(model=model), **kit).report["rows_sent"]
 
     assert [sent("one"), sent("two"), sent("one")] == [3, 3, 0]
 
 
 def test_batch_size_and_budget(people):
     def requests(**settings):
-        return judge_rows(people, row_payload(people), POETRY, STRICT, cfg=JudgeConfig(**settings)).report["requests"]
+        return judge_rows(people, row_payload(people), MURALS, STRICT, cfg=JudgeConfig(**settings)).report["requests"]
 
     assert requests() == 1 and requests(batch_size=1) == 3 and requests(max_batch_tokens=1) == 3
 
 
 def test_several_questions_are_one_request(people, kit):
     asked = parse_questions({"team": {"type": "choice", "question": "which team?", "options": {"a": "x", "b": None}},
-                             "coder": {"type": "noul", "question": "the person writes compilers"},
+                             "coder": {"type": "noul", "question": "the person builds sailboats"},
                              "senior": {"type": "score", "question": "how senior?", "levels": ["l", "h"]}})
     run = judge_rows(people, row_payload(people), asked, STRICT, **kit)
     assert counts(run, "requests", "rows_sent") == (1, 3)
     names = F.array(*[F.lit(n) for n in asked.names])
     whole = json.loads(run.rows.orderBy("id").select(A.answer_object(names, F.col("answers"))).first()[0])
-    assert list(whole) == ["team", "coder", "senior"] and whole["coder"]["noul"] == 0.9 and whole["team"]["told"] == 1
+    assert list(whole) == ["team", "coder", "senior"] and whole["coder"]["noul"] == 0.9 and whole["team"]["explained"] == ["a"]
     assert judge_rows(people, row_payload(people), asked, STRICT, **kit).report["rows_sent"] == 0
 
 
 def test_question_sets_from_a_column(people):
-    one = '{"coder": {"type": "noul", "question": "the person writes compilers"}}'
-    same = '{ "coder" : {"question": "the person writes compilers", "type": "NOUL"} }'
-    two = '{"coder": {"type": "noul", "question": "the person writes compilers"}, "s": {"type": "noul", "question": "x shoes"}}'
+    one = '{"coder": {"type": "noul", "question": "the person builds sailboats"}}'
+    same = '{ "coder" : {"question": "the person builds sailboats", "type": "NOUL"} }'
+    two = '{"coder": {"type": "noul", "question": "the person builds sailboats"}, "s": {"type": "noul", "question": "x banjo"}}'
     asked = F.when(F.col("id") == 1, two).when(F.col("id") == 2, one).otherwise(same)
     run = judge_rows(people, row_payload(people), asked, STRICT)
     assert counts(run, "requests", "rows_sent") == (2, 3)  # differing text of one set is one set
@@ -117,13 +117,13 @@ def test_question_sets_from_a_column(people):
     run = judge_rows(people, F.lit('"x"'), F.when(F.col("id") == 2, one).when(F.col("id") == 3, same), STRICT)
     assert counts(run, "requests", "rows_sent", "rows_null", "rows_deduped") == (1, 1, 1, 1)
     assert noul(run) == [None, 0.1, 0.1]
-    with pytest.raises(Exception, match="unexpected field"):
+    with pytest.raises(Exception, match="has no field"):
         judge_rows(people, row_payload(people), F.lit('{"q": {"type": "noul", "question": "?", "x": 1}}'), STRICT)
 
 
 def test_a_failed_set_keeps_what_was_paid(people, kit):
     ask = '{"q": {"type": "noul", "question": "%s"}}'
-    asked = F.when(F.col("id") == 1, ask % "this one is forbidden").otherwise(ask % "the person writes compilers")
+    asked = F.when(F.col("id") == 1, ask % "this one is forbidden").otherwise(ask % "the person builds sailboats")
     with pytest.raises(JudgingFailed, match="1 rows got no answer: refused"):
         judge_rows(people, row_payload(people), asked, STRICT, **kit)
     assert [(r.error, json.loads(r.payload)["id"]) for r in kit["ledger"].dead_letters().collect()] == [("refused", 1)]
@@ -146,12 +146,12 @@ def test_attempts(people, kit, question, attempts, error):
 @pytest.mark.parametrize("size", [1, 2, 10])
 def test_only_the_refused_row_dies(spark, kit, size):
     df = spark.range(1, 11).select("id", F.when(F.col("id") == 4, "a poisoned row").otherwise(F.concat(F.lit("row "), "id")).alias("t"))
-    run = judge_rows(df, value_payload(df, "t"), POETRY, STRICT, cfg=JudgeConfig(batch_size=size), on_failure="keep", **kit)
+    run = judge_rows(df, value_payload(df, "t"), MURALS, STRICT, cfg=JudgeConfig(batch_size=size), on_failure="keep", **kit)
     assert kit["ledger"].dead_letters().count() == 1 and run.report["reclaimed"] == (0 if size == 1 else size)
     assert [r.id for r in run.rows.where("answers IS NULL").collect()] == [4]
     sizes = [r.n_items for r in kit["ledger"].batches().where("status = 'failed'").collect()]
     assert len(sizes) == len(set(sizes))  # what was refused for good is never sent whole again
-    again = judge_rows(df, value_payload(df, "t"), POETRY, STRICT, on_failure="keep", **kit)
+    again = judge_rows(df, value_payload(df, "t"), MURALS, STRICT, on_failure="keep", **kit)
     assert counts(again, "cache_hits", "rows_sent") == (9, 1)
 
 
@@ -171,7 +171,7 @@ def test_a_batch_refused_for_one_row_recovers_the_rest(spark, tmp_path):
         return strict(request, timeout)
 
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
-    run = judge_rows(df, value_payload(df, "t"), POETRY, CallableJudge(refuses_once))
+    run = judge_rows(df, value_payload(df, "t"), MURALS, CallableJudge(refuses_once))
     assert counts(run, "reclaimed", "requests", "retries") == (2, 1, 1) and noul(run) == [0.1, 0.1]
 
 
@@ -182,9 +182,9 @@ def test_caps_refuse_before_anything_is_sent(prompts, spark, kit):
     assert kit["store"].latest().count() == 0 and kit["ledger"].batches().count() == 0
     note = spark.sql("SELECT 1 AS id, repeat('x', 5000) AS note")
     capped = {"max_payload_bytes_per_run": 2100}
-    judge_rows(note, row_payload(note, ["note"], max_value_chars=2000), POETRY, STRICT, cfg=JudgeConfig(**capped))
+    judge_rows(note, row_payload(note, ["note"], max_value_chars=2000), MURALS, STRICT, cfg=JudgeConfig(**capped))
     with pytest.raises(CapExceeded, match="max_payload_bytes_per_run"):
-        judge_rows(note, row_payload(note, ["note"], max_value_chars=0), POETRY, STRICT, cfg=JudgeConfig(**capped))
+        judge_rows(note, row_payload(note, ["note"], max_value_chars=0), MURALS, STRICT, cfg=JudgeConfig(**capped))
     # hits and duplicates do not count
     judge_rows(prompts, payload, PROMPT_INTENT, STRICT, **kit)
     assert judge_rows(prompts, payload, PROMPT_INTENT, STRICT, cfg=JudgeConfig(max_rows_per_run=1), **kit).report["cache_hits"] == 30
@@ -196,10 +196,10 @@ def test_readiness_is_asked_only_when_there_is_something_to_send(people, kit):
 
     keyless = CallableJudge(strict, ready=no_key)
     with pytest.raises(NotReady):
-        judge_rows(people, row_payload(people), POETRY, keyless, **kit)
-    judge_rows(people, row_payload(people), POETRY, STRICT, **kit)
-    assert judge_rows(people, row_payload(people), POETRY, keyless, **kit).report["cache_hits"] == 3
-    assert judge_rows(people, F.lit(None).cast("string"), POETRY, keyless).report["rows_null"] == 3
+        judge_rows(people, row_payload(people), MURALS, keyless, **kit)
+    judge_rows(people, row_payload(people), MURALS, STRICT, **kit)
+    assert judge_rows(people, row_payload(people), MURALS, keyless, **kit).report["cache_hits"] == 3
+    assert judge_rows(people, F.lit(None).cast("string"), MURALS, keyless).report["rows_null"] == 3
 
 
 def test_several_queries_share_one_flight(people):
@@ -214,8 +214,8 @@ def test_several_queries_share_one_flight(people):
 
 def test_counters_add_up(spark, kit):
     df = spark.range(100).select("id", F.when(F.col("id") % 10 != 0, (F.col("id") % 7).cast("string")).alias("t"))
-    judge_rows(df.where("t < 3"), value_payload(df, "t"), POETRY, **kit)
-    report = judge_rows(df, value_payload(df, "t"), POETRY, **kit).report
+    judge_rows(df.where("t < 3"), value_payload(df, "t"), MURALS, **kit)
+    report = judge_rows(df, value_payload(df, "t"), MURALS, **kit).report
     parts = [report[n] for n in ("rows_null", "cache_hits", "rows_sent", "shared_in_flight", "rows_deduped")]
     assert report["rows_in"] == 100 == sum(parts) and report["rows_null"] == 10 and report["rows_sent"] == 4
 
@@ -317,10 +317,10 @@ def test_a_worker_that_dies_costs_its_last_chunk_only(spark, kit, tmp_path):
     df = spark.range(60).select("id", F.concat(F.lit("row "), "id").alias("t"))
     cfg = JudgeConfig(batch_size=1, concurrency=1, batches_per_task=10)
     with pytest.raises(Exception, match="(?i)worker|crash|exit"):
-        judge_rows(df, value_payload(df, "t"), POETRY, CallableJudge(dies), cfg=cfg, **kit)
+        judge_rows(df, value_payload(df, "t"), MURALS, CallableJudge(dies), cfg=cfg, **kit)
     deadly.unlink()
     assert kit["store"].latest().count() == 20
-    run = judge_rows(df, value_payload(df, "t"), POETRY, CallableJudge(dies), cfg=cfg, **kit)
+    run = judge_rows(df, value_payload(df, "t"), MURALS, CallableJudge(dies), cfg=cfg, **kit)
     assert counts(run, "cache_hits", "rows_sent") == (20, 40) and run.rows.where("answers IS NULL").count() == 0
     assert len(log.read_text().splitlines()) == 25 + 40
     assert len(kit["store"].runs()) == 2  # one append per run
