@@ -427,6 +427,18 @@ def _cross_pairs(left: DataFrame, sets: DataFrame, cfg: JoinConfig) -> DataFrame
     return pairs
 
 
+def _numbered(reps: DataFrame) -> DataFrame:
+    """``reps`` (h1, h2, doc) with ``id``, a number for each set: its document's, or where that names another set already (rows that
+    repeat an id) one beyond all documents'. So the numbers, and with them the work, are the same in every run of unique ids."""
+    firsts = reps.groupBy("doc").agg(F.min(F.struct("h1", "h2")).alias("f")).select("f.h1", "f.h2", F.lit(True).alias("_own"))
+    low, high = reps.agg(F.min("doc"), F.max("doc")).first()
+    low, high = low or 0, high or 0
+    above = 2**63 - 1 - high > low + 2**63  # on the side where there is more room
+    other = F.lit(high + 1) + F.monotonically_increasing_id() if above else F.lit(low - 1) - F.monotonically_increasing_id()
+    numbered = reps.join(firsts, ["h1", "h2"], "left")
+    return stored(numbered.select("h1", "h2", "doc", F.when(F.col("_own"), F.col("doc")).otherwise(other).alias("id")), "numbered")
+
+
 def jaccard_classes(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
     """doc_id, n_shingles, component_id of every row, and ``tag``, a hash of its text. Sets have numbers of their own, so rows that
     repeat an id with another text are compared like any others."""
@@ -436,7 +448,7 @@ def jaccard_classes(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFram
     every = stored(tagged.mapInArrow(_describe(cfg, key, kind), "doc_id long, tag long, n long, h1 long, h2 long, prefix binary, rare binary, "
                                      "sketch binary"), "sets")
     reps = every.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc")).where("doc IS NOT NULL")
-    reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
+    reps = _numbered(stored(reps, "reps"))
     sets = every.join(reps, (every["h1"] == reps["h1"]) & (every["h2"] == reps["h2"]) & (F.col("doc_id") == F.col("doc")))
     sets = stored(sets.select("id", "doc", "n", every["h1"], every["h2"], "prefix", "rare", "sketch").dropDuplicates(["id"]), "distinct")
 
