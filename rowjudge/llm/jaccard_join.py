@@ -440,7 +440,8 @@ def _numbered(reps: DataFrame) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row, and ``tag``, a hash of its text. Sets have numbers of their own, so rows that
+    """doc_id, n_shingles, component_id of every row, ``tag``, a hash of its text, and ``class``, a number that no
+    two classes share (rows that repeat an id may give two classes one component_id). Sets have numbers of their own, so rows that
     repeat an id with another text are compared like any others."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     key, kind = common_shingles(rows, cfg)
@@ -476,6 +477,6 @@ def jaccard_classes(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFram
     numbered = reps.join(label, F.col("id") == F.col("node"), "left").select("h1", "h2", "doc", F.coalesce("component_id", "id").alias("class"))
     numbered = stored(numbered, "classes")
     least = numbered.groupBy("class").agg(F.min("doc").alias("component_id"))
-    named = numbered.join(least, "class").select("h1", "h2", "component_id")
+    named = numbered.join(least, "class").select("h1", "h2", "component_id", "class")
     out = every.select("doc_id", "tag", "n", F.when(F.col("n") > 0, F.col("h1")).alias("h1"), "h2").join(named, ["h1", "h2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "tag")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "tag", "class")

@@ -113,7 +113,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("tag")
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("tag", "class")
 
 
 ORACLE_SQL["op3_jaccard"] = r"""
