@@ -45,7 +45,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     classes = jaccard_join.jaccard_classes(keyed.select(F.col(key).alias("doc_id"), "text"))
     wordless = F.col("n_shingles") == 0
     apart = F.when(wordless, F.struct("doc_id", "tag"))
-    first = classes.groupBy(F.when(~wordless, F.col("component_id")).alias("class"), apart.alias("apart")).agg(F.min(F.struct("doc_id", "tag")).alias("first"))
+    first = classes.groupBy(F.when(~wordless, F.col("class")).alias("class"), apart.alias("apart")).agg(F.min(F.struct("doc_id", "tag")).alias("first"))
     first = first.select(F.col("first.doc_id").alias(key), F.col("first.tag").alias(tag))
     return keyed.join(first, [key, tag]).dropDuplicates([key, tag]).select(*docs.columns)
 
