@@ -1,4 +1,4 @@
-"""A yes/no judge that learns: multinomial naive Bayes over words, as grouping and joining.
+"""Judges that learn: multinomial naive Bayes over words, as grouping and joining, for yes/no questions and for choices.
 
 Words are what white space separates, of whole texts. Training counts each word once per occurrence in texts of either label;
 scoring joins a text's word counts with those. A word that half of all texts hold is combined per text first and joins by
@@ -8,11 +8,13 @@ salted copies of its row, so no task gets it whole. :class:`rowjudge.judges.mode
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowjudge.operators.lookup import attach, hot_keys
+from rowjudge.questions import MAX_OPTIONS
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -62,3 +64,54 @@ def train(labelled: DataFrame, key: str, text: str, label: str) -> NaiveBayes:
     texts = labelled.agg(F.count_if(F.col(label)), F.count_if(~F.col(label))).first()
     words = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_yes"), F.lit(0)), F.coalesce(F.sum("n_no"), F.lit(0))).first()
     return NaiveBayes(counts, *words, *texts)
+
+
+@dataclass(frozen=True)
+class LabelBayes:
+    """weights: (word, w), where ``w`` has an entry per label, as the prior has."""
+
+    labels: tuple[str, ...]
+    weights: DataFrame
+    prior: tuple[float, ...]
+
+    def probabilities(self, texts: DataFrame, key: str, text: str) -> DataFrame:
+        """(key, n_known, probabilities by label) of every text; texts without a known word get the prior."""
+        found = words_of(texts, key, text)
+        spread = hot_keys(found.groupBy("word").agg(F.count(F.lit(1)).alias("n_rows")), "word")
+        weighed = attach(found, self.weights, "word", spread, salt=F.xxhash64(key)).where(F.col("w").isNotNull())
+        sums = weighed.groupBy(key).agg(F.sum("n").alias("n_known"), *[
+            F.sum(F.col("n") * F.col("w")[i]).alias(f"_e{i}") for i in range(len(self.labels))])
+        logs = F.array(*[F.lit(p) + F.coalesce(F.col(f"_e{i}"), F.lit(0.0)) for i, p in enumerate(self.prior)])
+        scored = texts.select(key).join(sums, key, "left").select(key, F.coalesce("n_known", F.lit(0)).alias("n_known"), logs.alias("_logs"))
+        shares = scored.withColumn("_p", F.transform("_logs", lambda x: F.exp(x - F.array_max("_logs"))))
+        total = F.aggregate("_p", F.lit(0.0), lambda a, x: a + x)
+        labels = F.array(*map(F.lit, self.labels))
+        return shares.select(key, "n_known", F.map_from_arrays(labels, F.transform("_p", lambda x: x / total)).alias("probabilities"))
+
+
+def likeliest(probabilities: Column) -> Column:
+    """(label, probability) of the greatest probability; those that agree to nine places tie, and the smallest label wins."""
+    ranked = F.transform(F.map_entries(probabilities), lambda e: F.struct(
+        (-F.round(e["value"], 9)).alias("order"), e["key"].alias("label"), e["value"].alias("probability")))
+    return F.array_min(ranked)
+
+
+def label_table(labelled: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """(word, label, n) over texts that have a label."""
+    found = words_of(labelled.where(F.col(label).isNotNull()).withColumn("_key", F.struct(key, label)), "_key", text)
+    return found.groupBy("word", F.col(f"_key.{label}").alias("label")).agg(F.sum("n").alias("n"))
+
+
+def train_labels(labelled: DataFrame, key: str, text: str, label: str) -> LabelBayes:
+    """Two totals a label reach the driver; there may be as many labels as a choice has options. Texts without a label teach nothing."""
+    counts = label_table(labelled, key, text, label)
+    texts = labelled.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("texts"))
+    words = counts.groupBy("label").agg(F.sum("n").alias("words"))
+    totals = sorted(texts.join(words, "label", "left").limit(MAX_OPTIONS + 1).collect())
+    if not 0 < len(totals) <= MAX_OPTIONS:
+        raise ValueError(f"a choice is learned from 1 to {MAX_OPTIONS} labels")
+    by_word = counts.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("n"))
+    known, n_texts = by_word.count(), sum(t.texts for t in totals)
+    weights = [F.log((F.coalesce(F.col("n")[t.label], F.lit(0)) + 1) / F.lit(float((t.words or 0) + known))) for t in totals]
+    prior = tuple(log((t.texts + 1) / (n_texts + len(totals))) for t in totals)
+    return LabelBayes(tuple(t.label for t in totals), by_word.select("word", F.array(*weights).alias("w")), prior)
