@@ -8,11 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rowjudge.config import CONF_PREFIX
 from rowjudge.functions import answers as A
 from rowjudge.functions.judging import with_prompt_intent
 from rowjudge.functions.payload import row_payload, value_payload
 from rowjudge.judges.callable import CallableJudge, JudgeError
 from rowjudge.operators.dedupe import with_entry_key
+from rowjudge.operators.guards import CapExceeded
 from rowjudge.operators.requests import request_body
 from rowjudge.plans import accounting
 from rowjudge.plans.run import judge_rows
@@ -332,6 +334,72 @@ def scope_rerun(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.runs().select(F.col("seq").alias("phase"), "scope", "rows_sent", "cache_hits", "rows_deduped")
 
 
+@query(f"""
+WITH n AS (SELECT count(*) AS sent FROM ({USER_PAYLOADS_SQL})), a AS (SELECT count(*) AS rows_in FROM conversations WHERE role = 'user')
+SELECT phase::BIGINT AS phase, model, CASE WHEN fresh THEN sent ELSE 0 END AS rows_sent,
+  CASE WHEN fresh THEN 0 ELSE rows_in END AS cache_hits, CASE WHEN fresh THEN rows_in - sent ELSE 0 END AS rows_deduped
+FROM n, a, (VALUES (1, 'small', true), (2, 'large', true), (3, 'small', false)) t(phase, model, fresh)""")
+def model_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """The same questions to one model, to another, and to the first again: answers of one model never serve the other."""
+    turns = table(spark, sf, "conversations").where(F.col("role") == "user")
+    folder = f"{files.scratch_dir(spark)}/models-{uuid.uuid4().hex}"
+    store, ledger = AnswerStore(spark, f"{folder}/store"), Ledger(spark, f"{folder}/ledger")
+    for model in ("small", "large", "small"):
+        judge_rows(turns, value_payload(turns, "text"), PROMPT_INTENT, ON_AT, store=store, ledger=ledger, cfg=CFG.with_(model=model))
+    return ledger.runs().select(F.col("seq").alias("phase"), "model", "rows_sent", "cache_hits", "rows_deduped")
+
+
+@query(f"""
+WITH n AS (SELECT count(*) AS sent FROM ({USER_PAYLOADS_SQL}))
+SELECT sent - 1 AS cap, true AS refused, CAST(NULL AS BIGINT) AS rows_sent FROM n UNION ALL SELECT sent, false, sent FROM n""")
+def caps_from_settings(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs under a cap that ``SET`` gives: one row too low, so that the run is refused and no book knows it, then just enough."""
+    turns = table(spark, sf, "conversations").where(F.col("role") == "user")
+    ledger = Ledger(spark, f"{files.scratch_dir(spark)}/caps-{uuid.uuid4().hex}")
+    payload, name, refused = value_payload(turns, "text"), f"{CONF_PREFIX}max_rows_per_run", []
+    known = turns.agg(F.count_distinct(payload)).first()[0]
+    before = spark.conf.get(name, None)
+    try:
+        for cap in (known - 1, known):
+            spark.conf.set(name, str(cap))
+            try:
+                judge_rows(turns, payload, PROMPT_INTENT, ON_AT, scope=str(cap), ledger=ledger)
+                refused.append((cap, False))
+            except CapExceeded:
+                refused.append((cap, True))
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    runs = ledger.runs().select(F.col("scope").cast("bigint").alias("cap"), "rows_sent")
+    return spark.createDataFrame(refused, "cap bigint, refused boolean").join(runs, "cap", "left")
+
+
+def careless_reply(request: str, timeout: float) -> str:
+    """The rules as a batch function with faults by the length of an item: one answer left out, of the wrong type, or null."""
+    reply = json.loads(answer_all(request, timeout))
+    for number, text in json.loads(request)["state"]["items"].items():
+        fault = len(json.dumps(text, ensure_ascii=False)) % 7
+        if fault == 0:
+            del reply["answers"][f"item_{number}_malicious"]
+        elif fault == 1:
+            reply["answers"][f"item_{number}_intent"]["choice"] = 1
+        elif fault == 2:
+            reply["answers"][f"item_{number}_intent"] = None
+    return json.dumps(reply)
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {TEXT_PAYLOAD} AS payload FROM documents)
+SELECT doc_id, CASE WHEN length(payload) % 7 > 2 THEN {intent_sql("payload")} END AS intent,
+  CASE WHEN length(payload) % 7 > 0 THEN {noul_sql("payload", "@")} END AS malicious_probability FROM d""")
+def careless_judge(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies that leave an answer out count as failed and are split until just that row is left without answers; answers of the
+    wrong type or null are taken as they are, and their fields are NULL, never a default."""
+    run = judge_rows(documents(spark, sf), F.col("payload"), PROMPT_INTENT, CallableJudge(careless_reply), cfg=FLAKY, on_failure="keep",
+                     fields={"intent": lambda answers: A.text_field(answers[0], "choice"),
+                             "malicious_probability": lambda answers: A.number_field(answers[1], "noul")})
+    return run.rows.select("doc_id", "intent", "malicious_probability")
+
+
 @query(f"""
 SELECT intent, count(*) AS n_turns, count(DISTINCT conv_id) AS n_conversations,
   bool_and(p BETWEEN 0 AND 1) AS probabilities_valid, max(p) AS highest
