@@ -1,28 +1,62 @@
 """Judges that learn: multinomial naive Bayes over words, as grouping and joining, for yes/no questions and for choices.
 
 Words are what white space separates, of whole texts. Training counts each word once per occurrence in texts of either label;
-scoring joins a text's word counts with those. A word that half of all texts hold is combined per text first and joins by
-salted copies of its row, so no task gets it whole. :class:`rowjudge.judges.model.ModelJudge` runs it as a judge.
+scoring joins a text's word counts with those. Words are counted within their row, where the text is read, so that a word leaves
+it once and nothing is shuffled for the counts; one that half of all texts hold joins by salted copies of its row, so no task gets
+it whole. :class:`rowjudge.judges.model.ModelJudge` runs it as a judge.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import log
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowjudge.operators.lookup import attach, hot_keys
 from rowjudge.questions import MAX_OPTIONS
+from rowjudge.sources import files
 
-WORD = r"[^\x20\x09-\x0D]+"
+# In UTF-8 the bytes of these characters occur in no other one.
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+# Words of an Arrow batch.
+BATCH_WORDS = 100_000
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, words, counts = [], [], []
+
+        def told() -> pa.RecordBatch:
+            columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(words, pa.binary()), pa.array(counts, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["key", "word", "n"])
+
+        for row, text in enumerate(batch.column(1)):
+            found = Counter(_WORD.findall(text.as_py() or b""))
+            rows += [row] * len(found)
+            words += found.keys()
+            counts += found.values()
+            if len(words) >= BATCH_WORDS:
+                yield told()
+                rows, words, counts = [], [], []
+        if words:
+            yield told()
 
 
 def words_of(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, word, n): a text's words and how often it has them; texts without words give no row."""
-    each = texts.select(key, F.explode(F.regexp_extract_all(text, F.lit(WORD), 0)).alias("word"))
-    return each.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+    """(key, word, n): the words of a row's text and how often it has them; texts without words give no row, rows of one key are
+    counted apart."""
+    found = texts.select(F.col(key).alias("key"), F.col(text).cast("string").cast("binary").alias("text"))
+    schema = T.StructType([T.StructField("key", found.schema["key"].dataType), T.StructField("word", T.BinaryType()),
+                           T.StructField("n", T.LongType())])
+    counted = found.mapInArrow(_counted, schema)
+    return counted.select(F.col("key").alias(key), F.col("word").cast("string").alias("word"), "n")
 
 
 @dataclass(frozen=True)
@@ -52,15 +86,14 @@ class NaiveBayes:
 
 def word_table(labelled: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(word, n_yes, n_no) over texts with a boolean label."""
-    found = words_of(labelled.where(F.col(label).isNotNull()).withColumn("_key", F.struct(key, label)), "_key", text)
-    yes = F.col(f"_key.{label}")
+    found, yes = words_of(labelled.where(F.col(label).isNotNull()), label, text), F.col(label)
     return found.groupBy("word").agg(F.sum(F.when(yes, F.col("n")).otherwise(0)).alias("n_yes"),
                                      F.sum(F.when(yes, 0).otherwise(F.col("n"))).alias("n_no"))
 
 
 def train(labelled: DataFrame, key: str, text: str, label: str) -> NaiveBayes:
-    """Five totals reach the driver, the word table stays a DataFrame."""
-    counts = word_table(labelled, key, text, label)
+    """Five totals reach the driver, the word table is a written one: each scoring reads it."""
+    counts = files.kept(word_table(labelled, key, text, label), "words")
     texts = labelled.agg(F.count_if(F.col(label)), F.count_if(~F.col(label))).first()
     words = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_yes"), F.lit(0)), F.coalesce(F.sum("n_no"), F.lit(0))).first()
     return NaiveBayes(counts, *words, *texts)
@@ -98,13 +131,13 @@ def likeliest(probabilities: Column) -> Column:
 
 def label_table(labelled: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(word, label, n) over texts that have a label."""
-    found = words_of(labelled.where(F.col(label).isNotNull()).withColumn("_key", F.struct(key, label)), "_key", text)
-    return found.groupBy("word", F.col(f"_key.{label}").alias("label")).agg(F.sum("n").alias("n"))
+    found = words_of(labelled.where(F.col(label).isNotNull()), label, text)
+    return found.groupBy("word", F.col(label).alias("label")).agg(F.sum("n").alias("n"))
 
 
 def train_labels(labelled: DataFrame, key: str, text: str, label: str) -> LabelBayes:
     """Two totals a label reach the driver; there may be as many labels as a choice has options. Texts without a label teach nothing."""
-    counts = label_table(labelled, key, text, label)
+    counts = files.kept(label_table(labelled, key, text, label), "words")
     texts = labelled.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("texts"))
     words = counts.groupBy("label").agg(F.sum("n").alias("words"))
     totals = sorted(texts.join(words, "label", "left").limit(MAX_OPTIONS + 1).collect())

@@ -50,6 +50,30 @@ def test_label_probabilities_by_hand(spark):
     assert got[8] == got[9] and got[8][0] == 0 and got[8][1] == pytest.approx({"east": 2 / 7, "north": 3 / 7, "south": 2 / 7})
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_counted_in_their_row_without_a_shuffle(spark):
+    rows = [(1, " sea\tice sea\x0bsé "), (1, "sea"), (2, " \r\n"), (3, None), (4, "a\u00a0b \x1c")]
+    found = bayes.words_of(spark.createDataFrame(rows, "id int, t string"), "id", "t")
+    assert sorted(map(tuple, found.collect())) == [(1, "ice", 1), (1, "sea", 1), (1, "sea", 2), (1, "sé", 1), (4, "\x1c", 1), (4, "a\u00a0b", 1)]
+    assert "Exchange" not in plan_of(found)
+
+
+def test_words_beyond_an_arrow_batch(spark, monkeypatch):
+    monkeypatch.setattr(bayes, "BATCH_WORDS", 5)
+    rows = [(i, " ".join(f"w{j}" for j in range(i))) for i in range(12)]
+    found = bayes.words_of(spark.createDataFrame(rows, "id int, t string"), "id", "t")
+    assert sorted(map(tuple, found.collect())) == sorted((i, f"w{j}", 1) for i in range(12) for j in range(i))
+
+
+def test_scoring_reads_the_word_table_not_the_texts_of_training(spark):
+    docs = spark.createDataFrame([(1, "warm sea", True, "south"), (2, "ice", False, "north")], "id int, t string, y boolean, l string")
+    assert "MapInArrow" not in plan_of(bayes.train(docs, "id", "t", "y").counts)
+    assert "MapInArrow" not in plan_of(bayes.train_labels(docs, "id", "t", "l").weights)
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([(1, "a", None)], "id int, t string, y string")
     with pytest.raises(ValueError, match="labels"):
