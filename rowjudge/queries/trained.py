@@ -3,6 +3,8 @@ chooses among labels, as columns and in a run."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from rowjudge.plans import patterns
 from rowjudge.plans.run import judge_rows
 from rowjudge.queries.registry import query
 from rowjudge.questions import CHOICE, make_question, single
+from rowjudge.sources import files
 from rowjudge.sources.tables import table
 
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
@@ -130,17 +133,19 @@ def nb_choice(spark: SparkSession, sf: str) -> DataFrame:
     return told.select("doc_id", "n_known", F.col("best.label").alias("choice"), F.round("best.probability", 4).alias("probability"))
 
 
+def choices(model: bayes.LabelBayes, items: DataFrame) -> DataFrame:
+    """What the model says to the items of batches. Each word carries its item's key: a number, not the digest of its batch."""
+    text = F.from_json(F.concat(F.lit('{"t":'), "payload", F.lit("}")), "t string")["t"]
+    numbered = files.kept(items.select(F.monotonically_increasing_id().alias("item"), "batch_id", "at", text.alias("text")), "items")
+    told = model.probabilities(numbered, "item", "text")
+    return numbered.select("item", "batch_id", "at").join(told, "item").select("batch_id", "at", "probabilities")
+
+
 @query(f"WITH {_CHOSEN} SELECT doc_id, choice, round(p, 4) AS confidence FROM b")
 def judged_run_by_model(spark: SparkSession, sf: str) -> DataFrame:
     """The same choices through a run: packed into batches, answered by the model, joined back."""
     model, other = _halves(spark, sf)
-
-    def transform(items: DataFrame) -> DataFrame:
-        text = F.from_json(F.concat(F.lit('{"t":'), "payload", F.lit("}")), "t string")["t"]
-        told = model.probabilities(items.select(F.struct("batch_id", "at").alias("place"), text.alias("text")), "place", "text")
-        return told.select("place.*", "probabilities")
-
     question = single(make_question("which language is the text in?", CHOICE, list(model.labels)))
-    run = judge_rows(other, value_payload(other, "text"), question, ModelJudge(transform))
+    run = judge_rows(other, value_payload(other, "text"), question, ModelJudge(partial(choices, model)))
     answer = F.col("answers")[0]
     return run.rows.select("doc_id", A.text_field(answer, "choice").alias("choice"), F.round(A.number_field(answer, "confidence"), 4).alias("confidence"))

@@ -10,6 +10,7 @@ from rowjudge.functions.payload import value_payload
 from rowjudge.judges import bayes, calibration
 from rowjudge.judges.model import ModelJudge
 from rowjudge.plans.run import judge_rows
+from rowjudge.queries.trained import choices
 from rowjudge.questions import CHOICE, SCORE, make_question, single
 from pyspark.sql import functions as F
 
@@ -74,6 +75,15 @@ def test_scoring_reads_the_word_table_not_the_texts_of_training(spark):
     assert "MapInArrow" not in plan_of(bayes.train_labels(docs, "id", "t", "l").weights)
 
 
+def test_items_are_scored_by_number(spark):
+    docs = spark.createDataFrame([(1, "warm sea", "south"), (2, "ice", "north")], "id int, t string, l string")
+    items = spark.createDataFrame([("f" * 64, 0, '"sea"'), ("f" * 64, 1, '"ice ice"'), ("e" * 64, 0, '"sea"')], "batch_id string, at int, payload string")
+    told = choices(bayes.train_labels(docs, "id", "t", "l"), items)
+    got = {(r.batch_id, r.at): max(r.probabilities, key=r.probabilities.get) for r in told.collect()}
+    assert got == {("f" * 64, 0): "south", ("f" * 64, 1): "north", ("e" * 64, 0): "south"}
+    assert "hashpartitioning(place" not in plan_of(told) and "hashpartitioning(batch_id" not in plan_of(told)
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([(1, "a", None)], "id int, t string, y string")
     with pytest.raises(ValueError, match="labels"):
