@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowjudge.functions import answers as A
 from rowjudge.functions.payload import text_payload, value_payload
-from rowjudge.judges.callable import CallableJudge
+from rowjudge.judges.callable import CallableJudge, JudgeError
 from rowjudge.judges.model import ModelJudge
 from rowjudge.judges.rule import RuleJudge
 from rowjudge.plans.patterns import quality_report
@@ -72,3 +73,18 @@ def test_rows_judged_as_they_arrive(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == [(0, "paints murals", 0.9), (0, "plays banjo", 0.1), (0, "plays banjo", 0.1),
                                                   (1, "flies", 0.1), (1, "paints murals", 0.9)]
     assert store.log().count() == 3  # murals was known when it came again
+
+
+def test_payloads_of_faulty_replies_are_kept_and_requests_of_refused_batches_are_not():
+    replies = {"good": '{"answers": {"item_1_p": {}, "item_2_p": {}}}', "half": '{"answers": {"item_1_p": {}}}'}
+
+    def call(request: str, timeout: float) -> str:
+        if request not in replies:
+            raise JudgeError("refused", 422 if request == "bad" else 503)
+        return replies[request]
+
+    names = ["good", "half", "bad", "busy"]
+    rows = pa.table({"set_key": ["k"] * 4, "n_items": [2] * 4, "payloads": [["1", "2"]] * 4, "questions": [[{"name": "p"}]] * 4, "request": names})
+    told = CallableJudge(call)._caller(1.0)(rows)
+    assert told.column("payloads").to_pylist() == [None, ["1", "2"], ["1", "2"], ["1", "2"]]
+    assert told.column("request").to_pylist() == [None, None, None, "busy"]
