@@ -4,13 +4,16 @@ A page is cut into blocks by its tags (unclosed ones too). Blocks inside element
 form, script ...) or by a word of their class, id or role (menu, ad, cookie, comments ...). If the page marks its article (article,
 main, a role, a usual class), the blocks inside are its text, and nothing else is taken or lost. Headings in an article's header stay.
 
-Where a page marks no article, its remaining blocks are open, and the host's suffix array decides: the token streams of the host's
-different pages are concatenated, suffixes sorted to a depth of ``min_run`` tokens, and runs of at least that length that occur in
-at least ``min_pages`` different pages count as covered. A block that is mostly covered loses what is covered, and keeps unique runs
-of ``min_run`` tokens or more; other blocks stay whole. Block borders are tokens, so that a menu of single words is a run.
+Every page goes through its host's suffix array, whether it marks an article or not: the token streams of the host's different pages
+are concatenated, suffixes sorted to a depth of ``min_run`` tokens, and runs of at least that length that occur in at least
+``min_pages`` different pages count as covered. Where a page marks no article, its remaining blocks are open, and what is covered
+decides: a block that is mostly covered loses it, and keeps unique runs of ``min_run`` tokens or more; other blocks stay whole. Where
+a page marks its article, markup is exact and has the last word. Block borders are tokens, so that a menu of single words is a run.
 
 A host of any size is dealt into shards of about ``shard_tokens`` tokens, each with a suffix array of its own; windows of the sorted
-order are added up across shards by their hash, so that the result does not depend on the shards. Pages with equal streams count once.
+order are added up across shards by their hash, so that the result does not depend on the shards. Runs that a shard alone repeats often
+enough are written for every host; those that only several shards together might are written where an open page of the host could
+hold them, as nothing else reads them. Pages travel to their host packed. Pages with equal streams count once.
 
 Null and empty html gives an empty text; a null url is a host of its own; repeated rows each give a row; without rows the result is
 empty. Columns besides page_id, url and html are not read. Character references are decoded, white space (Unicode's) becomes one space.
@@ -19,9 +22,11 @@ empty. Columns besides page_id, url and html are not read. Character references
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 from html import unescape
 from itertools import groupby
 
@@ -168,17 +173,42 @@ def page_blocks(html: str) -> list[tuple[int, str]]:
     return blocks
 
 
+#: Streams that a parsing task knows again; beyond that it starts anew, and a copy costs a row more.
+KNOWN_STREAMS = 200_000
+
+
 def _parsed(batches):
-    """Per page: its text if markup decides it, else its open blocks."""
+    """Per page: its blocks, packed, as they are stored and shuffled; which of them its article holds (null if it marks none: it is open), and its stream. ``lead`` is the first
+    page of a task with that stream, so that a page with many copies is one row of each task for its host."""
+    known: set[tuple] = set()
     for batch in batches:
-        texts, opens = [], []
-        for html in batch.column(2).to_pylist():
+        out = []
+        for host, html in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             blocks = page_blocks(html or "")
             best = max((rank for rank, _ in blocks), default=-1)
-            texts.append("\n".join(text for rank, text in blocks if rank == best) if best else "")
-            opens.append(None if best else [text for _, text in blocks])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
-                                          pa.array(opens, pa.list_(pa.string()))], ["page_id", "url", "text", "open"])
+            texts = [text for _, text in blocks]
+            joined = BORDER.join(texts).encode()
+            digest = sha256(joined)
+            if len(known) >= KNOWN_STREAMS:
+                known.clear()
+            seen = len(known)
+            known.add((host, digest.digest()))
+            out.append((zlib.compress(joined), [rank == best for rank, _ in blocks] if best else None, digest.hexdigest(),
+                        sum(text.count(" ") + 2 for text in texts), bool(texts) and len(known) > seen))
+        columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(
+            (pa.binary(), pa.list_(pa.bool_()), pa.string(), pa.int64(), pa.bool_()))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["page_id", "url", "host", "packed", "inside", "stream", "n", "lead"])
+
+
+def _unpacked(packed: bytes) -> list[str]:
+    return zlib.decompress(packed).decode().split(BORDER)
+
+
+def _articles(batches):
+    """The text of pages that mark their article."""
+    for batch in batches:
+        texts = [BORDER.join(b for b, kept in zip(_unpacked(p), inside) if kept) for p, inside in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
 # -- a host's pages ---------------------------------------------------------------------------
@@ -249,33 +279,47 @@ def _tuples(batches) -> Iterator[tuple]:
         yield from zip(*(column.to_pylist() for column in batch.columns))
 
 
-def _open_texts(open_pages: DataFrame, cfg: ExtractConfig) -> DataFrame:
-    """(host, stream, text): what is unique in each different open page."""
-    sizes = F.aggregate("open", F.lit(0).cast("long"), lambda n, block: n + F.size(F.split(block, " ")) + 1)
-    pages = open_pages.groupBy("host", "stream").agg(F.first("open").alias("open")).withColumn("n", sizes)
-    pages = stored(pages, "open-pages")
-    hosts = pages.groupBy("host").agg(F.sum("n").alias("_total")).where(F.col("_total") > cfg.shard_tokens).withColumnRenamed("host", "_host")
-    shards = F.coalesce(F.ceil(F.col("_total") / cfg.shard_tokens), F.lit(1))
-    dealt = pages.join(hosts, F.col("host") == F.col("_host"), "left").select(
-        "host", F.pmod(F.xxhash64("stream"), shards).cast("long").alias("shard"), "stream", "open")
-    dealt = stored(dealt, "dealt-pages")
+def _open_texts(parsed: DataFrame, cfg: ExtractConfig) -> DataFrame:
+    """(host, stream, text): what is unique in each different open page, by the runs that all pages of its host repeat."""
+    sizes = parsed.where("lead").groupBy("host", "stream").agg(F.max("n").alias("n"))
+    hosts = sizes.groupBy("host").agg(F.sum("n").alias("_total")).where(F.col("_total") > cfg.shard_tokens).withColumnRenamed("host", "_host")
+    shards = F.coalesce(F.ceil(F.col("_total") / cfg.shard_tokens), F.lit(1)).cast("long")
+
+    def dealt(pages: DataFrame) -> DataFrame:
+        # at most one host for each shard_tokens tokens
+        return pages.join(F.broadcast(hosts), F.col("host") == F.col("_host"), "left").select(
+            "host", F.pmod(F.xxhash64("stream"), shards).alias("shard"), "stream", "packed", shards.alias("shards"))
 
     def windows(batches):
         for (host, shard), rows in _shards(_tuples(batches)):
-            _, page, hashed = window_classes([_stream(r[3]) for r in rows], cfg.min_run)
-            pairs = np.unique(np.stack([hashed, page.astype(np.uint64)]), axis=1)
-            values, counts = np.unique(pairs[0], return_counts=True)
+            pages, alone = {}, True
+            for _, _, stream, packed, shards, has_open in rows:
+                pages[stream] = packed  # copies come from several tasks
+                alone = shards == 1 or not has_open
+            _, page, hashed = window_classes([_stream(_unpacked(p)) for p in pages.values()], cfg.min_run)
+            order = np.lexsort((page, hashed))
+            page, hashed = page[order], hashed[order]
+            first = np.ones(len(page), bool)
+            first[1:] = (hashed[1:] != hashed[:-1]) | (page[1:] != page[:-1])
+            values, counts = np.unique(hashed[first], return_counts=True)
+            if alone:  # nothing asks what other shards add to these
+                values, counts = values[counts >= cfg.min_pages], counts[counts >= cfg.min_pages]
             for low in range(0, len(values), 50_000):
                 part = values[low:low + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([host] * len(part), pa.string()), pa.array([shard] * len(part), pa.int64()),
                                                   pa.array(part.view(np.int64)), pa.array(counts[low:low + 50_000], pa.int64())],
                                                  ["host", "shard", "window", "pages"])
 
-    found = stored(dealt.repartition("host", "shard").sortWithinPartitions("host", "shard").mapInArrow(windows, _WINDOW), "windows")
+    asking = parsed.where("inside IS NULL").select(F.col("host").alias("_asking")).distinct().join(hosts, F.col("_asking") == F.col("_host"), "left_semi")
+    every = dealt(parsed.where("lead")).join(F.broadcast(asking), F.col("host") == F.col("_asking"), "left")
+    every = every.withColumn("has_open", F.col("_asking").isNotNull()).drop("_asking")
+    every = every.repartition("host", "shard").sortWithinPartitions("host", "shard")
+    found = stored(every.mapInArrow(windows, _WINDOW), "windows")
     repeated = found.groupBy("host", "window").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= cfg.min_pages)
     heads = found.drop("pages").join(repeated.drop("pages"), ["host", "window"]).select(
-        "host", "shard", F.lit(0).alias("kind"), "window", F.lit(None).cast("string").alias("stream"), F.lit(None).cast("array<string>").alias("open"))
-    bodies = dealt.select("host", "shard", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("window"), "stream", "open")
+        "host", "shard", F.lit(0).alias("kind"), "window", F.lit(None).cast("string").alias("stream"), F.lit(None).cast("binary").alias("packed"))
+    opened = parsed.where("inside IS NULL").groupBy("host", "stream").agg(F.first("packed").alias("packed"))
+    bodies = dealt(opened).select("host", "shard", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("window"), "stream", "packed")
 
     def extract(batches):
         for (host, shard), rows in _shards(_tuples(batches)):
@@ -285,16 +329,19 @@ def _open_texts(open_pages: DataFrame, cfg: ExtractConfig) -> DataFrame:
                     known.append(row[3])
                 else:
                     held.append(row)
+            if not held:
+                continue
             repeats = np.array(known, np.int64).view(np.uint64)
-            streams = [_stream(r[5]) for r in held]
+            opens = [_unpacked(r[5]) for r in held]
+            streams = [_stream(blocks) for blocks in opens]
             order, _, hashed = window_classes(streams, cfg.min_run)
             starts = order[np.isin(hashed, repeats)]
             edge = np.zeros(sum(map(len, streams)) + 1, np.int64)
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + cfg.min_run, -1)
             covered, at, texts = np.cumsum(edge) > 0, 0, []
-            for row, stream in zip(held, streams):
-                texts.append(unique_text(row[5], covered[at:at + len(stream)], cfg))
+            for blocks, stream in zip(opens, streams):
+                texts.append(unique_text(blocks, covered[at:at + len(stream)], cfg))
                 at += len(stream)
             yield pa.RecordBatch.from_arrays([pa.array([host] * len(held), pa.string()), pa.array([r[4] for r in held], pa.string()),
                                               pa.array(texts, pa.string())], ["host", "stream", "text"])
@@ -306,13 +353,15 @@ def _open_texts(open_pages: DataFrame, cfg: ExtractConfig) -> DataFrame:
 def main_text(pages: DataFrame, cfg: ExtractConfig = ExtractConfig()) -> DataFrame:
     """page_id, url, text, n_chars of each row of ``pages`` (page_id, url, html)."""
     fields = {f.name: f.dataType.simpleString() for f in pages.select("page_id", "url").schema.fields}
-    schema = f"page_id {fields['page_id']}, url {fields['url']}, text string, open array<string>"
-    parsed = stored(pages.select("page_id", "url", F.col("html").cast("string")).mapInArrow(_parsed, schema), "parsed-pages")
+    schema = (f"page_id {fields['page_id']}, url {fields['url']}, host string, packed binary, inside array<boolean>, stream string, "
+              "n long, lead boolean")
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)", 1)), F.lit(""))
-    marked = parsed.where("open IS NULL").select("page_id", "url", "text")
-    opened = parsed.where("open IS NOT NULL").select("page_id", "url", host.alias("host"), "open")
-    opened = opened.withColumn("stream", F.sha2(F.array_join("open", BORDER), 256))
+    whole = pages.select("page_id", "url", host.alias("host"), F.col("html").cast("string"))
+    parsed = stored(whole.mapInArrow(_parsed, schema), "parsed-pages")
+    texts = _open_texts(parsed, cfg)
+    marked = parsed.where("inside IS NOT NULL").select("page_id", "url", "packed", "inside")
+    marked = marked.mapInArrow(_articles, schema.split(", host")[0] + ", text string")
+    opened = parsed.where("inside IS NULL").select("page_id", "url", "host", "stream")
     if not opened.isEmpty():
-        texts = _open_texts(opened.select("host", "stream", "open"), cfg)
         marked = marked.union(opened.join(texts, ["host", "stream"]).select("page_id", "url", "text"))
     return marked.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

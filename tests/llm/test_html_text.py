@@ -115,3 +115,13 @@ def test_no_pages(spark, site):
 def test_extra_columns_stay_out(spark):
     df = spark.createDataFrame([(1, "u", "<p>a", "x", "y", 3)], "page_id long, url string, html string, open string, host string, n_chars int")
     assert [tuple(r) for r in main_text(df).collect()] == [(1, "u", "a", 1)]
+
+
+def test_pages_that_mark_an_article_are_evidence_for_open_pages_of_their_host(spark):
+    legal = "All rights reserved by the people who made this page today"
+    rows = [(n, f"http://h.example/{n}", f"<article><p>story number {n}</article><div>{legal}</div>") for n in range(3)]
+    rows += [(9, "http://h.example/9", f"<p>an open page<div>{legal}</div>"), (10, "http://other.example/", f"<p>an open page<div>{legal}</div>")]
+    rows += [rows[0]] * 3
+    for cfg in (ExtractConfig(), ExtractConfig(shard_tokens=10)):
+        got = {(r["page_id"], r["text"]) for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), cfg).collect()}
+        assert got == {(n, f"story number {n}") for n in range(3)} | {(9, "an open page"), (10, f"an open page\n{legal}")}
