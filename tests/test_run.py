@@ -331,3 +331,33 @@ def test_folders_that_only_spark_reaches(people, kit, monkeypatch):
     run = judge_rows(people, row_payload(people), CODER, STRICT, **kit)
     assert noul(run) == [0.9, 0.1, 0.1] and counts(run, "requests", "rows_sent") == (1, 3)
     assert not supported("viewfs://store/x") and supported("/tmp/x") and supported("file:///tmp/x")
+
+
+def test_resends_of_large_runs_shuffle_payloads_once(spark, monkeypatch):
+    from rowjudge.plans import run as module
+
+    plans, dealt = [], []
+
+    class Counting(CallableJudge):
+        def send(self, batches, cfg, folder):
+            plans.append(batches._jdf.queryExecution().optimizedPlan().toString())
+            dealt.append(batches.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"), "batch_id").collect())
+            super().send(batches, cfg, folder)
+
+    def call(request, timeout):
+        if '"bad' in request:
+            raise JudgeError("refused", 422)
+        return strict(request, timeout)
+
+    rows = spark.range(400).select(F.concat(F.when(F.col("id") % 50 == 0, "bad").otherwise("fine"), F.lit(" paints murals "), F.col("id")).alias("t"))
+    cfg = JudgeConfig(batch_size=4, rows_per_shard=2, concurrency=2)
+    run = judge_rows(rows, value_payload(rows, "t"), MURALS, Counting(call), cfg=cfg, on_failure="keep")
+    assert counts(run, "rows_sent", "rows_in") == (400, 400) and run.rows.where("answers IS NULL").count() == 8
+    assert plans[0].count("Repartition") == 2 and "RepartitionByExpression [batch_id" not in plans[0]  # by shard, and the coalesce
+    assert not os.path.exists(f"{run.work}/left-0")
+    for job in dealt:
+        parts = {}
+        for r in sorted(job, key=lambda r: (r.part, r.at)):
+            parts.setdefault(r.part, []).append(r.batch_id)
+        assert len(parts) <= 2
+    assert "Sort [batch_id" in plans[0]
